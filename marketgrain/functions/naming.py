@@ -37,3 +37,8 @@ def clean_columns(df: DataFrame) -> DataFrame:
 
 def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
+
+
+def c(name: str) -> Column:
+    """Column by its literal name, whatever characters that name holds."""
+    return F.col(quoted(name))
