@@ -46,25 +46,33 @@ def _with_slice(df: DataFrame, keys: Sequence[str], value: Column, slices: int)
 
 
 def running_total(
-    df: DataFrame, keys: Sequence[str], order: str, totals: dict[str, str], slices: int = SLICES
+    df: DataFrame, keys: Sequence[str], order: str, totals: dict[str, str], following: str | None = None,
+    slices: int = SLICES,
 ) -> DataFrame:
     """Add inclusive running sums over ``order`` within ``keys``.
 
-    ``totals`` maps a measure to the name of its running sum. ``df`` must hold one row per (keys, order) and
-    a numeric, date or timestamp ``order``. Works without keys too.
+    ``totals`` maps a measure to the name of its running sum; ``following`` names a column for the next value
+    of ``order``. ``df`` must hold one row per (keys, order) and a numeric, date or timestamp ``order``. Works
+    without keys too.
     """
     kind = dict(df.dtypes)[order]
     value = F.unix_date(order) if kind == "date" else F.col(order).cast("double")
     sliced = _with_slice(df, keys, value, slices)
-    per_slice = sliced.groupBy(*keys, "_slice").agg(*[F.sum(m).alias(f"_sum_{m}") for m in totals])
+    per_slice = sliced.groupBy(*keys, "_slice").agg(
+        F.min(order).alias("_first"), *[F.sum(m).alias(f"_sum_{m}") for m in totals]
+    )
+    ahead = F.lead("_first").over(Window.partitionBy(*keys).orderBy("_slice"))
     before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_slice.select(
-        *keys, "_slice", *[F.coalesce(F.sum(f"_sum_{m}").over(before), F.lit(0)).alias(f"_off_{m}") for m in totals]
+        *keys, "_slice", ahead.alias("_ahead"), *[F.coalesce(F.sum(f"_sum_{m}").over(before), F.lit(0)).alias(f"_off_{m}") for m in totals]
     )
-    within = Window.partitionBy(*keys, "_slice").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    sorted_slice = Window.partitionBy(*keys, "_slice").orderBy(order)
+    within = sorted_slice.rowsBetween(Window.unboundedPreceding, 0)
     running = {name: F.col(f"_off_{m}") + F.sum(m).over(within) for m, name in totals.items()}
+    if following:
+        running[following] = F.coalesce(F.lead(order).over(sorted_slice), F.col("_ahead"))
     out = sliced.join(offsets, [*keys, "_slice"]).withColumns(running)
-    return out.drop("_at", "_slice", *[f"_off_{m}" for m in totals])
+    return out.drop("_at", "_slice", "_ahead", *[f"_off_{m}" for m in totals])
 
 
 def exact_quantiles(
