@@ -116,8 +116,7 @@ def pacf(series: DataFrame, value: str, keys: Sequence[str] = (), order: str = S
         frame["pacf"] = _partial((frame["acf"] * n / (n - lag)).to_numpy())
         return frame[[*keys, "lag", "pacf"]]
 
-    grouped = table.groupBy(*keys) if keys else table.groupBy(F.lit(1))
-    return grouped.applyInPandas(per_series, f"{fields}lag int, pacf double")
+    return table.groupBy(*keys).applyInPandas(per_series, f"{fields}lag int, pacf double")
 
 
 def autocorrelation(
