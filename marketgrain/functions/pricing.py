@@ -31,10 +31,11 @@ def effective_supply(quantity: Column, loss_rate: Column) -> Column:
     return quantity * (1 - loss_rate / 100)
 
 
-def clamp_prediction(price: Column) -> Column:
+def clamp_prediction(price: Column, digits: int | None = 2) -> Column:
     """Predictions outside 0 to 1000 are pulled into 5 to 100; all are rounded to cents."""
     pulled = F.greatest(F.lit(5.0), F.least(F.lit(100.0), price))
-    return F.round(F.when((price < 0) | (price > 1000), pulled).otherwise(price), 2)
+    kept = F.when((price < 0) | (price > 1000), pulled).otherwise(price)
+    return kept if digits is None else F.round(kept, digits)
 
 
 # fixed values: words that decide the unit of a metric, first match wins

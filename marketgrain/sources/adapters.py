@@ -16,8 +16,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def sales(spark: SparkSession, folder: str) -> DataFrame:
-    line = table(spark, folder, "lineitem")
-    supplier = table(spark, folder, "supplier").select("s_suppkey", "s_nationkey")
+    return sales_of(table(spark, folder, "lineitem"), table(spark, folder, "supplier"))
+
+
+def sales_of(line: DataFrame, suppliers: DataFrame) -> DataFrame:
+    supplier = suppliers.select("s_suppkey", "s_nationkey")
     return line.join(supplier, line.l_suppkey == supplier.s_suppkey).select(
         F.col("l_shipdate").cast("date").alias(S.DATE),
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("long").alias("sale_id"),
@@ -67,7 +70,11 @@ def loss_rates(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def request_log(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "events").select(
+    return requests_of(table(spark, folder, "events"))
+
+
+def requests_of(events: DataFrame) -> DataFrame:
+    return events.select(
         F.col("ts").cast("timestamp").alias("ts"),
         F.col("event_id").alias("request_id"),
         F.col("event_type").alias("endpoint"),
@@ -80,6 +87,10 @@ def request_log(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def metrics(spark: SparkSession, folder: str) -> DataFrame:
+    return metrics_of(table(spark, folder, "events"))
+
+
+def metrics_of(events: DataFrame) -> DataFrame:
     """Long metric history: one row per measurement."""
     kind, value = F.col("event_type"), F.col("value")
 
@@ -89,7 +100,7 @@ def metrics(spark: SparkSession, folder: str) -> DataFrame:
             .when(kind == "purchase", purchase).otherwise(other)
         )
 
-    return table(spark, folder, "events").select(
+    return events.select(
         F.col("ts").cast("timestamp").alias("ts"),
         "event_id",
         pick("system", "system", "api", "models", "data_quality").alias("source"),

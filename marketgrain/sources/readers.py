@@ -81,9 +81,12 @@ SNAPSHOT_SCHEMA = (
 
 
 def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
-    """Nested metric snapshots to the long table (ts, source, entity, metric, value)."""
-    raw = spark.read.schema(SNAPSHOT_SCHEMA).option("multiLine", True).json(path)
+    """Snapshot files, one object each, as long rows."""
+    return long_snapshots(spark.read.schema(SNAPSHOT_SCHEMA).option("multiLine", True).json(path))
+
 
+def long_snapshots(raw: DataFrame) -> DataFrame:
+    """Nested metric snapshots to the long table (ts, source, entity, metric, value)."""
     def long(rows: DataFrame, source: str, fields: Sequence[str]) -> DataFrame:
         flat = rows.select(
             F.col("e.timestamp").cast("timestamp").alias("ts"), "entity", *[F.col(f"e.{n}").alias(n) for n in fields]
@@ -131,18 +134,37 @@ def service_figures(lines: DataFrame, value: str = "value", keys: Sequence[str]
     return rows.withColumn("average_latency_ms", mean).drop("_seconds")
 
 
-def read_alerts(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """Alert files: the readable ones as rows, the broken ones as (path, text) for quarantine."""
-    schema = "type string, alert_type string, severity string, message string, timestamp string, metric string, value double, threshold double, model string, _corrupt_record string"
-    rows = (
-        spark.read.schema(schema).option("multiLine", True).option("mode", "PERMISSIVE").json(path)
-        .select("*", F.input_file_name().alias("path"))
-    )
+ALERT_SCHEMA = (
+    "type string, alert_type string, severity string, message string, timestamp string, metric string, value double, "
+    "threshold double, model string, _corrupt_record string"
+)
+
+
+def _sound_and_broken(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     broken = F.col("_corrupt_record").isNotNull()
     good = rows.where(~broken).withColumn("type", F.coalesce("type", "alert_type")).drop("_corrupt_record", "alert_type")
     return good, rows.where(broken).select("path", F.col("_corrupt_record").alias("text"))
 
 
+def read_alerts(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Alert files, one object each: the readable ones as rows, the broken ones as (path, text) for quarantine.
+
+    The text is parsed here, not by the JSON reader, so a broken file keeps its whole text.
+    """
+    text = spark.read.option("wholetext", True).text(path).select("value", F.input_file_name().alias("path"))
+    return _sound_and_broken(_parsed(text))
+
+
+def read_alert_lines(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """The same for files with one alert per line."""
+    return _sound_and_broken(_parsed(spark.read.text(path).select("value", F.input_file_name().alias("path"))))
+
+
+def _parsed(text: DataFrame) -> DataFrame:
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
+    return text.select(F.from_json("value", ALERT_SCHEMA, options).alias("a"), "path").select("a.*", "path")
+
+
 def freshness_hours(df: DataFrame, now) -> DataFrame:
     """Hours since the newest input file was written, 24 when there is none."""
     newest = df.select("_metadata.file_modification_time").agg(F.max("file_modification_time").alias("t"))
