@@ -155,6 +155,8 @@ def with_tables(sql: str) -> str:
         return sql
     heads = ",\n".join(f"{n} as ({TABLES[n]})" for n in needed)
     body = sql.strip()
+    if body.lower().startswith("with recursive "):
+        return f"with recursive {heads},\n{body[15:]}"
     if body.lower().startswith("with "):
         return f"with {heads},\n{body[5:]}"
     return f"with {heads}\n{body}"

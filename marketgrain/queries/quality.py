@@ -67,16 +67,23 @@ def score_sql(label: str, table: str, columns, numbers, signed) -> str:
                 from (select count(*) as n from {table} group by {names}) g) t) u"""
 
 
-@query("v1_columns")
+@query("v1_columns", """
+    select ['Time'] as missing_columns, ['sale_id'] as extra_columns, false as columns_match, count(*) as total_rows from sales""")
 def columns(t):
-    return Q.check_columns(t.sales, S.RAW_SCHEMAS["sales"])
+    """Missing and extra columns of the sales table, with its size."""
+    rows = t.sales.agg(F.count(F.lit(1))).scalar()
+    return Q.check_columns(t.sales, S.RAW_SCHEMAS["sales"]).withColumn("total_rows", rows)
 
 
-@query("v2_types")
+@query("v2_types", """
+    select 'Date' as "column", 'string' as expected, 'date' as actual, count(*) - count(sale_date) as missing_count,
+           r2(0) as missing_pct from sales
+    union all select 'Quantity Sold (kilo)', 'bigint', 'double', count(*) - count(quantity), r2(0) from sales""", digits=2)
 def types(t):
     expected = T.StructType([T.StructField(S.DATE, T.StringType()), T.StructField(S.ITEM, T.LongType()),
                              T.StructField(S.QUANTITY, T.LongType()), T.StructField(S.KIND, T.StringType())])
-    return Q.check_types(t.sales, expected)
+    gaps = Q.missing_values(t.sales)
+    return Q.check_types(t.sales, expected).join(gaps, "column", "left")
 
 
 @query("v3_missing", missing_sql("dirty_sales", COLUMNS), digits=2)

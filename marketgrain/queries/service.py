@@ -6,9 +6,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from marketgrain import schemas as S
-from marketgrain.functions.naming import c, clean_name_expr
+from marketgrain.functions.naming import c, clean_columns, clean_name_expr
 from marketgrain.functions.pricing import metric_unit
-from marketgrain.operators import daily as D, enrich, monitoring as H, series, serving
+from marketgrain.operators import daily as D, enrich, monitoring as H, quality, series, serving
 from marketgrain.queries.base import Tables, query
 from marketgrain.sources import catalog as cat
 from marketgrain.sources.readers import service_figures
@@ -282,17 +282,23 @@ def derive_missing(t):
                      "DayOfWeek_Cos", "WeekOfYear")
 
 
-@query("p22_select_inputs")
+@query("p22_select_inputs", """
+    select r4(avg_price) as avg_price, r4(total_quantity) as total_quantity, r4(avg_quantity) as avg_quantity, transaction_count,
+        r4(price_volatility) as price_volatility, r4(min_price) as min_price, r4(max_price) as max_price, discount_count,
+        r2(revenue) as revenue, r4(discount_rate) as discount_rate, r4(price_range) as price_range from daily""", revenue=2)
 def select_inputs(t):
-    """Numeric inputs of the reports table, ids left out."""
-    df = enrich.add_category(D.add_calendar(t.daily), t.items)
-    return serving.select_inputs(df, ["Avg_Price", "Total_Quantity"])
+    """Numeric inputs in the model's order, ids and names left out."""
+    return serving.select_inputs(enrich.add_category(t.daily, t.items), ["Avg_Price", "Total_Quantity"])
 
 
-@query("p23_required_inputs")
+@query("p23_required_inputs", """
+    select sale_date, item_code, r4(avg_price) as avg_price, r4(0) as month_sin, r4(1) as retail_wholesale_ratio,
+           r4(1) as price_relative_to_category, r4(0) as avg_price_lag_7, r4(0) as item_quantity_share from daily""")
 def required_inputs(t):
     """Daily rows with every model input present."""
-    return serving.with_required(t.daily)
+    df = serving.with_required(t.daily)
+    return df.select(S.DATE, S.ITEM, "Avg_Price", "Month_Sin", "Retail_Wholesale_Ratio", "Price_Relative_to_Category",
+                     "Avg_Price_Lag_7", "Item_Quantity_Share")
 
 
 _EXPANDED = {
@@ -319,10 +325,13 @@ def serving_expansion(t):
     return df.select(S.DATE, S.ITEM, *[c(wanted[n]) for n in _EXPANDED])
 
 
-@query("p25_field_names")
+@query("p25_field_names", f"""
+    with {_REQUESTS} select sale_date, item_code, r4(avg_price) as avg_price, r4(wholesale_price) as wholesale_price,
+        r4(loss_rate) as loss_rate from requests""")
 def field_names(t):
     """Request fields under their feature names."""
-    return serving.rename_fields(requests(t).withColumnsRenamed({v: k for k, v in serving.REQUEST_NAMES.items()}))
+    sent = requests(t).withColumnsRenamed({v: k for k, v in serving.REQUEST_NAMES.items()})
+    return serving.rename_fields(sent).select(S.DATE, S.ITEM, "Avg_Price", c(S.WHOLESALE), c(S.LOSS))
 
 
 @query("p24_with_history", """
@@ -385,14 +394,24 @@ def feature_metadata(t):
     return cat.feature_metadata(t.daily).select("total_records", "start_date", "end_date", "items_count")
 
 
+def _with_gaps(definitions: DataFrame, df: DataFrame, key: str) -> DataFrame:
+    """Definitions of columns with the number of missing values of each."""
+    gaps = quality.missing_values(df).withColumnRenamed("column", key)
+    return definitions.join(gaps, key, "left")
+
+
 @query("s10_type_table")
 def type_table(t):
-    return cat.type_table(enrich.add_category(D.add_calendar(t.daily), t.items))
+    """SQL type of every column, with its missing values."""
+    df = enrich.add_category(D.add_calendar(t.daily), t.items)
+    return _with_gaps(cat.type_table(df), df, "column")
 
 
 @query("s13_feature_definitions")
 def feature_definitions(t):
-    return cat.feature_definitions(enrich.add_category(D.add_calendar(t.daily), t.items))
+    """Feature type of every column, with its missing values."""
+    df = enrich.add_category(D.add_calendar(t.daily), t.items)
+    return _with_gaps(cat.feature_definitions(df), clean_columns(df), "feature_name")
 
 
 @query("s11_smoke_rows", """

@@ -6,13 +6,13 @@ from pyspark.sql import DataFrame, functions as F
 
 from marketgrain import schemas as S
 from marketgrain.functions.naming import c
-from marketgrain.operators import bi, drift, monitoring as H
+from marketgrain.operators import bi, drift, monitoring as H, quality
 from marketgrain.queries.base import Tables, query
-from marketgrain.queries.drift import NAMES, pair
+from marketgrain.queries.drift import NAMES, _statistical, pair
 from marketgrain.queries.features import DAILY_SQL
-from marketgrain.queries.models import scores
+from marketgrain.queries.models import _BY_VERSION, scores
 from marketgrain.queries.reports import category_rows, feature_rows
-from marketgrain.queries.service import naive_ts
+from marketgrain.queries.service import _RULES, naive_ts, violated
 from marketgrain.sources import catalog as cat, readers, writers
 from marketgrain.streaming.runs import fresh_folder
 
@@ -101,7 +101,10 @@ def snapshots(t):
     return naive_ts(readers.long_snapshots(raw).select("ts", "source", "entity", "metric", "value"))
 
 
-@query("s19_evaluation")
+@query("s19_evaluation", f"""
+    with {_BY_VERSION}, v as (select * from scores where version = 2000)
+    select model, 'val_mape' as metric, r4(mape) as value from v union all select model, 'val_rmse', r4(rmse) from v
+    union all select model, m, 0 from v, (select unnest(['val_r2', 'test_mape', 'test_rmse', 'test_r2']) as m) x""")
 def evaluation(t):
     """Metrics of the naive models written as an evaluation file and read back."""
     folder = fresh_folder(t.spark, "evaluation")
@@ -119,7 +122,7 @@ def first_existing(t):
     return readers.read_first(t.spark, [f"{folder}/first", f"{folder}/second"])
 
 
-@query("s23_drift_state")
+@query("s23_drift_state", f"with {_statistical()} select feature, r6(drift_score) as drift_score, drift_detected from scored", digits=6)
 def drift_state(t):
     """Drift of late sales against a stored and reloaded profile."""
     folder = fresh_folder(t.spark, "state")
@@ -137,7 +140,10 @@ def export(t):
     return t.spark.read.schema("source string").json(f"{folder}/metrics").groupBy("source").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("s26_corrupt_files")
+@query("s26_corrupt_files", f"""
+    with {_RULES}, x as (select event_id from {violated('metrics')} y)
+    select 'good' as part, count(*) as n from x where event_id % 10 <> 0
+    union all select 'quarantined', count(*) from x where event_id % 10 = 0""")
 def corrupt_files(t):
     """Alert texts of which some are cut off: readable rows and quarantined ones."""
     folder = fresh_folder(t.spark, "corrupt")
@@ -150,7 +156,9 @@ def corrupt_files(t):
         broken.agg(F.count(F.lit(1)).alias("n")).select(F.lit("quarantined").alias("part"), "n"))
 
 
-@query("s27_alert_sink")
+@query("s27_alert_sink", f"""
+    with {_RULES} select alert_type, severity, count(*) as n from {violated('metrics')} x
+    where alert_type in ('system_cpu', 'system_memory') group by 1, 2""")
 def alert_sink(t):
     folder = fresh_folder(t.spark, "alerts")
     rows = H.violations(t.metrics, H.rules_table(t.spark)).select("alert_type", "entity", "severity", "value")
@@ -159,12 +167,19 @@ def alert_sink(t):
     return t.spark.read.schema(rows.schema).json(folder).groupBy("alert_type", "severity").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("s15_resolved_columns")
+@query("s15_resolved_columns", """
+    select 'revenue' as wanted, 'Revenue' as found, count(*) - count(revenue) as missing_count from lossy
+    union all select 'AVG_PRICE', 'Avg_Price', count(*) - count(avg_price) from lossy
+    union all select 'category code', 'Category Code', count(*) - count(category_code) from lossy
+    union all select 'isweekend', 'IsWeekend', count(*) - count(isweekend) from lossy
+    union all select 'no_such_column', null, null""")
 def resolved_columns(t):
     """Report columns looked up in the feature table, whatever their case."""
     df = feature_rows(t)
-    rows = [(n, bi.resolve(df, n)) for n in ("revenue", "AVG_PRICE", "category code", "isweekend", "no_such_column")]
-    return t.spark.createDataFrame(rows, "wanted string, found string")
+    wanted = ("revenue", "AVG_PRICE", "category code", "isweekend", "no_such_column")
+    rows = t.spark.createDataFrame([(n, bi.resolve(df, n)) for n in wanted], "wanted string, found string")
+    gaps = quality.missing_values(df).withColumnRenamed("column", "found")
+    return rows.join(gaps, "found", "left").select("wanted", "found", "missing_count")
 
 
 @query("h6_freshness")
@@ -174,7 +189,17 @@ def freshness(t):
     return hours.select((F.col("freshness_hours") >= 0).alias("known"))
 
 
-@query("v0_validation_job")
+@query("v0_validation_job", """
+    select 'Sales items exist in master data' as rule, count(*) = 0 as passed,
+           concat('Found ', cast(count(*) as varchar), ' orphan items in sales data') as details
+    from (select distinct item_code from sales where item_code not in (select item_code from items)) t
+    union all select 'Wholesale prices are reasonable', count_if(wholesale_price <= 0) = 0 and count_if(wholesale_price > 1000) < count(*) * 0.01,
+           concat('Zero/negative prices: ', cast(count_if(wholesale_price <= 0) as varchar), ', Extremely high prices: ',
+                  cast(count_if(wholesale_price > 1000) as varchar)) from wholesale
+    union all select 'Loss rates are valid percentages (0-100%)', count_if(loss_rate < 0 or loss_rate > 100) = 0,
+           concat('Invalid loss rates: ', cast(count_if(loss_rate < 0 or loss_rate > 100) as varchar)) from loss_rates
+    union all select 'Sale quantities are positive', count_if(quantity <= 0 and lower(sale_or_return) = 'sale') = 0,
+           concat('Negative/zero quantities in sales: ', cast(count_if(quantity <= 0 and lower(sale_or_return) = 'sale') as varchar)) from sales""")
 def validation_job(t):
     """The validation job over raw files: rules with their details."""
     from marketgrain.plans.jobs import validate

@@ -8,7 +8,7 @@ from marketgrain import schemas as S
 from marketgrain.functions.naming import c
 from marketgrain.operators import drift, monitoring as H
 from marketgrain.queries.base import Tables, query, r
-from marketgrain.queries.drift import NAMES
+from marketgrain.queries.drift import NAMES, STATS
 from marketgrain.queries.service import _RULES, naive_ts, violated
 from marketgrain.sources import adapters as A
 from marketgrain.streaming import jobs as J, runs
@@ -87,9 +87,17 @@ def streaming_daily(t):
                       "Price_Volatility", "Revenue")
 
 
-@query("r2_windowed_drift")
+@query("r2_windowed_drift", f"""
+    with base as (select sale_date, quantity, unit_price from sales),
+    ref as (select 'quantity' as feature, quantity as v from base where sale_date < date '1998-06-01'
+            union all select 'unit_price', unit_price from base where sale_date < date '1998-06-01'),
+    cur as (select 'quantity' as feature, quantity as v from base union all select 'unit_price', unit_price from base),
+    rs as (select feature, {STATS} from ref group by feature), cs as (select feature, {STATS} from cur group by feature)
+    select r.feature, r6((abs(c.mean - r.mean) + abs(c.std - r.std) + abs(c.median - r.median)) / r.std / 3) as drift_score,
+           (abs(c.mean - r.mean) + abs(c.std - r.std) + abs(c.median - r.median)) / r.std / 3 > 0.25 as drift_detected
+    from rs r join cs c on r.feature = c.feature""", digits=6)
 def windowed_drift(t):
-    """Every micro-batch of sales compared with the stored profile of early sales."""
+    """Every micro-batch of sales compared with the stored profile of early sales; the given file is one batch."""
     early = t.sales.where(c(S.DATE) < "1998-06-01").select(c(S.QUANTITY).alias("quantity"), c(S.PRICE).alias("unit_price"))
     folder = runs.fresh_folder(t.spark, "drift")
     drift.profile(early, NAMES[:2]).write.parquet(f"{folder}/profile")
@@ -99,22 +107,27 @@ def windowed_drift(t):
     return t.spark.read.parquet(f"{folder}/results").drop("batch")
 
 
-@query("r3_alert_stream")
+_COOLED = f"""
+    with recursive {_RULES}, a as (select alert_type, entity, event_id, severity, value, epoch_us(ts) as t from {violated('metrics')} x),
+    picked as (
+        select alert_type, entity, min(t) as t from a group by 1, 2
+        union all
+        select p.alert_type, p.entity, (select min(a.t) from a where a.alert_type = p.alert_type and a.entity = p.entity
+               and a.t >= p.t + 1800000000) as t from picked p where p.t is not null),
+    firsts as (select p.alert_type, p.entity, min(a.event_id) as event_id from picked p
+               join a on a.alert_type = p.alert_type and a.entity = p.entity and a.t = p.t group by p.alert_type, p.entity, p.t)"""
+
+
+@query("r3_alert_stream", f"""{_COOLED}
+    select f.alert_type, f.entity, f.event_id, a.severity, r4(a.value) as value
+    from firsts f join a on a.alert_type = f.alert_type and a.entity = f.entity and a.event_id = f.event_id""")
 def alert_stream(t):
     """Alerts with a cooldown of 30 minutes per type and entity, from a stream with keyed state."""
     rows = runs.run_to_files(J.alert_stream(metric_stream(t), H.rules_table(t.spark)), "alerts")
     return rows.select("alert_type", "entity", "event_id", "severity", "value")
 
 
-@query("r3_alert_cooldown", f"""
-    with recursive {_RULES}, a as (select alert_type, entity, event_id, epoch_us(ts) as t from {violated('metrics')} x),
-    picked as (
-        select alert_type, entity, min(t) as t from a group by 1, 2
-        union all
-        select p.alert_type, p.entity, (select min(a.t) from a where a.alert_type = p.alert_type and a.entity = p.entity
-               and a.t >= p.t + 1800000000) as t from picked p where p.t is not null)
-    select p.alert_type, p.entity, min(a.event_id) as event_id from picked p
-    join a on a.alert_type = p.alert_type and a.entity = p.entity and a.t = p.t group by p.alert_type, p.entity, p.t""")
+@query("r3_alert_cooldown", f"{_COOLED} select alert_type, entity, event_id from firsts")
 def alert_cooldown(t):
     """The batch form of the same rule."""
     return H.cooled_down(H.violations(t.metrics, H.rules_table(t.spark)), ["alert_type", "entity"])
