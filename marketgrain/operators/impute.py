@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -48,12 +49,27 @@ def mode(df: DataFrame, name: str) -> Column:
     return counts.orderBy(F.desc("count"), "v").limit(1).select("v").scalar()
 
 
+def _null_masks(names: Sequence[str]) -> list[Column]:
+    """NULL flags of the columns as bits, 60 columns to a 64-bit integer.
+
+    A hundred separate aggregates make a plan slow to compile; a few bit operations do not.
+    """
+    masks = []
+    for start in range(0, len(names), 60):
+        bits = [F.when(c(n).isNull(), F.lit(1 << i)).otherwise(F.lit(0)) for i, n in enumerate(names[start:start + 60])]
+        masks.append(reduce(lambda a, b: a.bitwiseOR(b), bits).cast("long"))
+    return masks
+
+
+def _named(names: Sequence[str], masks: Sequence[int | None]) -> list[str]:
+    return [n for i, n in enumerate(names) if (masks[i // 60] or 0) >> (i % 60) & 1]
+
+
 def columns_with_gaps(df: DataFrame, names: Sequence[str]) -> list[str]:
     """Which columns hold a NULL, by one pass that returns a single row."""
     if not names:
         return []
-    row = df.agg(*[F.coalesce(F.max(c(n).isNull().cast("int")), F.lit(0)).alias(f"g{i}") for i, n in enumerate(names)]).first()
-    return [n for n, gap in zip(names, row) if gap]
+    return _named(names, df.agg(*[F.bit_or(m) for m in _null_masks(names)]).first())
 
 
 def _cast_like(df: DataFrame, name: str, value: float) -> Column:
@@ -69,18 +85,35 @@ def fill_medians(df: DataFrame, names: Sequence[str], fitted: dict[str, float] |
     return df.withColumns({n: F.coalesce(c(n), _cast_like(df, n, values.get(n, 0.0))) for n in names})
 
 
+def _gaps_per_item(df: DataFrame, names: Sequence[str]) -> tuple[list[str], list[str]]:
+    """Columns with a NULL, and of these the columns some item has no value for at all; one pass, one row."""
+    if not names:
+        return [], []
+    masks = _null_masks(names)
+    some, every = [f"some{i}" for i in range(len(masks))], [f"every{i}" for i in range(len(masks))]
+    per_item = df.groupBy(S.ITEM).agg(
+        *[F.bit_or(m).alias(n) for m, n in zip(masks, some)], *[F.bit_and(m).alias(n) for m, n in zip(masks, every)]
+    )
+    row = per_item.agg(*[F.bit_or(n) for n in some + every]).first()
+    return _named(names, row[:len(masks)]), _named(names, row[len(masks):])
+
+
 def fill_series(df: DataFrame, fill_targets: bool = False) -> DataFrame:
     """Numbers: forward, backward within the item, then the median. Texts: the mode, else 'Unknown'.
 
-    The window result is materialised once; the medians are computed only for the columns that still have gaps.
+    The table is materialised once; windows are then built only for columns with gaps, and medians are computed
+    only for columns that some item lacks altogether.
     """
+    df = materialize(df, "unfilled")
     skip = () if fill_targets else tuple(n for n in df.columns if "Target" in n)
+    texts = text_columns(df)
     numbers = [n for n in numeric_columns(df) if n not in skip and n != S.ITEM]
-    filled = materialize(fill_both_ways(df, numbers), "filled")
-    gaps = columns_with_gaps(filled, numbers)
-    values = median_values(filled, gaps)
-    fills = {n: F.coalesce(c(n), _cast_like(filled, n, values[n])) for n in gaps if values.get(n) is not None}
-    fills |= {n: F.coalesce(c(n), mode(filled, n), F.lit("Unknown")) for n in columns_with_gaps(filled, text_columns(df))}
+    found, lacking = _gaps_per_item(df, [*numbers, *texts])
+    gaps, empty = ([n for n in group if n not in texts] for group in (found, lacking))
+    filled = fill_both_ways(df, gaps) if gaps else df
+    values = median_values(filled, empty)
+    fills = {n: F.coalesce(c(n), _cast_like(df, n, values[n])) for n in empty if values.get(n) is not None}
+    fills |= {n: F.coalesce(c(n), mode(df, n), F.lit("Unknown")) for n in found if n in texts}
     return filled.withColumns(fills) if fills else filled
 
 

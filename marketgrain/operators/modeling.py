@@ -14,7 +14,7 @@ from marketgrain import schemas as S
 from marketgrain.functions.naming import c
 from marketgrain.functions.numeric import clamp, finite, is_numeric, ratio
 from marketgrain.functions.pricing import clamp_prediction
-from marketgrain.operators.impute import median_values
+from marketgrain.operators.impute import columns_with_gaps, median_values
 
 # fixed values: settings of the four models
 FOREST = {"numTrees": 100, "maxDepth": 10, "featureSubsetStrategy": "all", "seed": 42}
@@ -30,21 +30,30 @@ def input_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if is_numeric(f.dataType) and f.name not in skip and "Target" not in f.name]
 
 
-def prepare(df: DataFrame, horizon: int = 1, fitted: dict[str, float] | None = None) -> tuple[DataFrame, dict[str, float]]:
-    """Rows with a target as (keys, inputs, ``label``); infinities and gaps take medians.
-
-    The medians come from this frame, or from ``fitted`` so that other splits use those of the training data.
-    """
+def labelled(df: DataFrame, horizon: int = 1) -> DataFrame:
+    """Rows with a target as (keys, inputs, ``label``), infinities as NULL."""
     target = f"Avg_Price_Target_{horizon}d"
     if target not in df.columns:
         raise ValueError(f"no target column {target!r}; have {[n for n in df.columns if 'Target' in n]}")
-    inputs = input_columns(df)
     keys = [n for n in (S.DATE, S.ITEM) if n in df.columns]
-    rows = df.where(c(target).isNotNull()).select(
-        *keys, *[finite(c(n)).alias(n) for n in inputs], c(target).cast("double").alias("label")
+    return df.where(c(target).isNotNull()).select(
+        *keys, *[finite(c(n)).alias(n) for n in input_columns(df)], c(target).cast("double").alias("label")
     )
-    values = median_values(rows, inputs) if fitted is None else fitted
-    return rows.withColumns({n: F.coalesce(c(n), F.lit(values.get(n, 0.0))) for n in inputs}), values
+
+
+def fit_medians(train: DataFrame, *others: DataFrame) -> dict[str, float]:
+    """Medians of the training rows for every input that has a gap in any of the frames."""
+    inputs = input_columns(train)
+    gaps = {n for df in (train, *others) for n in columns_with_gaps(df, inputs)}
+    return median_values(train, [n for n in inputs if n in gaps])
+
+
+def prepare(df: DataFrame, horizon: int = 1, fitted: dict[str, float] | None = None) -> DataFrame:
+    """Labelled rows without gaps: medians of this frame, or ``fitted`` ones so that all splits use the same."""
+    rows = labelled(df, horizon)
+    values = fit_medians(rows) if fitted is None else fitted
+    fills = {n: F.coalesce(c(n), F.lit(values[n])) for n in input_columns(rows) if values.get(n) is not None}
+    return rows.withColumns(fills) if fills else rows
 
 
 def _estimator(name: str, train: DataFrame):
@@ -65,16 +74,19 @@ def _estimator(name: str, train: DataFrame):
     raise ValueError(f"unknown model {name!r}, expected one of {MODELS}")
 
 
-def fit(name: str, train: DataFrame, inputs: Sequence[str], **overrides) -> PipelineModel:
+def scaler(inputs: Sequence[str]) -> Pipeline:
+    """Assemble the inputs and bring them to mean 0 and deviation 1."""
+    return Pipeline(stages=[
+        VectorAssembler(inputCols=list(inputs), outputCol="features"),
+        StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True),
+    ])
+
+
+def fit(name: str, train: DataFrame, inputs: Sequence[str]) -> PipelineModel:
     """Assemble, scale for the linear models, and fit."""
-    assembler = VectorAssembler(inputCols=list(inputs), outputCol="features")
-    stages = [assembler]
-    if name in LINEAR:
-        stages.append(StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True))
-    estimator = _estimator(name, train)
-    if overrides:
-        estimator = estimator.copy({estimator.getParam(k): v for k, v in overrides.items()})
-    return Pipeline(stages=[*stages, estimator]).fit(train)
+    stages = scaler(inputs).getStages()
+    kept = stages if name in LINEAR else stages[:1]
+    return Pipeline(stages=[*kept, _estimator(name, train)]).fit(train)
 
 
 def fit_all(train: DataFrame, names: Sequence[str] = MODELS) -> dict[str, PipelineModel]:

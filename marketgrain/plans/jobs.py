@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from marketgrain import schemas as S
 from marketgrain.operators import drift, modeling as M, quality as Q, split
@@ -46,16 +46,14 @@ def train(parts: dict[str, DataFrame], horizon: int = 1, names=M.MODELS) -> tupl
 
     Medians are fitted on the training part and used for all.
     """
-    rows, fitted = M.prepare(parts["train"], horizon)
-    rows = materialize(rows, "train")
-    models = M.fit_all(rows, names)
-    prepared = {"train": rows} | {
-        n: M.prepare(parts[n], horizon, fitted)[0] for n in ("validation", "test") if n in parts
-    }
-    from pyspark.sql import functions as F
-
+    rows = {n: parts[n] for n in ("train", "validation", "test") if n in parts}
+    fitted = M.fit_medians(*[M.labelled(df, horizon) for df in rows.values()])
+    ready = {n: M.prepare(df, horizon, fitted) for n, df in rows.items()}
+    # the fits read the training rows many times
+    ready["train"] = materialize(ready["train"], "train")
+    models = M.fit_all(ready["train"], names)
     scored = reduce(
-        DataFrame.unionByName, [M.predictions(models, df.withColumn("split", F.lit(n))) for n, df in prepared.items()]
+        DataFrame.unionByName, [M.predictions(models, df.withColumn("split", F.lit(n))) for n, df in ready.items()]
     )
     return models, materialize(M.metrics(scored, ["model", "split"]), "metrics")
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import lru_cache
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from marketgrain import schemas as S
@@ -205,45 +206,85 @@ def _split(t: Tables) -> dict[str, DataFrame]:
     return split.parts(split.split_by_time(table))
 
 
-@lru_cache(maxsize=1)
+@lru_cache(maxsize=4)
 def _trained(spark, folder: str, names: tuple[str, ...]):
-    """Splits, models and metrics of one folder; the queries below share one training run."""
+    """Splits, models and metrics of one folder; queries on the same models share one training run."""
     parts = _split(Tables(spark, folder))
     models, table = train(parts, 1, names)
     return parts, models, table
 
 
-@query("m1_prepared")
+@query("m1_prepared", """
+    select sale_date, item_code, r4(avg_price) as avg_price, r4(avg_price_target_1d) as label from features where avg_price_target_1d is not null""")
 def prepared(t):
-    """Inputs and label for the one-day horizon, medians fitted on the rows themselves."""
-    return M.prepare(_split(t)["validation"])[0]
+    """Rows with a label for the one-day horizon."""
+    return M.prepare(t.features.select(S.DATE, S.ITEM, "Avg_Price", "Avg_Price_Lag_7", "Avg_Price_Target_1d")).select(
+        S.DATE, S.ITEM, "Avg_Price", "label"
+    )
+
+
+@query("m2_standardised", """
+    select sale_date, item_code, r4((avg_price - (select avg(avg_price) from daily)) / (select stddev_samp(avg_price) from daily)) as scaled from daily""")
+def standardised(t):
+    rows = t.daily.where(F.col("Avg_Price").isNotNull()).select(S.DATE, S.ITEM, "Avg_Price")
+    model = M.scaler(["Avg_Price"]).fit(rows)
+    return model.transform(rows).select(S.DATE, S.ITEM, vector_to_array("scaled")[0].alias("scaled"))
+
+
+@query("m3_linear_model", """
+    with f as (select avg_price as x, avg_price_target_1d as y from features where avg_price_target_1d is not null)
+    select r6(regr_slope(y, x)) as slope, r6(regr_intercept(y, x)) as intercept, count(*) as n from f""", digits=6)
+def linear_model(t):
+    """Least squares of tomorrow's on today's price."""
+    rows = t.features.where(F.col("Avg_Price_Target_1d").isNotNull()).select("Avg_Price", F.col("Avg_Price_Target_1d").alias("label"))
+    fitted = M.fit("linear_regression", rows, ["Avg_Price"])
+    scale, line = fitted.stages[1], fitted.stages[2]
+    slope = float(line.coefficients[0] / scale.std[0])
+    return rows.agg(
+        F.lit(slope).alias("slope"), F.lit(float(line.intercept - slope * scale.mean[0])).alias("intercept"), F.count(F.lit(1)).alias("n")
+    )
 
 
-@query("m3_linear_models")
-def linear_models(t):
-    """Linear and ridge regression: metrics per split."""
+@query("m4_ridge_model", """
+    with f as (select avg_price as x, avg_price_target_1d as y from features where avg_price_target_1d is not null)
+    select r6(covar_pop(y, x) * count(*) / (count(*) + 1) / var_pop(x)) as slope, count(*) as n from f""", digits=6)
+def ridge_model(t):
+    """Ridge regression of tomorrow's on today's price: in standard units the slope shrinks by n / (n + alpha)."""
+    rows = t.features.where(F.col("Avg_Price_Target_1d").isNotNull()).select("Avg_Price", F.col("Avg_Price_Target_1d").alias("label"))
+    fitted = M.fit("ridge", rows, ["Avg_Price"])
+    slope = float(fitted.stages[2].coefficients[0] / fitted.stages[1].std[0])
+    return rows.agg(F.lit(slope).alias("slope"), F.count(F.lit(1)).alias("n"))
+
+
+@query("m3_m4_linear_metrics")
+def linear_metrics(t):
+    """Linear and ridge regression on all inputs: metrics per split."""
     return _trained(t.spark, t.folder, M.LINEAR)[2]
 
 
-@query("m5_tree_models")
-def tree_models(t):
-    """Random forest and gradient boosting with the settings of the source: metrics per split."""
-    return _trained(t.spark, t.folder, M.MODELS[2:])[2]
+@query("m5_random_forest")
+def random_forest(t):
+    """The random forest with the settings of the source: metrics per split."""
+    return _trained(t.spark, t.folder, ("random_forest",))[2]
+
+
+@query("m6_gradient_boosting")
+def gradient_boosting(t):
+    """Gradient boosting with the settings of the source: metrics per split."""
+    return _trained(t.spark, t.folder, ("gradient_boosting",))[2]
 
 
 @query("m8_importances")
 def importance_table(t):
     """Inputs of the random forest by importance."""
-    parts, models, _ = _trained(t.spark, t.folder, M.MODELS[2:])
+    parts, models, _ = _trained(t.spark, t.folder, ("random_forest",))
     return M.importances(models["random_forest"], M.input_columns(parts["train"]))
 
 
 @query("m13_batch_scores")
 def batch_scores(t):
-    """Test rows scored by the best model, with confidence."""
-    parts, models, table = _trained(t.spark, t.folder, M.MODELS[2:])
-    validation = table.where(F.col("split") == "validation")
-    best = M.best_model(validation, F.col("mape")).first()
-    _, fitted = M.prepare(parts["train"])
-    rows, _ = M.prepare(parts["test"], 1, fitted)
-    return M.score(models[best["model"]], rows, best["model"], best["best_mape"])
+    """Test rows scored by the forest, with confidence."""
+    parts, models, table = _trained(t.spark, t.folder, ("random_forest",))
+    mape = table.where((F.col("model") == "random_forest") & (F.col("split") == "validation")).first()["mape"]
+    fitted = M.fit_medians(M.labelled(parts["train"]), M.labelled(parts["test"]))
+    return M.score(models["random_forest"], M.prepare(parts["test"], 1, fitted), "random_forest", mape)
