@@ -1,13 +1,16 @@
 """Exact order statistics and running totals that never sort a whole column in one task.
 
-Both helpers cut the value axis of every key at approximate quantiles, so that each slice holds about the
-same number of distinct values, total the slices (a few hundred rows per key) and do the fine work inside a
-slice. A value that holds a third of all rows is one row after the pre-aggregation.
+Both helpers cut the value axis of every key at approximate quantiles, total the slices (at most a few
+hundred rows per key) and do the fine work inside a slice. Running totals use slices with about the same
+number of distinct values; quantiles use narrow brackets around the wanted ranks. The cuts only decide how
+the work is spread: results are exact for any cuts. A value that holds a third of all rows is one row after
+the pre-aggregation.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -31,7 +34,7 @@ def _edges(value: Column, slices: int) -> Column:
 
 
 def _with_slice(df: DataFrame, keys: Sequence[str], value: Column, slices: int) -> DataFrame:
-    """Add ``_slice``, the part of its key's value axis a row lies in.
+    """Add ``_slice``, the part of its key's value axis a row lies in, of about even numbers of rows.
 
     Without keys the edges are one array, read as a scalar subquery. With keys they are one array per key,
     joined back; Spark checks the size of that side before it broadcasts.
@@ -45,6 +48,34 @@ def _with_slice(df: DataFrame, keys: Sequence[str], value: Column, slices: int)
     return sliced.withColumn("_slice", slice_of(F.col("_edges"), F.col("_at"), slices)).drop("_edges")
 
 
+def _with_brackets(df: DataFrame, keys: Sequence[str], probs: Sequence[float], accuracy: int) -> DataFrame:
+    """Add ``_slice``: the part of the value axis between brackets of twice the sketch's error around the ranks.
+
+    An edge is a slice of its own, so a value with very many rows shares its slice with no other value. The
+    comparisons stay within generated code.
+    """
+    reach = 2 / accuracy
+    grid = [min(1.0, max(0.0, p + d)) for p in probs for d in (-reach, reach)]
+    cuts = F.array_sort(F.percentile_approx("_v", F.expr("array(" + ", ".join(f"{g}D" for g in grid) + ")"), accuracy))
+    if not keys:
+        sliced = df.withColumn("_edges", df.agg(cuts).scalar())
+    else:
+        sliced = df.join(df.groupBy(*keys).agg(cuts.alias("_edges")), list(keys))
+    value = F.col("_v")
+    if len(grid) <= 6:
+        passed = []
+        for i in range(len(grid)):
+            edge = F.get("_edges", F.lit(i))
+            passed += [(value >= edge).cast("int"), (value > edge).cast("int")]
+        place = reduce(lambda a, b: a + b, passed)
+    else:
+        # many comparisons make a method too long to be compiled: bisect instead
+        below = slice_of(F.col("_edges"), value, len(grid))
+        on_edge = F.coalesce(F.try_element_at(F.col("_edges"), F.greatest(below, F.lit(1))) == value, F.lit(False))
+        place = below * 2 - on_edge.cast("int")
+    return sliced.withColumn("_slice", place).drop("_edges")
+
+
 def running_total(
     df: DataFrame, keys: Sequence[str], order: str, totals: dict[str, str], following: str | None = None,
     slices: int = SLICES,
@@ -76,17 +107,17 @@ def running_total(
 
 
 def exact_quantiles(
-    long: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float], slices: int = SLICES
+    long: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float], accuracy: int = ACCURACY
 ) -> DataFrame:
     """Exact quantiles with linear interpolation: one row per key with ``n`` and the array ``quantiles``.
 
-    Pass one sketches the values, pass two counts rows per slice, pass three reads only the slices that hold
-    a wanted rank. Nothing but counts is shuffled in passes one and two, and pass three shuffles about
-    ``2 * len(probs) / slices`` of the distinct values.
+    Pass one sketches the values, pass two counts rows per bracket, pass three keeps only the brackets that
+    hold a wanted rank. Nothing but counts is shuffled in passes one and two, and pass three shuffles about
+    ``4 / accuracy`` of the distinct values per wanted quantile.
     """
     keys = list(keys)
     base = long.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    sliced = _with_slice(base, keys, F.col("_v"), slices)
+    sliced = _with_brackets(base, keys, probs, accuracy)
     per_slice = sliced.groupBy(*keys, "_slice").agg(F.count("_v").alias("_rows"))
     axis = Window.partitionBy(*keys)
     upto = axis.orderBy("_slice").rowsBetween(Window.unboundedPreceding, 0)

@@ -14,8 +14,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from marketgrain.functions.naming import c
 from marketgrain.functions.numeric import count_where, ratio, to_number
-from marketgrain.functions.order_stats import exact_quantiles, running_total
+from marketgrain.functions.order_stats import exact_quantiles, running_total, slice_of
 from marketgrain.functions.pricing import drift_severity, ks_text, psi_text
+from marketgrain.session import materialize
 
 THRESHOLD = 0.25
 DRIFTED_SHARE = 0.3
@@ -88,9 +89,11 @@ def distributions(reference: DataFrame, current: DataFrame, names: Sequence[str]
     """Both empirical distribution functions at every distinct value.
 
     Values are counted before the shuffle and the running sums are built in slices of the value axis, so a
-    feature with very many values spreads over all tasks.
+    feature with very many values spreads over all tasks. The counts are read several times and therefore
+    written once.
     """
     counts = _pair(reference, current, names).groupBy("feature", "value").agg(F.sum("r").alias("r"), F.sum("c").alias("c"))
+    counts = materialize(counts, "counts")
     sizes = counts.groupBy("feature").agg(F.sum("r").alias("n_ref"), F.sum("c").alias("n_cur"))
     running = running_total(counts, ["feature"], "value", {"r": "_r", "c": "_c"}, following="next_value")
     return running.join(F.broadcast(sizes), "feature").where((F.col("n_ref") > 0) & (F.col("n_cur") > 0)).select(
@@ -146,7 +149,7 @@ def binned_shares(reference: DataFrame, current: DataFrame, names: Sequence[str]
     edges = edges.select("feature", F.array_distinct("quantiles").alias("edges"))
     edges = edges.withColumn("last", F.size("edges") - 1)
     value = F.col("value")
-    passed = F.size(F.filter("edges", lambda e: e <= value))
+    passed = slice_of(F.col("edges"), value, bins + 1)
     inside = (value >= F.element_at("edges", 1)) & (value <= F.element_at("edges", -1))
     counts = (
         _pair(reference, current, names)
