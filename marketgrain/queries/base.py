@@ -82,9 +82,9 @@ class Tables:
 
 
 def rounded_column(col, digits: int):
-    """Round half up; values within 1e-4 of a tie count as the tie, so that both engines agree on it."""
-    scale = 10.0**digits
-    return F.floor(col.cast("double") * scale + F.lit(0.5001)) / F.lit(scale)
+    """Round half away from zero; values within 1e-4 of a tie count as the tie, so that both engines agree."""
+    number, scale = col.cast("double"), 10.0**digits
+    return F.signum(number).cast("long") * F.floor(F.abs(number) * scale + F.lit(0.5001)) / F.lit(scale)
 
 
 def tidy(df: DataFrame, digits: int = 4, **by_name: int) -> DataFrame:
@@ -130,7 +130,9 @@ def rounded(sql: str) -> str:
             end += 1
         inner = sql[match.end():end - 1]
         scale = f"cast(1e{match.group(1)} as double)"
-        sql = f"{sql[:match.start()]}(floor(cast({inner} as double) * {scale} + 0.5001) / {scale}){sql[end:]}"
+        number = f"cast({inner} as double)"
+        whole = f"cast(sign({number}) as bigint) * cast(floor(abs({number}) * {scale} + 0.5001) as bigint)"
+        sql = f"{sql[:match.start()]}({whole} / {scale}){sql[end:]}"
     return sql
 
 
