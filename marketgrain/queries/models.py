@@ -203,7 +203,8 @@ def _split(t: Tables) -> dict[str, DataFrame]:
     from marketgrain.session import materialize
 
     table = materialize(feature_table(t.sales, t.quotes, t.items, t.loss_rates), "features")
-    return split.parts(split.split_by_time(table))
+    # the parts are read many times: the split is decided once and stored
+    return split.parts(materialize(split.split_by_time(table), "split"))
 
 
 @lru_cache(maxsize=4)
