@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marketgrain.llm import byte_bpe, sharding, token_counts, url_filters
+from marketgrain.llm import byte_bpe, decontamination, sharding, token_counts, url_filters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -36,6 +36,35 @@ def op4_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return byte_bpe.round_trip(table(spark, folder, "documents"))
 
 
+_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+
+@query("op5_decontamination", sql=f"""
+with doc_words as (select doc_id, {_WORDS} as words from documents),
+item_words as (select item_id, {_WORDS} as words from benchmark),
+item_starts as (
+    select item_id, words, unnest(range(1, greatest(len(words) - 9, 1) + 1)) as s from item_words where len(words) > 0),
+windows as (
+    select distinct item_id, words[s:s + 9] as w, len(words[s:s + 9]) as n from item_starts),
+lengths as (select distinct n from windows),
+doc_starts as (
+    select doc_id, words, n, unnest(range(1, len(words) - n + 2)) as s from doc_words, lengths where len(words) >= n),
+found as (
+    select d.doc_id, d.s, w.n, w.item_id from doc_starts d join windows w on w.n = d.n and w.w = d.words[d.s:d.s + d.n - 1]),
+hit as (
+    select doc_id, count(distinct p) as n_hit from (select doc_id, unnest(range(s, s + n)) as p from found) group by 1),
+items as (
+    select doc_id, count(*) as n_items, string_agg(i, ',' order by i) as ids
+    from (select distinct doc_id, cast(item_id as varchar) as i from found) group by 1)
+select d.doc_id, cast(len(words) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+    sha256(coalesce(ids, '')) as items_sha256, n_hit is not null as contaminated
+from doc_words d left join hit using (doc_id) left join items using (doc_id)
+""")
+def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 _RULES = ", ".join(
     f"('{r.text}', '{r.host}', '{r.path}', '{r.verdict}')" for r in url_filters.RULES
 )
