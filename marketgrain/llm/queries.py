@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marketgrain.llm import byte_bpe, decontamination, sharding, token_counts, url_filters
+from marketgrain.llm import byte_bpe, decontamination, near_dedup, sharding, token_counts, url_filters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -65,6 +65,29 @@ def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontamination.report(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+@query("op6_near_dedup", sql="""
+with recursive words as (
+    select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as w
+    from documents),
+shingles as (
+    select distinct doc_id, w[s:s + 2] as g
+    from (select doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) as s from words where len(w) > 0)),
+sizes as (select doc_id, count(*) as n from shingles group by 1),
+shared as (
+    select a.doc_id as a, b.doc_id as b, count(*) as k from shingles a join shingles b on a.g = b.g and a.doc_id <> b.doc_id
+    group by all),
+links as (
+    select a, b from shared join sizes x on x.doc_id = a join sizes y on y.doc_id = b where 100 * k >= 85 * (x.n + y.n - k)),
+reached(d, r) as (select doc_id, doc_id from documents union select d, b from reached join links on r = a),
+heads as (select d, min(r) as component_id from reached group by d)
+select doc_id, coalesce(n, 0) as n_shingles, component_id, doc_id = component_id as kept
+from documents left join sizes using (doc_id) join heads on d = doc_id
+""")
+def op6_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.near_components(table(spark, folder, "documents"))
+
+
 _RULES = ", ".join(
     f"('{r.text}', '{r.host}', '{r.path}', '{r.verdict}')" for r in url_filters.RULES
 )
