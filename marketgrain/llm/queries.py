@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marketgrain.llm import byte_bpe, decontamination, near_dedup, sharding, token_counts, url_filters
+from marketgrain.llm import byte_bpe, decontamination, exact_dedup, near_dedup, sharding, token_counts, url_filters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -31,6 +31,17 @@ def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, folder, "documents"))
 
 
+@query("op3_exact_dedup", sql=r"""
+with texts as (
+    select doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') as body from documents)
+select doc_id, min(doc_id) over same as keep_id, count(*) over same as group_size,
+    doc_id = min(doc_id) over same as kept, sha256(body) as text_sha256
+from texts window same as (partition by body)
+""")
+def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_dedup.groups(table(spark, folder, "documents"))
+
+
 @query("op4_byte_bpe")
 def op4_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return byte_bpe.round_trip(table(spark, folder, "documents"))
