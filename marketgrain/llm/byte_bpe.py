@@ -33,6 +33,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
+from marketgrain.llm.shipping import ship
 from marketgrain.llm.texts import slices, utf8
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -339,6 +340,7 @@ def codec(path: str) -> Codec:
 
 def round_trip(docs: DataFrame, path: str | None = None, keep_ids: bool = False) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 for every document, and on demand the ids as ``ids`` (binary)."""
+    ship(docs.sparkSession)
     path = path or public_tokenizers.path(RANKS)
 
     def run(batches):

@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from marketgrain.llm.shipping import ship
 from marketgrain.llm.texts import LETTER_WORDS, slices, utf8
 
 SIZE = 10
@@ -139,6 +140,7 @@ def find_hits(
 ) -> DataFrame:
     """Struct ``row`` of the columns to keep, n_words, n_hit, packed spans of hit words, and ids of items."""
     spark = docs.sparkSession
+    ship(spark)
     found = docs.select(
         F.struct(*[F.col(f"`{n}`") for n in keep or docs.columns]).alias("row"),
         F.col("text").cast("string").alias("text"),

@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from marketgrain.llm.components import connected
+from marketgrain.llm.shipping import ship
 from marketgrain.llm.texts import WHITESPACE_WORDS, mix, shingle_hashes, slices, utf8
 from marketgrain.session import materialize
 
@@ -119,6 +120,7 @@ def alike(a: frozenset, b: frozenset, percent: int) -> bool:
 
 def near_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every document."""
+    ship(docs.sparkSession)
     signed = materialize(signatures(docs, width), "signatures")
     full = signed.where(F.col("n_shingles") > 0)
     classes = full.groupBy("node", "tail").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"))

@@ -20,6 +20,7 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame, functions as F
 
+from marketgrain.llm.shipping import ship
 from marketgrain.llm.texts import slices, utf8
 
 MODEL = "piece_bpe_32k.model"
@@ -89,6 +90,7 @@ def count_slice(column: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
 
 def count_tokens(docs: DataFrame, path: str | None = None, limit: int = 4096) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit for every document."""
+    ship(docs.sparkSession)
     path = path or public_tokenizers.path(MODEL)
 
     def run(batches):
