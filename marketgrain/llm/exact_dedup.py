@@ -53,6 +53,8 @@ def absorb(spark: SparkSession, folder: str, schema, state: str) -> DataFrame:
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     )
     session.conf.set("spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage", "true")
+    # else each of many small stores takes megabytes of disk in advance
+    session.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")
     session.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
     source = session.readStream.schema(schema).option("maxFilesPerTrigger", FILES_PER_BATCH).parquet(folder)
     order = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id"), F.col("locator"))

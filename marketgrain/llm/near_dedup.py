@@ -36,8 +36,6 @@ from marketgrain.session import materialize
 BINS, ROWS = 128, 4
 WIDTH, PERCENT = 3, 85
 BLOCK = 256
-#: agreeing coordinates below which a pair at similarity 0.85 lies with probability < 1e-10
-LEAST_AGREEMENT = 80
 _SEEDS = mix(np.arange(1, 2 * BINS + 1, dtype=np.uint64))
 
 
@@ -58,6 +56,12 @@ def sketch(elements: np.ndarray) -> np.ndarray:
     return coordinates
 
 
+def least_agreement(percent: int) -> int:
+    """Coordinates that a pair at this similarity agrees in, but for a probability below 1e-10 (6.5 deviations)."""
+    p = percent / 100
+    return int(BINS * p - 6.5 * (BINS * p * (1 - p)) ** 0.5)
+
+
 def band_keys(coordinates: np.ndarray) -> np.ndarray:
     """One key for each band; empty for the empty set."""
     bands = coordinates.reshape(-1, ROWS)
@@ -202,6 +206,8 @@ def _between(rows: DataFrame, texts: DataFrame, width: int, percent: int) -> Dat
     )
     rows = rows.join(texts, "node")
 
+    least = least_agreement(percent)
+
     def compare(table: pa.Table) -> pa.Table:
         nodes, parent = table["node"].to_pylist(), {}
 
@@ -215,7 +221,7 @@ def _between(rows: DataFrame, texts: DataFrame, width: int, percent: int) -> Dat
         drawn = np.stack([sketch(s) for s in sets(texts, width)])
         known, found = {}, []
         for x in range(1, len(nodes)):
-            for y in np.flatnonzero((drawn[:x] == drawn[x]).sum(axis=1) >= LEAST_AGREEMENT):
+            for y in np.flatnonzero((drawn[:x] == drawn[x]).sum(axis=1) >= least):
                 if root(component[x]) == root(component[y]):
                     continue
                 for k in (x, y):

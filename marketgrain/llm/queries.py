@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from marketgrain.llm import byte_bpe, decontamination, exact_dedup, near_dedup, sharding, token_counts, url_filters
+from marketgrain.llm import (
+    byte_bpe, decontamination, exact_dedup, licenses, near_dedup, quality, sharding, token_counts, toxicity, url_filters,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -31,6 +33,11 @@ def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, folder, "documents"))
 
 
+@query("op2_toxicity")
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.score(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query("op3_exact_dedup", sql=r"""
 with texts as (
     select doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') as body from documents)
@@ -154,6 +161,39 @@ def op7_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     return url_filters.judge(table(spark, folder, "pages"))
 
 
+@query("op8_quality")
+def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.judge(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+_NOTICES = ", ".join(
+    f"('{name}', '{shingle}', {len(set(found))})"
+    for name, text in sorted(licenses.TEMPLATES.items()) for found in [licenses.plain_shingles(text)] for shingle in sorted(set(found))
+)
+
+
+@query("op9_license_scan", sql=rf"""
+with templates(license, shingle, n) as (values {_NOTICES}),
+words as (
+    select doc_id, list_transform(regexp_extract_all(lower(coalesce(text, '')), '[\p{{L}}\p{{N}}][\p{{L}}\p{{N}}.\-]*'),
+        lambda x: rtrim(x, '.-')) as w from documents),
+places as (
+    select doc_id, w, unnest(range(0, greatest(len(w) - 4, 1))) as p from words where len(w) > 0),
+shingles as (select doc_id, p, array_to_string(w[p + 1:p + 5], ' ') as shingle from places),
+held as (select doc_id, license, n, p, s.shingle from shingles s join templates t on s.shingle = t.shingle),
+windows as (
+    select doc_id, license, n, shingle, p // n * n as win from held
+    union all select doc_id, license, n, shingle, p // n * n - n from held where p >= n),
+verified as (
+    select doc_id, license, win, count(distinct shingle) / n as containment from windows group by doc_id, license, n, win
+    having count(distinct shingle) * 100 >= 80 * n)
+select doc_id, license, count(*) as n_windows, min(win) as first_window, max(containment) as containment
+from verified group by doc_id, license
+""".replace("\\\\", "\\"))
+def op9_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(table(spark, folder, "documents"))
+
+
 @query("op10_sharding")
 def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     placed = sharding.interleave(table(spark, folder, "documents"), shards=40)

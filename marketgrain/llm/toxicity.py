@@ -32,7 +32,7 @@ from marketgrain.session import materialize
 
 FOLDS = 5
 #: log-likelihood difference from which a word speaks for the toxic class
-MARGIN = 4.0
+MARGIN = 8.0
 FEATURES = ["mean_difference", "first_word", "second_word", "third_word", "marked_words"]
 TRANSLATE = np.where(LETTER_WORDS.inside, LETTER_WORDS.lower, 0x20).astype(np.uint8)
 
