@@ -8,10 +8,10 @@ with probability equal to the Jaccard similarity, and the number of agreements i
 ones. Bands of ROWS coordinates are the candidate keys: at similarity 0.85 a pair has no common band with
 probability (1 - 0.85^4)^32 < 1e-10.
 
-Documents with the same set are one class from here on. Within a band's bucket every class is compared with the
-bucket's hub only, on full sets of words; these links give components. What may be missing are links between classes
-that are both not the hub and not yet connected. Buckets that hold such classes are compared in blocks of bounded
-size, and only links that connect something new leave a block. So no bucket is emitted as pairs, and no link between
+Documents with the same set are one class from here on. In rounds, a band's bucket names a hub, and every class that is
+not yet connected with it is compared with it, on full sets of words; these links give components. A bucket is done
+when what is left of it, without its hubs, is connected. Buckets that are still open after ROUNDS hubs are compared in
+blocks of bounded size, and only links that connect something new leave a block. So no bucket is emitted as pairs, and no link between
 different texts that share a band is lost. There is no cap on a bucket.
 
 Defined results: null or empty texts have the empty set and link with nothing; fewer words than a shingle make one;
@@ -36,6 +36,8 @@ from marketgrain.session import materialize
 BINS, ROWS = 128, 4
 WIDTH, PERCENT = 3, 85
 BLOCK = 256
+#: star rounds before what is open is compared in blocks
+ROUNDS = 4
 _SEEDS = mix(np.arange(1, 2 * BINS + 1, dtype=np.uint64))
 
 
@@ -131,18 +133,32 @@ def near_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     members = materialize(
         classes.select("node", "doc_id", F.explode("bands").alias("bucket")), "buckets"
     )
-    size = members.groupBy("bucket").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = materialize(members.join(size, "bucket").drop("n"), "shared-buckets")
-
-    stars = members.where("node != hub").select("node", "hub").distinct()
-    wanted = members.select("node", "doc_id").distinct()
-    texts = materialize(_texts(docs, wanted, width), "candidate-texts")
-    links = materialize(_verified(materialize(stars, "stars"), texts, width, percent), "links")
-    tied = connected(links)
-
-    open_rows = _open(members, tied)
-    links = links.union(_between(open_rows, texts, width, percent))
-    tied = connected(links)
+    size = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    members = materialize(members.join(size, "bucket"), "shared-buckets")
+    # a class near the middle of a group meets most of it, and is the best hub
+    weights = members.groupBy("node").agg(F.sum("n").alias("weight"), F.min("doc_id").alias("doc_id"))
+    weights = materialize(weights, "weights")
+    texts = materialize(_texts(docs, weights.select("node", "doc_id"), width), "candidate-texts")
+
+    rows = materialize(
+        members.select("bucket", "node", F.col("node").alias("component")).join(weights.drop("doc_id"), "node"), "rows-0"
+    )
+    links, tied = None, connected(texts.sparkSession.createDataFrame([], "a long, b long"))
+    for turn in range(1, ROUNDS + 1):
+        hubs = rows.groupBy(F.col("bucket").alias("_bucket")).agg(F.max(F.struct("weight", "node", "component")).alias("hub"))
+        beside = rows.join(hubs, F.col("bucket") == F.col("_bucket")).where(F.col("node") != F.col("hub.node"))
+        stars = beside.where(F.col("component") != F.col("hub.component")).select(
+            F.least("node", "hub.node").alias("node"), F.greatest("node", "hub.node").alias("hub")
+        ).distinct()
+        found = materialize(_verified(materialize(stars, "stars"), texts, width, percent), f"links-{turn}")
+        links = found if links is None else links.union(found)
+        tied = connected(links)
+        rows = materialize(_open(beside.select("bucket", "node", "weight"), tied), f"rows-{turn}")
+        if rows.isEmpty():
+            break
+    else:
+        links = links.union(_between(_once_each(rows), texts, width, percent))
+        tied = connected(links)
     return _labelled(signed, tied)
 
 
@@ -181,31 +197,57 @@ def _verified(stars: DataFrame, texts: DataFrame, width: int, percent: int) -> D
     return found.select(F.col("node").alias("a"), F.col("hub").alias("b"))
 
 
-def _open(members: DataFrame, tied: DataFrame) -> DataFrame:
-    """Rows of buckets in which classes other than the hub are not connected yet; equal buckets once."""
+def _open(rows: DataFrame, tied: DataFrame) -> DataFrame:
+    """Rows of buckets whose classes are not all connected, with their components."""
     tied = tied.select(F.col("node").alias("_node"), F.col("component"))
-    rows = members.where("node != hub").join(tied, F.col("node") == F.col("_node"), "left").select(
-        "bucket", "node", F.coalesce("component", "node").alias("component")
-    )
-    rows = materialize(rows, "bucket-components")
+    rows = materialize(rows.join(tied, F.col("node") == F.col("_node"), "left").select(
+        "bucket", "node", "weight", F.coalesce("component", "node").alias("component")
+    ), "bucket-components")
+    state = rows.groupBy(F.col("bucket").alias("_bucket")).agg(
+        F.min("component").alias("low"), F.max("component").alias("high")
+    ).where("low != high")
+    return rows.join(state, F.col("bucket") == F.col("_bucket")).select("bucket", "node", "weight", "component")
+
+
+def _once_each(rows: DataFrame) -> DataFrame:
+    """Of buckets with the same classes only one."""
     state = rows.groupBy("bucket").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("sum"),
         F.bit_xor(F.xxhash64("node", F.lit(1))).alias("xor"),
-        F.min("component").alias("low"), F.max("component").alias("high"),
-    ).where("low != high")
+    )
     chosen = state.groupBy("n", "sum", "xor").agg(F.min("bucket").alias("bucket"))
-    return rows.join(chosen.select("bucket", "n"), "bucket")
+    return rows.join(chosen.select("bucket"), "bucket")
 
 
 def _between(rows: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """Links (a, b) between classes of a bucket that are not connected, compared in pairs of blocks."""
-    blocks = F.expr(f"cast(ceil(n / {BLOCK}) as int)")
-    rows = rows.withColumn("_blocks", blocks).withColumn("_own", F.pmod(F.xxhash64("node"), F.col("_blocks")))
-    rows = rows.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))).select(
-        "bucket", "node", "component", F.least("_own", "_other").alias("i"), F.greatest("_own", "_other").alias("j"),
+    """Links (a, b) between classes of a bucket that are not connected.
+
+    A bucket's largest component is compared with the rest, and the rest with itself, both in pairs of blocks. So
+    the rows of the largest component are repeated for each block of the rest only.
+    """
+    parts = rows.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
+    main = parts.groupBy(F.col("bucket").alias("_bucket")).agg(
+        F.max(F.struct("n", "component")).alias("main"), F.sum("n").alias("all")
+    ).select(
+        "_bucket", F.col("main.component").alias("_main"),
+        F.expr(f"cast(ceil(main.n / {BLOCK}) as int)").alias("_mains"),
+        F.expr(f"cast(ceil((all - main.n) / {BLOCK}) as int)").alias("_rests"),
     )
-    rows = rows.join(texts, "node")
-
+    rows = rows.join(main, F.col("bucket") == F.col("_bucket")).withColumn("rest", F.col("component") != F.col("_main"))
+    own = F.pmod(F.xxhash64("node"), F.when(F.col("rest"), F.col("_rests")).otherwise(F.col("_mains"))).cast("int")
+    upto = F.sequence(F.lit(0), F.when(F.col("rest"), F.col("_mains")).otherwise(F.col("_rests")) - 1)
+    rows = rows.withColumn("_own", own)
+    columns = ["bucket", "node", "component", "rest"]
+    across = rows.select("*", F.explode(upto).alias("_other")).select(
+        *columns, F.lit(True).alias("across"), F.when(F.col("rest"), F.col("_own")).otherwise(F.col("_other")).alias("i"),
+        F.when(F.col("rest"), F.col("_other")).otherwise(F.col("_own")).alias("j"),
+    )
+    within = rows.where("rest").select(
+        "*", F.explode(F.sequence(F.lit(0), F.col("_rests") - 1)).alias("_other")
+    ).select(
+        *columns, F.lit(False).alias("across"), F.least("_own", "_other").alias("i"), F.greatest("_own", "_other").alias("j"),
+    )
+    rows = across.union(within).join(texts, "node")
     least = least_agreement(percent)
 
     def compare(table: pa.Table) -> pa.Table:
@@ -217,11 +259,14 @@ def _between(rows: DataFrame, texts: DataFrame, width: int, percent: int) -> Dat
             return x
 
         component = table["component"].to_pylist()
+        rest, across = np.array(table["rest"].to_pylist()), table["across"][0].as_py()
         texts = table["text"].combine_chunks()
         drawn = np.stack([sketch(s) for s in sets(texts, width)])
         known, found = {}, []
-        for x in range(1, len(nodes)):
-            for y in np.flatnonzero((drawn[:x] == drawn[x]).sum(axis=1) >= least):
+        others = np.flatnonzero(~rest) if across else np.arange(len(nodes))
+        for x in np.flatnonzero(rest):
+            against = others if across else others[:x]
+            for y in against[(drawn[against] == drawn[x]).sum(axis=1) >= least]:
                 if root(component[x]) == root(component[y]):
                     continue
                 for k in (x, y):
@@ -232,7 +277,7 @@ def _between(rows: DataFrame, texts: DataFrame, width: int, percent: int) -> Dat
                     parent[root(component[x])] = root(component[y])
         return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
 
-    return rows.groupBy("bucket", "i", "j").applyInArrow(compare, "a long, b long")
+    return rows.groupBy("bucket", "across", "i", "j").applyInArrow(compare, "a long, b long")
 
 
 def _labelled(signed: DataFrame, tied: DataFrame) -> DataFrame:
