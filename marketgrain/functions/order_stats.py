@@ -14,8 +14,13 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from marketgrain.session import materialize
+
 SLICES = 128
 ACCURACY = 10_000
+#: keys whose edges may be broadcast: SLICES doubles each, about ten megabytes
+BROADCAST_KEYS = 10_000
+SALTS = 64
 
 
 def slice_of(edges: Column, value: Column, slices: int = SLICES) -> Column:
@@ -33,18 +38,31 @@ def _edges(value: Column, slices: int) -> Column:
     return F.array_sort(F.array_distinct(F.percentile_approx(value, grid, ACCURACY)))
 
 
+def _beside(df: DataFrame, edges: DataFrame, keys: Sequence[str], value: Column) -> DataFrame:
+    """``df`` with its key's edges, without bringing a key's rows to one task.
+
+    The edges are stored and counted. Up to BROADCAST_KEYS keys they are broadcast; beyond that the rows are joined on
+    the key and a salt drawn from the value, with the edges repeated for each salt.
+    """
+    edges = materialize(edges, "edges")
+    if edges.count() <= BROADCAST_KEYS:
+        return df.join(F.broadcast(edges), list(keys))
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(value), F.lit(SALTS)).cast("int"))
+    repeated = edges.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(repeated, [*keys, "_salt"]).drop("_salt")
+
+
 def _with_slice(df: DataFrame, keys: Sequence[str], value: Column, slices: int) -> DataFrame:
     """Add ``_slice``, the part of its key's value axis a row lies in, of about even numbers of rows.
 
-    Without keys the edges are one array, read as a scalar subquery. With keys they are one array per key,
-    joined back; Spark checks the size of that side before it broadcasts.
+    Without keys the edges are one array, read as a scalar subquery. With keys they are one array per key, put
+    beside the rows by ``_beside``.
     """
     df = df.withColumn("_at", value)
     if not keys:
         sliced = df.withColumn("_edges", df.agg(_edges(F.col("_at"), slices)).scalar())
     else:
-        edges = df.groupBy(*keys).agg(_edges(F.col("_at"), slices).alias("_edges"))
-        sliced = df.join(edges, list(keys))
+        sliced = _beside(df, df.groupBy(*keys).agg(_edges(F.col("_at"), slices).alias("_edges")), keys, F.col("_at"))
     return sliced.withColumn("_slice", slice_of(F.col("_edges"), F.col("_at"), slices)).drop("_edges")
 
 
@@ -60,7 +78,7 @@ def _with_brackets(df: DataFrame, keys: Sequence[str], probs: Sequence[float], a
     if not keys:
         sliced = df.withColumn("_edges", df.agg(cuts).scalar())
     else:
-        sliced = df.join(df.groupBy(*keys).agg(cuts.alias("_edges")), list(keys))
+        sliced = _beside(df, df.groupBy(*keys).agg(cuts.alias("_edges")), keys, F.col("_v"))
     value = F.col("_v")
     if len(grid) <= 6:
         passed = []
@@ -131,6 +149,10 @@ def exact_quantiles(
         .where(F.size("_ranks") > 0)
         .select(*keys, "_slice", "_start", "_ranks", "n")
     )
+    # at most two slices a rank; sizes that follow the keys only
+    wanted = materialize(wanted, "wanted")
+    if wanted.count() <= BROADCAST_KEYS * 4:
+        wanted = F.broadcast(wanted)
     fine = (
         sliced.join(wanted, [*keys, "_slice"], "left_semi")
         .groupBy(*keys, "_slice", "_v")

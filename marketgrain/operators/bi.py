@@ -7,6 +7,7 @@ lookup ignores case, as the report columns of a catalog table come in lower case
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date, timedelta
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -143,7 +144,7 @@ def weekend_vs_weekday(df: DataFrame) -> DataFrame:
 def category_prices_since(df: DataFrame, year: int = 2023, limit: int = 30) -> DataFrame:
     name = _category(df)
     return (
-        df.where(c(name).isNotNull() & (F.col("Year") >= year) & (F.col("Avg_Price") > 0))
+        df.where(c(name).isNotNull() & (c(S.DATE) >= F.lit(date(year, 1, 1))) & (F.col("Avg_Price") > 0))
         .groupBy(c(name).alias("category_name"))
         .agg(F.avg("Avg_Price").alias("avg_price"), _count("data_points"))
         .orderBy(F.desc("avg_price"), "category_name")
@@ -153,9 +154,10 @@ def category_prices_since(df: DataFrame, year: int = 2023, limit: int = 30) -> D
 
 def daily_revenue_trend(df: DataFrame, days: int = 90) -> DataFrame:
     """Revenue per day over the last ``days`` days; the newest day is read first, so old files can be skipped."""
-    newest = df.agg(F.max(S.DATE)).scalar()
+    newest = df.agg(F.max(S.DATE)).first()[0]
+    since = F.lit(newest - timedelta(days=days)) if newest else F.lit(None)
     return (
-        df.where(c(S.DATE) > F.date_sub(newest, days))
+        df.where(c(S.DATE) > since)
         .groupBy(S.DATE)
         .agg(F.sum("Revenue").alias("daily_revenue"))
         .orderBy(S.DATE)

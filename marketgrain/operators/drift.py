@@ -167,10 +167,16 @@ def binned_shares(reference: DataFrame, current: DataFrame, names: Sequence[str]
     )
 
 
+def _with_values(reference: DataFrame, current: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Features that have values on both sides."""
+    sides = _pair(reference, current, names).where(F.col("value").isNotNull()).groupBy("feature")
+    return sides.agg(F.sum("r").alias("_r"), F.sum("c").alias("_c")).where("_r > 0 and _c > 0").select("feature")
+
+
 def psi_drift(
     reference: DataFrame, current: DataFrame, names: Sequence[str], bins: int = 10, threshold: float = 0.25
 ) -> DataFrame:
-    """Population stability index; 0 for a feature that has one value."""
+    """Population stability index; 0 for a feature that has one edge. A feature without values on a side is left out."""
     def filled(name: str) -> Column:
         return F.when(F.col(name) == 0, F.lit(EMPTY_BIN)).otherwise(F.col(name))
 
@@ -178,15 +184,14 @@ def psi_drift(
     scores = binned_shares(reference, current, names, bins).groupBy("feature").agg(
         F.sum((n - r) * F.ln(n / r)).alias("drift_score")
     )
-    every = reference.sparkSession.createDataFrame([(n,) for n in names], "feature string")
-    scored = every.join(scores, "feature", "left").withColumn("drift_score", F.coalesce("drift_score", F.lit(0.0)))
+    scored = _with_values(reference, current, names).join(scores, "feature", "left").withColumn("drift_score", F.coalesce("drift_score", F.lit(0.0)))
     return scored.withColumns({
         "drift_detected": F.col("drift_score") > threshold, "interpretation": psi_text(F.col("drift_score"))
     })
 
 
 def jensen_shannon(reference: DataFrame, current: DataFrame, names: Sequence[str], bins: int = 10) -> DataFrame:
-    """Jensen-Shannon distance over the reference's quantile bins."""
+    """Jensen-Shannon distance over the reference's quantile bins; features without values on a side are left out."""
     p, q = F.col("ref_share"), F.col("cur_share")
     middle = (p + q) / 2
 
@@ -194,7 +199,8 @@ def jensen_shannon(reference: DataFrame, current: DataFrame, names: Sequence[str
         return F.when(share > 0, share * F.ln(share / middle)).otherwise(0.0)
 
     table = binned_shares(reference, current, names, bins).groupBy("feature")
-    return table.agg(F.sqrt(F.greatest(F.sum((part(p) + part(q)) / 2), F.lit(0.0))).alias("drift_score"))
+    scores = table.agg(F.sqrt(F.greatest(F.sum((part(p) + part(q)) / 2), F.lit(0.0))).alias("drift_score"))
+    return scores.join(_with_values(reference, current, names), "feature", "left_semi")
 
 
 def chi_square(reference: DataFrame, current: DataFrame, names: Sequence[str]) -> DataFrame:

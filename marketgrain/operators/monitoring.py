@@ -28,6 +28,8 @@ RULES = (
 LATENCY_BOUNDS = (0.005, 0.01, 0.025, 0.05, 0.075, 0.1, 0.25, 0.5, 0.75, 1.0, 2.5, 5.0, 7.5, 10.0)
 #: rows kept per area of the history
 RETENTION = {"system": 1000, "api": 1000, "models": 500, "data_quality": 500, "alerts": 100}
+RETENTION_PARTS = 64
+API_ENTITY = "api_health"
 RULE_SCHEMA = "alert_type string, metric string, direction string, threshold double, critical double, base string"
 SERIES = ("source", "entity", "metric")
 
@@ -91,7 +93,7 @@ def data_status(score: Column, hours: Column) -> Column:
 
 def overall_models(metrics: DataFrame) -> DataFrame:
     """One row: how many models are in which state and the state of all."""
-    latest = newest_wide(metrics.where(F.col("source") == "models"), ["entity"], ["val_mape"])
+    latest = newest_wide(metrics.where((F.col("source") == "models") & ~_is_api()), ["entity"], ["val_mape"])
     graded = latest.withColumn("status", model_status(F.coalesce("val_mape", F.lit(0.0))))
     counts = graded.agg(
         F.count(F.lit(1)).alias("models_count"),
@@ -106,11 +108,16 @@ def overall_models(metrics: DataFrame) -> DataFrame:
     return counts.withColumn("status", state)
 
 
+def _is_api() -> Column:
+    """Rows of the service's health check, which come among the models' rows."""
+    return (F.col("source") == "models") & F.col("entity").eqNullSafe(F.lit(API_ENTITY))
+
+
 def api_health(metrics: DataFrame) -> DataFrame:
-    """Newest latency of the service; a mean above two seconds counts as unhealthy."""
-    latest = newest_wide(metrics.where(F.col("source") == "api"), [], ["average_latency_ms"])
-    slow = F.col("average_latency_ms")
-    return latest.withColumn("status", _grade(slow, [(slow > 2000, "unhealthy")], "healthy"))
+    """One row: the newest health check of the service; no_data where there is none."""
+    latest = newest_wide(metrics.where(_is_api()), [], ["status_healthy"])
+    sound = F.col("status_healthy")
+    return latest.withColumn("status", _grade(sound, [(sound >= 1, "healthy")], "unhealthy"))
 
 
 def health(metrics: DataFrame, freshness_hours: Column) -> DataFrame:
@@ -143,7 +150,7 @@ def indicators(metrics: DataFrame, freshness_hours: Column) -> DataFrame:
     """Dashboard words for system, models and data, whose limits differ from those of ``health``."""
     system = newest_wide(metrics.where(F.col("source") == "system"), [], ["cpu_percent", "memory_percent"])
     cpu, memory = F.col("cpu_percent"), F.col("memory_percent")
-    latest = newest_wide(metrics.where(F.col("source") == "models"), ["entity"], ["val_mape"])
+    latest = newest_wide(metrics.where((F.col("source") == "models") & ~_is_api()), ["entity"], ["val_mape"])
     models = latest.agg(F.count(F.lit(1)).alias("n"), count_where(F.col("val_mape") > 20).alias("bad"))
     down = api_health(metrics).select(F.col("status") == "unhealthy").scalar()
     data = newest_wide(metrics.where(F.col("source") == "data_quality"), [], ["quality_score"])
@@ -167,16 +174,20 @@ def indicators(metrics: DataFrame, freshness_hours: Column) -> DataFrame:
 
 
 def keep_newest(history: DataFrame, limits: dict[str, int] | None = None) -> DataFrame:
-    """The newest rows of each area of the history.
+    """The newest rows of each area that has a limit, and all rows of other areas.
 
-    The area keeps at most 1000 rows, which lets Spark cut each task's rows before the shuffle.
+    An area is cut in parts first, so no task sorts all of it, whatever the limit.
     """
     limits = limits or RETENTION
-    largest = max(limits.values())
     limit = F.try_element_at(F.create_map(*[F.lit(x) for p in limits.items() for x in p]), F.col("source"))
-    order = Window.partitionBy("source").orderBy(F.desc("ts"), F.desc("event_id"))
-    ranked = history.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= largest)
-    return ranked.where(F.col("_rank") <= F.coalesce(limit, F.lit(largest))).drop("_rank")
+    newest = [F.desc("ts"), F.desc("event_id")]
+    limited = history.withColumn("_limit", limit).where(F.col("_limit").isNotNull())
+    parts = limited.withColumn("_part", F.pmod(F.xxhash64("event_id"), F.lit(RETENTION_PARTS)))
+    near = F.row_number().over(Window.partitionBy("source", "_part").orderBy(*newest))
+    parts = parts.withColumn("_rank", near).where(F.col("_rank") <= F.col("_limit"))
+    far = F.row_number().over(Window.partitionBy("source").orderBy(*newest))
+    kept = parts.withColumn("_rank", far).where(F.col("_rank") <= F.col("_limit")).drop("_rank", "_part", "_limit")
+    return kept.unionByName(history.where(limit.isNull()))
 
 
 def younger_than(history: DataFrame, now: Column, hours: int = 24) -> DataFrame:

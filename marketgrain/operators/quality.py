@@ -71,15 +71,23 @@ def missing_values(df: DataFrame, names: Sequence[str] | None = None) -> DataFra
 def duplicate_rows(df: DataFrame) -> DataFrame:
     """Rows beyond the first of equal rows (NULLs equal) and all rows, from one grouped pass.
 
-    Equal rows collapse before the shuffle, so a row repeated very often is no hot group.
+    Rows are grouped by a digest of 256 bits of their JSON form, so texts are not shuffled. Equal rows collapse before
+    the shuffle, so a row repeated very often is no hot group.
     """
-    counts = df.groupBy(*[c(n) for n in df.columns]).agg(F.count(F.lit(1)).alias("_n"))
+    counts = df.groupBy(row_digest(df).alias("_row")).agg(F.count(F.lit(1)).alias("_n"))
     return counts.agg(
         F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicate_rows"),
         F.coalesce(F.sum("_n"), F.lit(0)).alias("total_rows"),
     )
 
 
+def row_digest(df: DataFrame) -> Column:
+    """A digest that tells rows apart; NULL, empty and text forms of values differ."""
+    whole = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+    options = {"ignoreNullFields": "false", "timestampFormat": f"{whole}XXX", "timestampNTZFormat": whole}
+    return F.unhex(F.sha2(F.to_json(F.struct(*[c(n) for n in df.columns]), options), 256))
+
+
 def date_ranges(df: DataFrame) -> DataFrame:
     """First and last day and days between for every column whose name speaks of a date."""
     kinds = dict(df.dtypes)
@@ -232,18 +240,19 @@ def run_summary(scores: DataFrame, all_present: Column | bool = True) -> DataFra
 def table_overview(df: DataFrame, label: str, key: str = S.ITEM) -> DataFrame:
     """Rows, columns, duplicates, overall missing share and distinct keys of one table.
 
-    Rows are grouped once by full content; every measure comes from the grouped counts.
+    Rows are grouped once by their digest; every measure comes from the grouped counts.
     """
     names = df.columns
     empties = reduce(lambda a, b: a + b, [c(n).isNull().cast("long") for n in names])
-    unique = F.count_distinct(c(key)) if key in names else F.lit(None).cast("long")
-    grouped = df.groupBy(*[c(n) for n in names]).agg(F.count(F.lit(1)).alias("_n"))
+    unique = F.count_distinct("_key") if key in names else F.lit(None).cast("long")
+    held = [F.max(empties).alias("_empty"), *([F.max(c(key)).alias("_key")] if key in names else [])]
+    grouped = df.groupBy(row_digest(df).alias("_row")).agg(F.count(F.lit(1)).alias("_n"), *held)
     rows = F.sum("_n")
     return grouped.agg(
         rows.alias("row_count"),
         F.lit(len(names)).cast("long").alias("column_count"),
         F.sum(F.col("_n") - 1).alias("duplicate_rows"),
-        F.round(percent(F.sum(F.col("_n") * empties), rows * len(names)), 2).alias("missing_pct"),
+        F.round(percent(F.sum(F.col("_n") * F.col("_empty")), rows * len(names)), 2).alias("missing_pct"),
         unique.alias("unique_items"),
     ).select(F.lit(label).alias("dataset"), "*")
 

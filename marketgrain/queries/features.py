@@ -523,11 +523,11 @@ def infinite_to_median(t):
 
 @query("i6_divisor_floor", """
     select item_code, r2(avg_price / greatest(price_volatility, 1e-8)) as scaled, count(*) as n
-    from daily where price_volatility > 0.01 group by 1, 2""", digits=2)
+    from daily group by 1, 2""", digits=2)
 def divisor_floor(t):
-    df = t.daily.where(F.col("Price_Volatility") > 0.01)
+    """Days without any spread divide by the floor."""
     scaled = rounded_column(F.col("Avg_Price") / F.greatest(F.col("Price_Volatility"), F.lit(1e-8)), 2)
-    return df.groupBy(S.ITEM, scaled.alias("scaled")).agg(F.count(F.lit(1)).alias("n"))
+    return t.daily.groupBy(S.ITEM, scaled.alias("scaled")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("i7_target_inputs", """

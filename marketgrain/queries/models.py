@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
@@ -207,9 +206,8 @@ def _split(t: Tables) -> dict[str, DataFrame]:
     return split.parts(materialize(split.split_by_time(table), "split"))
 
 
-@lru_cache(maxsize=4)
 def _trained(spark, folder: str, names: tuple[str, ...]):
-    """Splits, models and metrics of one folder; queries on the same models share one training run."""
+    """Splits, models and metrics of one folder."""
     parts = _split(Tables(spark, folder))
     models, table = train(parts, 1, names)
     return parts, models, table

@@ -93,12 +93,22 @@ _STATUS = f"""
         union all select 'data', case when q > 85 then 'healthy' when q > 70 then 'warning' else 'critical' end from n)"""
 
 
+def checked_metrics(t):
+    """The metrics with a health check of the service for each measured latency; over two seconds it failed."""
+    latency = t.metrics.where((F.col("source") == "api") & (F.col("metric") == "average_latency_ms"))
+    checks = latency.withColumns({
+        "source": F.lit("models"), "entity": F.lit(H.API_ENTITY), "metric": F.lit("status_healthy"),
+        "value": (F.col("value") <= 2000).cast("double"),
+    })
+    return t.metrics.unionByName(checks)
+
+
 @query("h2_health", f"""
     with {_LATEST}, {_STATUS}
     select * from areas union all select 'overall', case max(case status when 'critical' then 3 when 'warning' then 2 when 'unhealthy' then 2
         when 'no_data' then 0 else 1 end) when 3 then 'critical' when 2 then 'warning' when 1 then 'healthy' else 'no_data' end from areas""")
 def health(t):
-    return H.health(t.metrics, fresh())
+    return H.health(checked_metrics(t), fresh())
 
 
 @query("h3_indicators", f"""
@@ -108,7 +118,7 @@ def health(t):
         else 'Performing Well' end from m, n
     union all select 'data', case when q >= 85 then 'Excellent' when q >= 70 then 'Good' else 'Issues' end from n""")
 def indicators(t):
-    return H.indicators(t.metrics, fresh())
+    return H.indicators(checked_metrics(t), fresh())
 
 
 _LIMITS = " ".join(f"when '{k}' then {v}" for k, v in H.RETENTION.items())

@@ -86,33 +86,43 @@ def dashboard_files(t):
 
 
 @query("s18_snapshots", """
-    select ts, source, 'system' as entity, metric, r4(value) as value from (select cast(ts as timestamp) as ts, source, metric, value from metrics) m
-    where source = 'system'""")
+    select cast(ts as timestamp) as ts, source, case when source = 'models' then entity else source end as entity, metric, r4(value) as value
+    from metrics""")
 def snapshots(t):
-    """System metrics written as nested snapshots, one per entity, and read back as long rows."""
+    """All metrics written as nested snapshots and read back as long rows; each measurement is one small snapshot."""
     folder = fresh_folder(t.spark, "snapshots")
-    fields = [F.when(F.col("metric") == n, F.col("value")).alias(n) for n in readers.SYSTEM_FIELDS]
     stamp = F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("timestamp")
-    # a snapshot holds one hour of one entity, which bounds its array
-    rows = t.metrics.where(F.col("source") == "system").select("entity", F.date_trunc("hour", "ts").alias("hour"), F.struct(stamp, *fields).alias("e"))
-    rows.groupBy("entity", "hour").agg(F.collect_list("e").alias("system")).select("system").write.json(folder)
+
+    def entries(source, names):
+        fields = [F.when(F.col("metric") == n, F.col("value")).alias(n) for n in names]
+        return F.when(F.col("source") == source, F.array(F.struct(stamp, *fields)))
+
+    models = F.when(F.col("source") == "models", F.create_map("entity", entries("models", readers.MODEL_FIELDS)))
+    t.metrics.select(
+        entries("system", readers.SYSTEM_FIELDS).alias("system"), models.alias("models"),
+        entries("api", readers.API_FIELDS).alias("api"), entries("data_quality", readers.QUALITY_FIELDS).alias("data_quality"),
+    ).write.json(folder)
     spark = t.spark
     raw = spark.read.schema(readers.SNAPSHOT_SCHEMA).json(folder)
     return naive_ts(readers.long_snapshots(raw).select("ts", "source", "entity", "metric", "value"))
 
 
 @query("s19_evaluation", f"""
-    with {_BY_VERSION}, v as (select * from scores where version = 2000)
-    select model, 'val_mape' as metric, r4(mape) as value from v union all select model, 'val_rmse', r4(rmse) from v
-    union all select model, m, 0 from v, (select unnest(['val_r2', 'test_mape', 'test_rmse', 'test_r2']) as m) x""")
+    with {_BY_VERSION} select model, version, 'val_mape' as metric, r4(mape) as value from scores
+    union all select model, version, 'val_rmse', r4(rmse) from scores
+    union all select model, version, m, 0 from scores, (select unnest(['val_r2', 'test_mape', 'test_rmse', 'test_r2']) as m) x""")
 def evaluation(t):
-    """Metrics of the naive models written as an evaluation file and read back."""
+    """Metrics of the naive models, all versions, written as an indented evaluation file and read back."""
     folder = fresh_folder(t.spark, "evaluation")
-    by_model = scores(t).where(F.col("version") == 2000).select(
-        "model", F.create_map(F.lit("val_mape"), F.col("mape"), F.lit("val_rmse"), F.col("rmse")).alias("m"))
-    # one entry per model
-    by_model.agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("model", "m")))).alias("value")).coalesce(1).write.text(folder)
-    return readers.read_evaluation(t.spark, folder)
+    by_model = scores(t).select(
+        F.concat_ws("|", "model", "version").alias("name"),
+        F.create_map(F.lit("val_mape"), F.col("mape"), F.lit("val_rmse"), F.col("rmse")).alias("m"))
+    # one entry per model and version
+    text = F.to_json(F.map_from_entries(F.collect_list(F.struct("name", "m"))), {"pretty": "true"})
+    by_model.agg(text.alias("value")).coalesce(1).write.text(folder)
+    rows = readers.read_evaluation(t.spark, folder)
+    name = F.split("model", r"\|")
+    return rows.select(name[0].alias("model"), name[1].cast("long").alias("version"), "metric", "value")
 
 
 @query("s22_first_existing", f"select {DAILY_SQL} from daily", revenue=2)
@@ -141,29 +151,35 @@ def export(t):
 
 
 @query("s26_corrupt_files", f"""
-    with {_RULES}, x as (select event_id from {violated('metrics')} y)
-    select 'good' as part, count(*) as n from x where event_id % 10 <> 0
-    union all select 'quarantined', count(*) from x where event_id % 10 = 0""")
+    with {_RULES}, x as (select alert_type, entity, event_id, severity, row_number() over (partition by alert_type, entity
+        order by ts desc, event_id desc) as k from {violated('metrics')} y)
+    select case when event_id % 3 = 0 then 'quarantined' else 'good' end as part, case when event_id % 3 <> 0 then alert_type end as alert_type,
+        case when event_id % 3 <> 0 then severity end as severity, count(*) as n from x where k = 1 group by 1, 2, 3""")
 def corrupt_files(t):
-    """Alert texts of which some are cut off: readable rows and quarantined ones."""
+    """A file for the newest alert of each type and entity, indented, some cut off: readable rows and quarantined files."""
     folder = fresh_folder(t.spark, "corrupt")
     rows = H.violations(t.metrics, H.rules_table(t.spark)).select(
-        "event_id", F.to_json(F.struct(F.col("alert_type").alias("type"), "severity", "message", "value")).alias("value"))
-    cut = F.when(F.col("event_id") % 10 == 0, F.substring("value", 1, 30)).otherwise(F.col("value"))
-    rows.select(cut.alias("value")).write.text(folder)
-    good, broken = readers.read_alert_lines(t.spark, folder)
-    return good.agg(F.count(F.lit(1)).alias("n")).select(F.lit("good").alias("part"), "n").unionByName(
-        broken.agg(F.count(F.lit(1)).alias("n")).select(F.lit("quarantined").alias("part"), "n"))
+        "alert_type", "entity", "ts", "event_id", "severity",
+        F.to_json(F.struct(F.col("alert_type").alias("type"), "severity", "message", "value"), {"pretty": "true"}).alias("value"))
+    newest = rows.groupBy("alert_type", "entity").agg(F.max_by(F.struct("event_id", "value"), F.struct("ts", "event_id")).alias("a"))
+    cut = F.when(F.col("a.event_id") % 3 == 0, F.substring("a.value", 1, 30)).otherwise(F.col("a.value"))
+    newest.select(F.concat_ws("-", "alert_type", "entity").alias("file"), cut.alias("value")).write.partitionBy("file").text(folder)
+    good, broken = readers.read_alerts(t.spark, folder)
+    good = good.select(F.lit("good").alias("part"), F.col("type").alias("alert_type"), "severity")
+    lost = broken.where(F.col("text").startswith("{")).select(
+        F.lit("quarantined").alias("part"), F.lit(None).cast("string").alias("alert_type"), F.lit(None).cast("string").alias("severity"))
+    return good.unionByName(lost).groupBy("part", "alert_type", "severity").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("s27_alert_sink", f"""
     with {_RULES} select alert_type, severity, count(*) as n from {violated('metrics')} x
-    where alert_type in ('system_cpu', 'system_memory') group by 1, 2""")
+    group by 1, 2""")
 def alert_sink(t):
     folder = fresh_folder(t.spark, "alerts")
     rows = H.violations(t.metrics, H.rules_table(t.spark)).select("alert_type", "entity", "severity", "value")
-    for area in ("system_cpu", "system_memory"):
-        writers.append_alerts(rows.where(F.col("alert_type") == area), folder)
+    # two appends, each of some of the alerts of every type
+    for part in (0, 1):
+        writers.append_alerts(rows.where(F.pmod(F.xxhash64("entity"), F.lit(2)) == part), folder)
     return t.spark.read.schema(rows.schema).json(folder).groupBy("alert_type", "severity").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -47,11 +47,13 @@ _WINDOW = """select {start} as window_start, {start} + {width} as window_end, so
 _MINUTES = _WINDOW.format(start="date_trunc('minute', ts)", width="interval 1 minute", rows="metrics")
 
 
-@query("r1_metric_windows", f"""
-    with w as ({_MINUTES}) select * from w where window_end <= (select max(ts) - interval 10 minute from metrics)""")
+WINDOW_KEYS = ["window_start", "window_end", "source", "metric"]
+
+
+@query("r1_metric_windows", _MINUTES)
 def metric_windows(t):
-    """Windows that the watermark has closed."""
-    return naive_ts(runs.run_to_files(J.metric_windows(metric_stream(t)), "windows"), "window_start", "window_end")
+    """Every window, also those that are open when the input ends."""
+    return naive_ts(runs.run_to_end(J.metric_windows(metric_stream(t)), WINDOW_KEYS, "windows"), "window_start", "window_end")
 
 
 @query("r1_metric_windows_batch", _MINUTES)
@@ -63,11 +65,10 @@ _WEEK = _WINDOW.format(start="d", width="interval 7 day",
                        rows="(select m.*, date_trunc('day', ts) - k * interval 1 day as d from metrics m, (select unnest(range(0, 7)) as k) s) x")
 
 
-@query("r5_trailing_week", f"""
-    with w as ({_WEEK}) select * from w where window_end <= (select max(ts) - interval 10 minute from metrics)""")
+@query("r5_trailing_week", _WEEK)
 def trailing_week(t):
     rows = J.metric_windows(metric_stream(t), width="7 days", slide="1 day")
-    return naive_ts(runs.run_to_files(rows, "weeks"), "window_start", "window_end")
+    return naive_ts(runs.run_to_end(rows, WINDOW_KEYS, "weeks"), "window_start", "window_end")
 
 
 @query("r5_trailing_week_batch", _WEEK)
@@ -77,12 +78,10 @@ def trailing_week_batch(t):
 
 @query("r7_streaming_daily", f"""
     select sale_date, item_code, transaction_count, discount_count, {r('total_quantity avg_quantity avg_price price_volatility')},
-           r2(revenue) as revenue from daily
-    where sale_date + interval 1 day <= (select cast(max(sale_date) as timestamp) - interval 1 day from sales
-                                         where lower(sale_or_return) = 'sale')""", revenue=2)
+           r2(revenue) as revenue from daily""", revenue=2)
 def streaming_daily(t):
-    """Days that the watermark has closed."""
-    out = runs.run_to_files(J.daily_windows(sale_stream(t)), "daily")
+    """Every day, also those that are open when the input ends."""
+    out = runs.run_to_end(J.daily_windows(sale_stream(t)), [S.DATE, S.ITEM], "daily")
     return out.select(S.DATE, c(S.ITEM), "Transaction_Count", "Discount_Count", "Total_Quantity", "Avg_Quantity", "Avg_Price",
                       "Price_Volatility", "Revenue")
 
@@ -170,8 +169,7 @@ def sessions_batch(t):
     return naive_ts(J.sessions(t.requests), "session_start", "session_end")
 
 
-@query("r8_sessions", f"""
-    select * from ({_SESSIONS.strip()}) z where session_end <= (select max(ts) - interval 10 minute from request_log)""")
+@query("r8_sessions", _SESSIONS)
 def sessions(t):
-    """Sessions that the watermark has closed."""
-    return naive_ts(runs.run_to_files(J.sessions(request_stream(t)), "sessions"), "session_start", "session_end")
+    """Every session, also those that are open when the input ends."""
+    return naive_ts(runs.run_complete(J.sessions(request_stream(t)), "sessions"), "session_start", "session_end")

@@ -108,7 +108,7 @@ def long_snapshots(raw: DataFrame) -> DataFrame:
 
 def read_evaluation(spark: SparkSession, path: str) -> DataFrame:
     """Evaluation file to rows (model, metric, value) of the six kept metrics, 0 where a model lacks one."""
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     models = text.select(F.explode(F.from_json("value", "map<string, map<string, double>>")).alias("model", "m"))
     names = F.explode(F.array(*[F.lit(n) for n in S.METRIC_NAMES]))
     return models.select("model", "m", names.alias("metric")).select(
@@ -151,7 +151,7 @@ def read_alerts(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
 
     The text is parsed here, not by the JSON reader, so a broken file keeps its whole text.
     """
-    text = spark.read.option("wholetext", True).text(path).select("value", F.input_file_name().alias("path"))
+    text = spark.read.text(path, wholetext=True).select("value", F.input_file_name().alias("path"))
     return _sound_and_broken(_parsed(text))
 
 

@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from marketgrain.operators import drift
 
@@ -70,3 +71,12 @@ def test_performance_drift_sets_baseline(spark):
 def test_no_alert_without_drift(spark):
     a = frame(spark, range(100))
     assert drift.alert(drift.verdict(drift.detect(a, a, ["x"])), "statistical").count() == 0
+
+
+def test_features_without_values_are_left_out(spark):
+    full = spark.createDataFrame([(float(i), 1.0, float(i)) for i in range(50)], "x double, one double, y double")
+    empty = full.withColumn("y", F.lit(None).cast("double"))
+    for a, b in ((full, empty), (empty, full)):
+        psi = {r["feature"]: r["drift_score"] for r in drift.psi_drift(a, b, ["x", "one", "y"]).collect()}
+        assert set(psi) == {"x", "one"} and psi["one"] == 0.0
+        assert "y" not in {r["feature"] for r in drift.jensen_shannon(a, b, ["x", "y"]).collect()}

@@ -100,11 +100,42 @@ def test_alert_stream_over_batches(spark, tmp_path):
     assert {r["event_id"] for r in out.collect()} == cooldown_by_hand([("e", r[0], r[1]) for r in rows])
 
 
-def test_window_stream_equals_batch(spark, tmp_path):
+def test_window_stream_gives_every_window(spark, tmp_path):
+    """Over several micro-batches, open windows included."""
     rows = [(START + dt.timedelta(seconds=17 * i), i, "system", "e", "cpu_percent", float(i)) for i in range(500)]
     df = spark.createDataFrame(rows, "ts timestamp, event_id long, source string, entity string, metric string, value double")
-    df.repartition(4).write.parquet(str(tmp_path / "in"))
+    for part in range(4):
+        df.where(F.col("event_id") % 4 == part).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = runs.file_stream(spark, str(tmp_path / "in"), "*.parquet", df.schema, files_per_trigger=1)
+    windows = jobs.metric_windows(jobs.watermarked(stream, delay="10 hours"))
+    got = sorted(tuple(r) for r in runs.run_to_end(windows, ["window_start", "window_end", "source", "metric"], "windows").collect())
+    assert got == sorted(tuple(r) for r in jobs.metric_windows(df).collect()) and got
+
+
+def test_session_stream_gives_open_sessions(spark, tmp_path):
+    rows = [("u", START + dt.timedelta(minutes=m), i, 1.0) for i, m in enumerate((0, 3, 30, 31, 60))]
+    df = spark.createDataFrame(rows, "user_id string, ts timestamp, request_id long, latency_ms double")
+    df.coalesce(1).write.parquet(str(tmp_path / "in"))
     stream = runs.file_stream(spark, str(tmp_path / "in"), "*.parquet", df.schema)
-    got = {tuple(r) for r in runs.run_to_files(jobs.metric_windows(jobs.watermarked(stream)), "windows").collect()}
-    closed = F.col("window_end") <= F.lit(rows[-1][0] - dt.timedelta(minutes=10))
-    assert got == {tuple(r) for r in jobs.metric_windows(df).where(closed).collect()} and got
+    got = runs.run_complete(jobs.sessions(stream.withWatermark("ts", "10 minutes")), "sessions")
+    assert sorted(r["requests"] for r in got.collect()) == [1, 2, 2]
+
+
+def test_retention_keeps_areas_without_a_limit(spark):
+    areas = spark.range(3000).select(
+        F.explode(F.array(F.lit("feature_store"), F.lit("system"), F.lit("alerts"), F.lit(None).cast("string"))).alias("source"),
+        F.timestamp_seconds(F.col("id")).alias("ts"), F.col("id").alias("event_id"))
+    got = {r["source"]: (r["n"], r["first"]) for r in H.keep_newest(areas, {"system": 2000, "alerts": 100}).groupBy("source").agg(
+        F.count(F.lit(1)).alias("n"), F.min("event_id").alias("first")).collect()}
+    assert got == {"feature_store": (3000, 0), None: (3000, 0), "system": (2000, 1000), "alerts": (100, 2900)}
+
+
+@pytest.mark.parametrize(("check", "state", "word"), [(1.0, "healthy", "Performing Well"), (0.0, "unhealthy", "API Down"), (None, "no_data", "Performing Well")])
+def test_api_state_comes_from_its_health_check(spark, check, state, word):
+    rows = metric_rows(spark, cpu_percent=10, memory_percent=10, val_mape=10, average_latency_ms=5000, quality_score=90)
+    if check is not None:
+        rows = rows.unionByName(spark.createDataFrame([(START, 50, "models", "api_health", "status_healthy", check)], rows.schema))
+    got = {r["area"]: r["status"] for r in H.health(rows, F.lit(1.0)).collect()}
+    assert got["api"] == state
+    assert H.overall_models(rows).first()["models_count"] == 1
+    assert {r["area"]: r["indicator"] for r in H.indicators(rows, F.lit(1.0)).collect()}["models"] == word

@@ -50,3 +50,22 @@ def test_row_positions_with_ties(spark):
     for key in (0, 1):
         rows = O.row_positions(df, ["k"], "t", ["id"], "pos").where(F.col("k") == key).orderBy("t", "id").collect()
         assert [r["pos"] for r in rows] == list(range(1, 101))
+
+
+@pytest.mark.parametrize("limit", [O.BROADCAST_KEYS, 0])
+def test_rows_are_never_shuffled_by_the_key_alone(spark, monkeypatch, limit):
+    """Also where Spark itself would not broadcast."""
+    monkeypatch.setattr(O, "BROADCAST_KEYS", limit)
+    values = [(k, float(v)) for k in range(3) for v in range(400)]
+    df = spark.createDataFrame(values, "k long, v double")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = O._beside(df.withColumn("_at", F.col("v")), df.groupBy("k").agg(F.array(F.min("v")).alias("_edges")), ["k"], F.col("v"))
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        shuffled = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+        assert all("_salt" in line for line in shuffled) and bool(shuffled) == (limit == 0)
+        rows = O.exact_quantiles(df, ["k"], "v", PROBS).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert all(np.allclose(r["quantiles"], np.quantile(range(400), PROBS)) for r in rows) and len(rows) == 3
