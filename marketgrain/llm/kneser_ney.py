@@ -95,6 +95,30 @@ class Model:
     weight: list[np.ndarray]
     base: np.ndarray
 
+    def __getstate__(self) -> dict:
+        """Only filled slots travel."""
+        def filled(checks, values):
+            at = [np.flatnonzero(c).astype(np.uint32) for c in checks]
+            return [(i, c[i], v[i]) for i, c, v in zip(at, checks, values, strict=True)]
+
+        return {
+            "classes": self.classes, "orders": self.orders, "base": self.base,
+            "grams": filled(self.check, self.value), "contexts": filled(self.context_check, self.weight),
+        }
+
+    def __setstate__(self, state: dict) -> None:
+        def spread(parts):
+            checks, values = [], []
+            for at, check, value in parts:
+                checks.append(np.zeros(1 << SLOT_BITS, np.uint32))
+                values.append(np.zeros((1 << SLOT_BITS, state["classes"]), np.float32))
+                checks[-1][at], values[-1][at] = check, value
+            return checks, values
+
+        self.classes, self.orders, self.base = state["classes"], state["orders"], state["base"]
+        self.check, self.value = spread(state["grams"])
+        self.context_check, self.weight = spread(state["contexts"])
+
     def score(self, data: np.ndarray) -> np.ndarray:
         """Natural log probability of each byte given those before it, one column per class."""
         total = np.zeros((len(data), self.classes), np.float32)
