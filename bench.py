@@ -19,7 +19,7 @@ HEADLINE = (
     "s25_daily_report", "a15_describe", "a25_loss_impact", "j1_daily_left_wholesale", "j3_category_totals_on_rows",
     "w1_lags", "w2_rolling", "w3_targets", "w8_row_split", "f1_all_features", "f2_feature_table", "v6_outliers",
     "v8_quality_score", "d2_statistical_drift", "d3_ks", "d4_psi", "t1_decompose", "t3_acf", "m7_metrics", "h1_alerts",
-    "h9_latency_histogram", "w13_ema", "r1_metric_windows",
+    "h9_latency_histogram", "w13_ema", "r1_metric_windows", "r7_streaming_daily", "r8_sessions", "m3_linear_model",
 )
 
 

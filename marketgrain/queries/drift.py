@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from marketgrain import schemas as S
 from marketgrain.functions.naming import c
 from marketgrain.operators import drift, modeling
-from marketgrain.queries.base import Tables, query, r
+from marketgrain.queries.base import ORACLES, Tables, query, r
 
 NAMES = ["quantity", "unit_price", "amount", "item_code"]
 CUT = "1998-06-01"
@@ -187,7 +187,7 @@ def performance(t):
     return drift.performance_drift(current, drift.prediction_errors(earlier, ["model"]), "model")
 
 
-@query("d9_all_methods")
+@query("d9_all_methods", digits=6)
 def all_methods(t):
     """The four methods side by side."""
     reference, current = pair(t)
@@ -198,6 +198,14 @@ def all_methods(t):
     return reduce(DataFrame.unionByName, parts)
 
 
+ORACLES["d9_all_methods"] = " union all ".join(
+    f"select '{method}' as method, feature, drift_score, drift_detected from ({ORACLES[name]}) {name}"
+    for method, name in zip(
+        ("statistical", "evidently", "ks_test", "population_stability"),
+        ("d2_statistical_drift", "d5_wasserstein", "d3_ks", "d4_psi"), strict=True)
+)
+
+
 def _strong(t):
     """Cheap against expensive sales: a pair that surely drifts."""
     rows = _rows(t).select("quantity", "unit_price")

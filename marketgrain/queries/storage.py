@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 
 from marketgrain import schemas as S
@@ -38,9 +40,17 @@ def raw_files(t):
     return daily_aggregate(readers.read_raw(t.spark, write_raw(t))["sales"])
 
 
-@query("s4_manifest")
+@query("s4_manifest", " union all ".join(
+    f"select '{n}' as source, true as exists, count(*) as row_count from {n}" for n in ("items", "sales", "wholesale", "loss_rates")))
 def manifest(t):
-    return readers.source_manifest(t.spark, write_raw(t)).select("source", "exists")
+    """Which raw files are there, with the rows that reading them gives."""
+    folder = write_raw(t)
+    rows = [
+        df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("_source"), "row_count")
+        for name, df in readers.read_raw(t.spark, folder).items()
+    ]
+    found = readers.source_manifest(t.spark, folder).select("source", "exists")
+    return found.join(reduce(DataFrame.unionByName, rows), F.col("source") == F.col("_source"), "left").drop("_source")
 
 
 _PARTS = """select case when before < floor(n * 0.7) then 'train' when before < floor(n * 0.85) then 'validation' else 'test' end as part,
@@ -53,8 +63,6 @@ _PARTS = """select case when before < floor(n * 0.7) then 'train' when before <
 @query("s6_feature_folders", f"{_PARTS} union all select 'features_complete', count(*) from daily")
 def feature_folders(t):
     """Feature folders written and read back: rows per part."""
-    from functools import reduce
-
     folder = fresh_folder(t.spark, "features")
     writers.write_features(t.features, folder)
     parts = readers.read_splits(t.spark, folder)
@@ -198,11 +206,12 @@ def resolved_columns(t):
     return rows.join(gaps, "found", "left").select("wanted", "found", "missing_count")
 
 
-@query("h6_freshness")
+@query("h6_freshness", "select true as known, count(*) as n, count(distinct user_id) as users from events")
 def freshness(t):
-    """Age of the newest input file; the figure depends on the clock, so only its sign is returned."""
-    hours = readers.freshness_hours(t.raw("events"), F.current_timestamp())
-    return hours.select((F.col("freshness_hours") >= 0).alias("known"))
+    """Age of the newest input file with what it covers; the age depends on the clock, so only its sign is returned."""
+    events = t.raw("events")
+    hours = readers.freshness_hours(events, F.current_timestamp()).select(F.col("freshness_hours") >= 0).scalar()
+    return events.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("user_id").alias("users")).withColumn("known", hours)
 
 
 @query("v0_validation_job", """
