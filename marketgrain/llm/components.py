@@ -9,21 +9,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from marketgrain.session import materialize
+from marketgrain.llm.scratch import stored
 
 
 def connected(edges: DataFrame) -> DataFrame:
     """Nodes of ``edges`` (a, b) with the smallest node that they reach. Null ends and loops are left out."""
     edges = edges.where(F.col("a").isNotNull() & F.col("b").isNotNull() & (F.col("a") != F.col("b")))
     edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    edges = materialize(edges, "edges")
+    edges = stored(edges, "edges")
     seen = None
     while True:
         state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == seen or not state[0]:
             break
         seen = state
-        edges = materialize(_small_star(_large_star(edges)), "edges")
+        edges = stored(_small_star(_large_star(edges)), "edges")
     # a star around each component's minimum is left
     leaves = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return leaves.union(edges.select(F.col("b"), F.col("b")).distinct())

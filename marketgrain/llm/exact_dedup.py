@@ -21,6 +21,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from marketgrain.llm.scratch import discard, scratch, stored
 from marketgrain.session import checkpoint_root, materialize
 
 BLANKS = r"[\x20\x09-\x0D]+"
@@ -42,7 +43,7 @@ def fingerprints(docs: DataFrame, digest=sha256) -> DataFrame:
         F.col("doc_id"), digest(text).alias("digest"), sha256(text).alias("text_sha256"),
         F.struct(F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("row")).alias("locator"),
     )
-    return materialize(rows, "fingerprints")
+    return stored(rows, "fingerprints")
 
 
 def absorb(spark: SparkSession, folder: str, schema, state: str) -> DataFrame:
@@ -72,10 +73,15 @@ def absorb(spark: SparkSession, folder: str, schema, state: str) -> DataFrame:
 def groups(docs: DataFrame, digest=sha256) -> DataFrame:
     """doc_id, keep_id, group_size, kept and text_sha256 of every row."""
     spark = docs.sparkSession
+    with scratch(spark):
+        return _groups(spark, docs, digest)
+
+
+def _groups(spark: SparkSession, docs: DataFrame, digest) -> DataFrame:
     rows = fingerprints(docs, digest)
     folder, run = checkpoint_root(spark), uuid.uuid4().hex
-    found = absorb(spark, rows.inputFiles()[0].rpartition("/")[0], rows.schema, f"{folder}/dedup-state-{run}")
-    seen = f"{folder}/dedup-seen-{run}"
+    found = absorb(spark, rows.inputFiles()[0].rpartition("/")[0], rows.schema, discard(f"{folder}/dedup-state-{run}"))
+    seen = discard(f"{folder}/dedup-seen-{run}")
     found.write.parquet(seen)
     seen = spark.read.parquet(seen).withColumnRenamed("digest", "_digest")
     marked = materialize(
@@ -97,7 +103,7 @@ def _differing(docs: DataFrame, hits: DataFrame, digest) -> DataFrame:
     texts = docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")))
     texts = texts.select("doc_id", "keep_id", "_digest", normalised(F.col("text")).alias("text"))
     # rows that share an id may hold other texts
-    texts = materialize(texts.where(digest(F.col("text")) == F.col("_digest")), "hit-texts")
+    texts = stored(texts.where(digest(F.col("text")) == F.col("_digest")), "hit-texts")
     stay = texts.where(F.col("doc_id").eqNullSafe(F.col("keep_id"))).select("_digest", F.col("text").alias("_text"))
     stay = stay.dropDuplicates(["_digest"])
     checked = texts.join(stay, "_digest").where(F.col("text") != F.col("_text"))

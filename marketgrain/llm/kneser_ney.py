@@ -21,9 +21,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from marketgrain.llm.scratch import scratch, stored
 from marketgrain.llm.shipping import ship
 from marketgrain.llm.texts import mix, slices, utf8
-from marketgrain.session import materialize
 
 ORDER = 5
 SLOT_BITS = 20
@@ -145,13 +145,18 @@ def address(gram: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def fit(texts: DataFrame, classes: int = 1, translate: np.ndarray | None = None) -> Model:
     """Model of ``texts`` (text, label)."""
+    with scratch(texts.sparkSession):
+        return _fit(texts, classes, translate)
+
+
+def _fit(texts: DataFrame, classes: int, translate: np.ndarray | None) -> Model:
     ship(texts.sparkSession)
     names = [f"c{k}" for k in range(classes)]
-    table = {ORDER: materialize(counts(texts, classes, translate), "ngrams")}
+    table = {ORDER: stored(counts(texts, classes, translate), "ngrams")}
     for order in range(ORDER - 1, 0, -1):
         lower = F.col("gram").bitwiseAND(F.lit((1 << 8 * order) - 1))
         seen = table[order + 1].groupBy(lower.alias("gram")).agg(*[F.sum((F.col(n) > 0).cast("long")).alias(n) for n in names])
-        table[order] = materialize(seen, f"ngrams-{order}") if order > 1 else seen
+        table[order] = stored(seen, f"ngrams-{order}") if order > 1 else seen
     # the lowest order is shared by the classes and never zero
     one = np.zeros(256)
     for row in table[1].collect():  # at most 256 rows
@@ -164,8 +169,8 @@ def fit(texts: DataFrame, classes: int = 1, translate: np.ndarray | None = None)
     model = Model(classes, [], [], [], [], [], np.log(np.repeat(base[:, None], classes, 1)).astype(np.float32))
     for order in range(2, ORDER + 1):
         probabilities, contexts = _interpolated(table[order], below, order, classes)
-        below = materialize(probabilities, f"probabilities-{order}")
-        contexts = materialize(contexts, f"contexts-{order}")
+        below = stored(probabilities, f"probabilities-{order}")
+        contexts = stored(contexts, f"contexts-{order}")
         check, value = _slots(below, [f"p{k}" for k in range(classes)])
         context_check, weight = _slots(contexts, [f"w{k}" for k in range(classes)])
         model.orders.insert(0, order)

@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from marketgrain.llm.components import connected
+from marketgrain.llm.scratch import scratch, stored
 from marketgrain.llm.shipping import ship
 from marketgrain.llm.texts import WHITESPACE_WORDS, mix, shingle_hashes, slices, utf8
 from marketgrain.session import materialize
@@ -127,20 +128,25 @@ def alike(a: frozenset, b: frozenset, percent: int) -> bool:
 def near_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every document."""
     ship(docs.sparkSession)
-    signed = materialize(signatures(docs, width), "signatures")
+    with scratch(docs.sparkSession):
+        return _near_components(docs, width, percent)
+
+
+def _near_components(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    signed = stored(signatures(docs, width), "signatures")
     full = signed.where(F.col("n_shingles") > 0)
     classes = full.groupBy("node", "tail").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"))
-    members = materialize(
+    members = stored(
         classes.select("node", "doc_id", F.explode("bands").alias("bucket")), "buckets"
     )
     size = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = materialize(members.join(size, "bucket"), "shared-buckets")
+    members = stored(members.join(size, "bucket"), "shared-buckets")
     # a class near the middle of a group meets most of it, and is the best hub
     weights = members.groupBy("node").agg(F.sum("n").alias("weight"), F.min("doc_id").alias("doc_id"))
-    weights = materialize(weights, "weights")
-    texts = materialize(_texts(docs, weights.select("node", "doc_id"), width), "candidate-texts")
+    weights = stored(weights, "weights")
+    texts = stored(_texts(docs, weights.select("node", "doc_id"), width), "candidate-texts")
 
-    rows = materialize(
+    rows = stored(
         members.select("bucket", "node", F.col("node").alias("component")).join(weights.drop("doc_id"), "node"), "rows-0"
     )
     links, tied = None, connected(texts.sparkSession.createDataFrame([], "a long, b long"))
@@ -150,10 +156,10 @@ def near_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
         stars = beside.where(F.col("component") != F.col("hub.component")).select(
             F.least("node", "hub.node").alias("node"), F.greatest("node", "hub.node").alias("hub")
         ).distinct()
-        found = materialize(_verified(materialize(stars, "stars"), texts, width, percent), f"links-{turn}")
+        found = stored(_verified(stored(stars, "stars"), texts, width, percent), f"links-{turn}")
         links = found if links is None else links.union(found)
         tied = connected(links)
-        rows = materialize(_open(beside.select("bucket", "node", "weight"), tied), f"rows-{turn}")
+        rows = stored(_open(beside.select("bucket", "node", "weight"), tied), f"rows-{turn}")
         if rows.isEmpty():
             break
     else:
@@ -200,7 +206,7 @@ def _verified(stars: DataFrame, texts: DataFrame, width: int, percent: int) -> D
 def _open(rows: DataFrame, tied: DataFrame) -> DataFrame:
     """Rows of buckets whose classes are not all connected, with their components."""
     tied = tied.select(F.col("node").alias("_node"), F.col("component"))
-    rows = materialize(rows.join(tied, F.col("node") == F.col("_node"), "left").select(
+    rows = stored(rows.join(tied, F.col("node") == F.col("_node"), "left").select(
         "bucket", "node", "weight", F.coalesce("component", "node").alias("component")
     ), "bucket-components")
     state = rows.groupBy(F.col("bucket").alias("_bucket")).agg(
