@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
@@ -14,6 +15,8 @@ from marketgrain.plans.features import feature_table
 from marketgrain.plans.jobs import train
 from marketgrain.queries.base import Tables, query, r
 from marketgrain.queries.drift import PREDICTIONS
+from marketgrain.sources import writers
+from marketgrain.streaming.runs import fresh_folder
 
 METRIC_SQL = """count(*) as n, avg(abs(actual - predicted)) as mae, avg(power(actual - predicted, 2)) as mse,
     sqrt(avg(power(actual - predicted, 2))) as rmse, 1 - avg(power(actual - predicted, 2)) / var_pop(actual) as r2,
@@ -261,6 +264,53 @@ def linear_metrics(t):
     return _trained(t.spark, t.folder, M.LINEAR)[2]
 
 
+def _priced(t: Tables) -> DataFrame:
+    rows = t.features.where(F.col("Avg_Price_Target_1d").isNotNull())
+    return rows.select(S.DATE, S.ITEM, "Avg_Price", F.col("Avg_Price_Target_1d").alias("label"))
+
+
+@query("m3_saved_models", """
+    select model, count(*) as n, true as same_scores, true as same_evaluation, 'Avg_Price' as inputs
+    from features, (select unnest(['linear_regression', 'ridge']) as model) m where avg_price_target_1d is not null group by model""")
+def saved_models(t):
+    """Linear models trained once, saved with evaluation and inputs, loaded, and compared with the unsaved ones."""
+    rows, folder, inputs = _priced(t), fresh_folder(t.spark, "models"), ["Avg_Price"]
+    models = {name: M.fit(name, rows, inputs) for name in M.LINEAR}
+    evaluation = M.metrics(M.predictions(models, rows), ["model"])
+    writers.save_models(models, evaluation, inputs, folder)
+    loaded, stored, named = writers.load_models(t.spark, folder, M.LINEAR)
+    ours = M.predictions(models, rows).withColumnRenamed("predicted", "_ours")
+    theirs = M.predictions(loaded, rows.select(S.DATE, S.ITEM, *named, "label")).withColumnRenamed("predicted", "_theirs")
+    pairs = ours.join(theirs, ["model", S.DATE, S.ITEM])
+    again = M.metrics(theirs.withColumnRenamed("_theirs", "predicted"), ["model"]).select("model", F.col("mae").alias("_mae"))
+    checked = again.join(stored, "model").select("model", (F.abs(F.col("mae") - F.col("_mae")) < 1e-9).alias("same_evaluation"))
+    compared = pairs.groupBy("model").agg(
+        F.count(F.lit(1)).alias("n"), F.bool_and(F.col("_ours") == F.col("_theirs")).alias("same_scores")
+    )
+    return compared.join(checked, "model").withColumn("inputs", F.lit(",".join(named)))
+
+
+@query("m15_fold_scores", """
+    with d as (select avg_price as x, avg_price_target_1d as y, sale_date from features where avg_price_target_1d is not null),
+    f as (select x, y, floor(date_diff('day', sale_date, (select max(sale_date) from d)) / 30) as back from d),
+    k as (select unnest(range(1, 6)) as fold),
+    l as (select fold, regr_slope(y, x) as a, regr_intercept(y, x) as b from f join k on back > 5 - fold group by fold)
+    select cast(l.fold as bigint) as fold, count(*) as n, r4(avg(abs(y - a * x - b))) as mae, r4(sqrt(avg(power(y - a * x - b, 2)))) as rmse
+    from f join l on back = 5 - l.fold group by l.fold""")
+def fold_scores(t):
+    """Rolling-origin validation: for each fold a linear model of all earlier rows, scored on the fold."""
+    from marketgrain.session import materialize
+
+    # every fold reads the rows twice
+    rows = materialize(M.rolling_folds(_priced(t)), "folds")
+    scored = []
+    for fold in range(1, 6):
+        model = M.fit("linear_regression", rows.where(F.array_contains("train_folds", fold)), ["Avg_Price"])
+        tested = M.predictions({"linear_regression": model}, rows.where(F.col("test_fold") == fold))
+        scored.append(M.metrics(tested, ["model"]).select(F.lit(fold).alias("fold"), "n", "mae", "rmse"))
+    return reduce(DataFrame.unionByName, scored)
+
+
 @query("m5_random_forest")
 def random_forest(t):
     """The random forest with the settings of the source: metrics per split."""

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Sequence
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from marketgrain.operators import bi, split
@@ -84,3 +86,22 @@ def load_drift_state(spark: SparkSession, folder: str) -> tuple[DataFrame, DataF
     return (
         spark.read.parquet(f"{folder}/reference_stats"), spark.read.parquet(f"{folder}/baseline_performance"), json.loads(text)
     )
+
+
+# ---- fitted models ----------------------------------------------------------------------------------------
+def save_models(models: dict[str, PipelineModel], metrics: DataFrame, inputs: Sequence[str], folder: str) -> None:
+    """Fitted models with their evaluation and the list of their inputs."""
+    for name, model in models.items():
+        model.write().overwrite().save(f"{folder}/models/{name}")
+    metrics.write.mode("overwrite").parquet(f"{folder}/evaluation")
+    listed = metrics.sparkSession.createDataFrame(list(enumerate(inputs)), "position int, feature string")
+    listed.write.mode("overwrite").parquet(f"{folder}/inputs")
+
+
+def load_models(spark: SparkSession, folder: str, names: Sequence[str]) -> tuple[dict[str, PipelineModel], DataFrame, list[str]]:
+    """The named models, their evaluation and inputs."""
+    if not path_exists(spark, f"{folder}/models"):
+        raise FileNotFoundError(f"no models in {folder}")
+    inputs = [r["feature"] for r in spark.read.parquet(f"{folder}/inputs").orderBy("position").collect()]
+    models = {name: PipelineModel.load(f"{folder}/models/{name}") for name in names}
+    return models, spark.read.parquet(f"{folder}/evaluation"), inputs
