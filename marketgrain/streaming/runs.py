@@ -12,7 +12,7 @@ from marketgrain.functions.naming import c
 from marketgrain.session import checkpoint_root
 
 
-def file_stream(spark: SparkSession, folder: str, pattern: str, schema: T.StructType, files_per_trigger: int | None = None) -> DataFrame:
+def file_stream(spark: SparkSession, folder: str, pattern: str, schema: T.StructType, files_per_trigger: int | None = 64) -> DataFrame:
     """A stream over the Parquet files of a folder that match a pattern."""
     reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
     if files_per_trigger:
