@@ -37,6 +37,8 @@ from marketgrain.session import materialize
 BINS, ROWS = 128, 4
 WIDTH, PERCENT = 3, 85
 BLOCK = 256
+#: candidate documents (two numbers each) up to which their ids are broadcast to find the texts; more are shuffled
+BROADCAST_IDS = 2_000_000
 #: star rounds before what is open is compared in blocks
 ROUNDS = 4
 _SEEDS = mix(np.arange(1, 2 * BINS + 1, dtype=np.uint64))
@@ -170,7 +172,10 @@ def _near_components(docs: DataFrame, width: int, percent: int) -> DataFrame:
 
 def _texts(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """One text for each wanted node."""
+    few = wanted.count() <= BROADCAST_IDS
     wanted = wanted.select("node", F.col("doc_id").alias("_id"))
+    if few:
+        wanted = F.broadcast(wanted)
     found = _plain(docs).join(wanted, F.col("doc_id").eqNullSafe(F.col("_id"))).select("node", "text")
 
     def run(batches):
