@@ -6,6 +6,10 @@ one of them. A window that holds 80 % of a template's shingles has a Jaccard sim
 0.8n / (2n + 0.2n) = 0.36 with it. Each of BANDS bands has one minimum hash, so such a window shares no band with
 the template with probability below (1 - 0.36)^32 < 1e-6. What shares a band is verified on the shingles themselves.
 
+A template of fewer than WIDTH words is found as a run of its own words, wherever it stands in a text; each place is a
+window of its own, named by its first word, with containment 1. The bare rights notice is such a template. It has its own
+table SHORT, since the SQL of the query, which knows only shingles of five words, holds TEMPLATES only.
+
 Texts without any word of ``anchors`` are left out first. Anchors are words of which each template has so many
 shingles that no text without them can hold 80 % of it; they are computed from the templates.
 
@@ -48,6 +52,8 @@ TEMPLATES = {
     "CC-BY-4.0": "Licensed under CC BY 4.0",
     "proprietary": "All rights reserved. No part of this may be reproduced",
 }
+#: notices of fewer than WIDTH words
+SHORT = {"proprietary-notice": "All rights reserved"}
 
 _WORD = r"[\p{L}\p{N}][\p{L}\p{N}.\-]*"
 
@@ -94,6 +100,12 @@ def plain_shingles(text: str) -> list[str]:
     return [" ".join(words[i:i + WIDTH]) for i in range(max(len(words) - WIDTH + 1, 1))] if words else []
 
 
+def short_words(text: str) -> list[str]:
+    """Words of a template that is found as a run of its own words; none for other templates."""
+    words = [w.rstrip(".-") for w in regex.findall(_WORD, text.lower())]
+    return words if len(words) < WIDTH else []
+
+
 def template_frame(spark: SparkSession, templates: dict[str, str] = TEMPLATES) -> DataFrame:
     """license, shingles (distinct) and their number n."""
     if sum(len(t.split()) for t in templates.values()) > MAX_TEMPLATE_WORDS:
@@ -124,7 +136,43 @@ def anchors(known: list[list[str]]) -> list[str]:
 
 
 def matches(docs: DataFrame, templates: dict[str, str] = TEMPLATES) -> DataFrame:
-    """doc_id, license, window (number of its first shingle), containment: every verified window."""
+    """doc_id, license, window (number of its first shingle or word), containment: every verified window."""
+    if sum(len(t.split()) for t in templates.values()) > MAX_TEMPLATE_WORDS:
+        raise ValueError(f"templates may have {MAX_TEMPLATE_WORDS} words together")
+    short = {name: words for name, text in templates.items() if (words := short_words(text))}
+    found = _shingled(docs, {name: text for name, text in templates.items() if name not in short})
+    return found.union(_runs(docs, short)) if short else found
+
+
+def _runs(docs: DataFrame, short: dict[str, list[str]]) -> DataFrame:
+    """Every place where the words of a short template stand in a row."""
+    lowered = F.lower(F.col("text").cast("string"))
+    some = F.lit(False)
+    for words in short.values():
+        every = F.lit(True)
+        for word in dict.fromkeys(words):
+            every = every & F.contains(lowered, F.lit(word))
+        some = some | every
+    texts = once(docs.where(some).select("doc_id", "text"), "_words", words_of(F.col("text"))).drop("text")
+
+    def places(name: str, words: list[str]) -> Column:
+        wanted = F.array(*map(F.lit, words))
+        # positions of the first word, then the whole run
+        first = F.filter(
+            F.transform(F.col("_words"), lambda w, at: F.when(w == words[0], at)), lambda at: at.isNotNull()
+        )
+        return F.transform(
+            F.filter(first, lambda at: F.slice("_words", at + 1, len(words)) == wanted),
+            lambda at: F.struct(F.lit(name).alias("license"), at.alias("window")),
+        )
+
+    found = F.explode(F.concat(*[places(name, words) for name, words in sorted(short.items())]))
+    rows = texts.select("doc_id", found.alias("f")).select("doc_id", "f.license", "f.window", F.lit(1.0).alias("containment"))
+    return rows.distinct()
+
+
+def _shingled(docs: DataFrame, templates: dict[str, str]) -> DataFrame:
+    """Verified windows of templates that have shingles of WIDTH words."""
     spark = docs.sparkSession
     known = template_frame(spark, templates)
     rows = known.collect()  # bounded by MAX_TEMPLATE_WORDS
@@ -163,7 +211,7 @@ def matches(docs: DataFrame, templates: dict[str, str] = TEMPLATES) -> DataFrame
     return found.where(F.col("containment") * 100 >= PERCENT).distinct()
 
 
-def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES) -> DataFrame:
+def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES | SHORT) -> DataFrame:
     """doc_id, license, n_windows that verify it, the first one and the highest containment."""
     return matches(docs, templates).groupBy("doc_id", "license").agg(
         F.count(F.lit(1)).alias("n_windows"), F.min("window").cast("long").alias("first_window"),

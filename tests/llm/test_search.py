@@ -146,6 +146,21 @@ def test_license_windows_equal_brute_force(spark):
     assert licenses.matches(documents(spark, rows), {"none": " , "}).count() == 0
 
 
+def test_bare_rights_notice_is_found_where_it_stands(spark):
+    rows = [
+        (1, "A text of more than five words.\n\n© 2020 Someone. All rights reserved."),
+        (2, "all RIGHTS reserved"), (3, "All rights reserved, and again: all rights reserved!"),
+        (4, "all rights are reserved"), (5, "all rights reservedly"), (6, "overall rights reserved by some of us"), (7, None),
+        (8, "reserved rights all"), (9, "All rights reserved. No part of this may be reproduced"),
+    ]
+    found = {(r.doc_id, r.license, r.n_windows, r.first_window, r.containment) for r in licenses.scan(documents(spark, rows)).collect()}
+    name = "proprietary-notice"
+    assert {r for r in found if r[1] == name} == {(1, name, 1, 9, 1.0), (2, name, 1, 0, 1.0), (3, name, 2, 0, 1.0), (9, name, 1, 0, 1.0)}
+    assert {(r[0], r[1]) for r in found if r[1] != name} == {(9, "proprietary")}
+    own = licenses.matches(documents(spark, rows), {"short": "rights are"}).collect()
+    assert [(r.doc_id, r.license, r.window) for r in own] == [(4, "short", 1)]
+
+
 def test_anchors_are_necessary():
     known = [licenses.plain_shingles(t) for t in licenses.TEMPLATES.values()]
     words_ = licenses.anchors(known)
