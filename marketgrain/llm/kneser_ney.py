@@ -7,18 +7,22 @@ below by the n-gram without its first byte, and their contexts by the n-gram wit
 hash, none is brought to one task. One set of texts or several (classes) can be modelled side by side; classes share
 the lowest order, pooled over all classes, to which rare expressions back off.
 
-For scoring, the probabilities go to the executors. The number of n-grams over bytes levels off but has no small bound,
-so they are put into tables with a fixed number of SLOTS per order, addressed by a hash of the n-gram. Of n-grams that
-meet in a slot the most frequent one stays, with a check of 32 bits that tells others apart; the rest back off to
-the order below. This bounds the broadcast at ORDER * SLOTS entries whatever the size of the corpus.
+For scoring, all probabilities and context weights go to the executors; nothing is left out. What orders from 3 on need
+at a byte depends on the two bytes before it, so the tables are dealt by a hash of these two into shards of about
+SHARD_ENTRIES entries, and each byte is scored by one shard. The driver collects one shard at a time, and each is a
+broadcast of its own. A task looks up the distinct n-grams of a slice of text, in sorted tables and by their full bytes,
+shard after shard; it keeps shards of KEPT_BYTES in memory and reads the others again for every slice. So the number of
+shards grows with the model, memory does not: a shard is bounded by SHARD_ENTRIES or by the entries of one pair of bytes.
+Every executor holds all shards on its disk. Order 2 has 65,536 n-grams at most and is part of the model itself.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
 from marketgrain.llm.scratch import scratch, stored
@@ -26,8 +30,11 @@ from marketgrain.llm.shipping import ship
 from marketgrain.llm.texts import mix, slices, utf8
 
 ORDER = 5
-SLOT_BITS = 20
 START = 2
+#: entries (n-grams and contexts of all orders from 3 on) that a shard should have
+SHARD_ENTRIES = 1 << 21
+#: bytes of shards that a Python worker keeps
+KEPT_BYTES = 128 << 20
 #: a part of a text that is scored at once
 SLICE = 1 << 20
 
@@ -83,64 +90,69 @@ def counts(texts: DataFrame, classes: int, translate: np.ndarray | None) -> Data
     return found.groupBy("gram").agg(*[F.sum(n).alias(n) for n in names])
 
 
+#: per order: sorted n-grams, their log probabilities by class, sorted contexts, their log weights by class
+Tables = dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
+
+
+def shard_of(context: np.ndarray, shards: int) -> np.ndarray:
+    """The shard of contexts, by their last two bytes."""
+    return (mix((context & np.uint64(0xFFFF)) + np.uint64(1)) % np.uint64(shards)).astype(np.int64)
+
+
+def _find(known: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places in sorted ``known``, and whether the wanted number stands there."""
+    if not len(known):
+        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+    at = np.minimum(np.searchsorted(known, wanted), len(known) - 1)
+    return at, known[at] == wanted
+
+
 @dataclass
 class Model:
-    """Tables of the orders, highest first: checks, log probabilities, and log weights of contexts, by slot."""
+    """Log probabilities and log weights of contexts: order 2 and below here, higher orders by shard."""
 
     classes: int
-    orders: list[int]
-    check: list[np.ndarray]
-    value: list[np.ndarray]
-    context_check: list[np.ndarray]
-    weight: list[np.ndarray]
     base: np.ndarray
+    pairs: Tables
+    shards: list[Broadcast]
+    kept: dict[int, Tables] = field(default_factory=dict)
 
     def __getstate__(self) -> dict:
-        """Only filled slots travel."""
-        def filled(checks, values):
-            at = [np.flatnonzero(c).astype(np.uint32) for c in checks]
-            return [(i, c[i], v[i]) for i, c, v in zip(at, checks, values, strict=True)]
-
-        return {
-            "classes": self.classes, "orders": self.orders, "base": self.base,
-            "grams": filled(self.check, self.value), "contexts": filled(self.context_check, self.weight),
-        }
-
-    def __setstate__(self, state: dict) -> None:
-        def spread(parts):
-            checks, values = [], []
-            for at, check, value in parts:
-                checks.append(np.zeros(1 << SLOT_BITS, np.uint32))
-                values.append(np.zeros((1 << SLOT_BITS, state["classes"]), np.float32))
-                checks[-1][at], values[-1][at] = check, value
-            return checks, values
-
-        self.classes, self.orders, self.base = state["classes"], state["orders"], state["base"]
-        self.check, self.value = spread(state["grams"])
-        self.context_check, self.weight = spread(state["contexts"])
+        return self.__dict__ | {"kept": {}}
+
+    def shard(self, k: int) -> Tables:
+        """The tables of a shard, from memory or from the file of its broadcast."""
+        if k in self.kept:
+            return self.kept[k]
+        found = self.shards[k].value
+        # a broadcast object keeps what it has read once
+        if hasattr(self.shards[k], "_value") and getattr(self.shards[k], "_path", None):
+            del self.shards[k]._value
+        size = sum(a.nbytes for t in [found, *self.kept.values()] for parts in t.values() for a in parts)
+        if size <= KEPT_BYTES:
+            self.kept[k] = found
+        return found
 
     def score(self, data: np.ndarray) -> np.ndarray:
         """Natural log probability of each byte given those before it, one column per class."""
-        total = np.zeros((len(data), self.classes), np.float32)
-        left = np.arange(len(data))
-        wide = packed(data, ORDER)
-        for k, order in enumerate(self.orders):
-            gram = wide[left] & np.uint64((1 << 8 * order) - 1)
-            slot, check = address(gram)
-            hit = self.check[k][slot] == check
-            total[left[hit]] += self.value[k][slot[hit]]
-            left = left[~hit]
-            slot, check = address(gram[~hit] >> np.uint64(8))
-            known = self.context_check[k][slot] == check
-            total[left[known]] += self.weight[k][slot[known]]
-        total[left] += self.base[data[left]]
-        return total
-
-
-def address(gram: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Slot and check of n-grams; the check is never 0."""
-    drawn = mix(gram + np.uint64(1))
-    return (drawn >> np.uint64(64 - SLOT_BITS)).astype(np.int64), (drawn.astype(np.uint32) | np.uint32(1))
+        grams, inverse = np.unique(packed(data, ORDER), return_inverse=True)
+        total = np.zeros((len(grams), self.classes), np.float32)
+        shard = shard_of(grams >> np.uint64(8), len(self.shards)) if self.shards else np.zeros(len(grams), np.int64)
+        for k in range(max(len(self.shards), 1)):
+            left = np.flatnonzero(shard == k)
+            if not len(left):
+                continue
+            tables = self.pairs | (self.shard(k) if self.shards else {})
+            for order in sorted(tables, reverse=True):
+                known, value, contexts, weight = tables[order]
+                gram = grams[left] & np.uint64((1 << 8 * order) - 1)
+                at, hit = _find(known, gram)
+                total[left[hit]] += value[at[hit]]
+                left = left[~hit]
+                at, hit = _find(contexts, gram[~hit] >> np.uint64(8))
+                total[left[hit]] += weight[at[hit]]
+            total[left] += self.base[(grams[left] & np.uint64(0xFF)).astype(np.int64)]
+        return total[inverse]
 
 
 def fit(texts: DataFrame, classes: int = 1, translate: np.ndarray | None = None) -> Model:
@@ -166,17 +178,57 @@ def _fit(texts: DataFrame, classes: int, translate: np.ndarray | None) -> Model:
     below = spark.createDataFrame(
         [(g, *[float(p)] * classes) for g, p in enumerate(base)], ", ".join(["gram long", *[f"p{k} double" for k in range(classes)]])
     )
-    model = Model(classes, [], [], [], [], [], np.log(np.repeat(base[:, None], classes, 1)).astype(np.float32))
+    base = np.log(np.repeat(base[:, None], classes, 1)).astype(np.float32)
+    pairs, entries = {}, None
     for order in range(2, ORDER + 1):
         probabilities, contexts = _interpolated(table[order], below, order, classes)
         below = stored(probabilities, f"probabilities-{order}")
         contexts = stored(contexts, f"contexts-{order}")
-        check, value = _slots(below, [f"p{k}" for k in range(classes)])
-        context_check, weight = _slots(contexts, [f"w{k}" for k in range(classes)])
-        model.orders.insert(0, order)
-        for tables, new in ((model.check, check), (model.value, value), (model.context_check, context_check), (model.weight, weight)):
-            tables.insert(0, new)
-    return model
+        found = below.select("gram", F.lit(2 * order).alias("part"), *[F.log(f"p{k}").cast("float").alias(f"v{k}") for k in range(classes)]).union(
+            contexts.select("gram", F.lit(2 * order + 1), *[F.col(f"w{k}").cast("float") for k in range(classes)])
+        )
+        if order == 2:
+            pairs = _tables(found, classes)  # at most 65,536 + 256 rows
+        else:
+            entries = found if entries is None else entries.union(found)
+    return Model(classes, base, pairs, _shards(entries, classes))
+
+
+def _shards(entries: DataFrame, classes: int) -> list[Broadcast]:
+    """Broadcasts of the tables of orders from 3 on; one shard at a time is on the driver."""
+    spark = entries.sparkSession
+
+    def dealt(shards):
+        def run(batches):
+            for batch in batches:
+                gram = batch.column("gram").to_numpy().view(np.uint64)
+                plain = batch.column("part").to_numpy() % 2 == 0
+                own = shard_of(np.where(plain, gram >> np.uint64(8), gram), shards)
+                yield pa.RecordBatch.from_arrays([pa.array(own), *batch.columns], ["shard", *batch.schema.names])
+
+        return run
+
+    count = entries.count()
+    if not count:
+        return []
+    shards = -(-count // SHARD_ENTRIES)
+    kinds = ", ".join(["shard long, gram long, part int", *[f"v{k} float" for k in range(classes)]])
+    rows = stored(entries.mapInArrow(dealt(shards), kinds), "shards")
+    return [spark.sparkContext.broadcast(_tables(rows.where(F.col("shard") == k), classes)) for k in range(shards)]
+
+
+def _tables(rows: DataFrame, classes: int) -> Tables:
+    found = rows.toArrow()
+    gram, part = found["gram"].to_numpy().view(np.uint64), found["part"].to_numpy()
+    values = np.stack([found[f"v{k}"].to_numpy() for k in range(classes)], axis=1)
+    out: Tables = {}
+    for order in sorted({p // 2 for p in part.tolist()}, reverse=True):
+        out[order] = ()
+        for own in (2 * order, 2 * order + 1):
+            at = np.flatnonzero(part == own)
+            at = at[np.argsort(gram[at])]
+            out[order] += (gram[at], values[at])
+    return out
 
 
 def _interpolated(table: DataFrame, below: DataFrame, order: int, classes: int) -> tuple[DataFrame, DataFrame]:
@@ -196,14 +248,14 @@ def _interpolated(table: DataFrame, below: DataFrame, order: int, classes: int)
     contexts = table.groupBy(context.alias("context")).agg(
         *[F.sum(f"c{k}").alias(f"t{k}") for k in each], *[F.sum(cut(k)).alias(f"d{k}") for k in each]
     )
-    weights = contexts.select(F.col("context").alias("gram"), F.greatest(*[f"t{k}" for k in each], F.lit(0)).alias("n"), *[
+    weights = contexts.select(F.col("context").alias("gram"), *[
         F.log(F.when(F.col(f"t{k}") > 0, F.col(f"d{k}") / F.col(f"t{k}")).otherwise(1.0)).alias(f"w{k}") for k in each
     ])
     lower = below.select(F.col("gram").alias("_lower"), *[F.col(f"p{k}").alias(f"q{k}") for k in each])
     joined = table.join(contexts, context == F.col("context")).join(
         lower, F.col("gram").bitwiseAND(F.lit((1 << 8 * (order - 1)) - 1)) == F.col("_lower")
     )
-    probabilities = joined.select("gram", F.greatest(*[f"c{k}" for k in each], F.lit(0)).alias("n"), *[
+    probabilities = joined.select("gram", *[
         F.when(F.col(f"t{k}") > 0, (F.col(f"c{k}") - cut(k) + F.col(f"d{k}") * F.col(f"q{k}")) / F.col(f"t{k}"))
         .otherwise(F.col(f"q{k}")).alias(f"p{k}")
         for k in each
@@ -216,28 +268,3 @@ def _discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]
     y = n1 / (n1 + 2 * n2) if n1 else 0.5
     raw = [1 - 2 * y * n2 / n1 if n1 else 0.5, 2 - 3 * y * n3 / n2 if n2 else 1.0, 3 - 4 * y * n4 / n3 if n3 else 1.5]
     return tuple(min(max(d, 0.1), top) for d, top in zip(raw, (0.95, 1.9, 2.8), strict=True))
-
-
-def _slots(table: DataFrame, columns: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Check and values by slot; at most one entry a slot leaves the executors."""
-    log = columns[0].startswith("p")
-
-    def run(batches):
-        for batch in batches:
-            gram = batch.column("gram").to_numpy().view(np.uint64)
-            slot, check = address(gram)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(slot), pa.array(check.astype(np.int64)), *[batch.column(c) for c in ("n", *columns)]],
-                ["slot", "check", "n", *columns],
-            )
-
-    kinds = ", ".join(f"{c} double" for c in columns)
-    drawn = table.select("gram", "n", *columns).mapInArrow(run, f"slot long, check long, n long, {kinds}")
-    best = drawn.groupBy("slot").agg(F.max(F.struct("n", "check", *columns)).alias("b")).select("slot", "b.*")
-    rows = best.select("slot", "check", *[F.col(c).cast("float").alias(c) for c in columns]).toPandas()
-    check = np.zeros(1 << SLOT_BITS, np.uint32)
-    value = np.zeros((1 << SLOT_BITS, len(columns)), np.float32)
-    check[rows["slot"]] = rows["check"].to_numpy().astype(np.uint32)
-    found = rows[columns].to_numpy(np.float32)
-    value[rows["slot"]] = np.log(found) if log else found
-    return check, value

@@ -36,13 +36,13 @@ def measured(docs: DataFrame, labels: DataFrame) -> DataFrame:
         labels, "quality",
     ).withColumn("held_out", fold(F.col("doc_id")) == 0)
     trusted = rows.where("label = 1 and not held_out").select("text", F.lit(0).alias("label"))
-    shared = docs.sparkSession.sparkContext.broadcast(kneser_ney.fit(trusted, 1))
+    model = kneser_ney.fit(trusted, 1)
 
     def run(batches):
         for batch in batches:
             for part in slices(batch, "text", kneser_ney.SLICE):
                 data, offsets = kneser_ney.padded(part.column("text"), None)
-                loss = np.where(kneser_ney._inner(offsets, len(data)), -shared.value.score(data)[:, 0], 0)
+                loss = np.where(kneser_ney._inner(offsets, len(data)), -model.score(data)[:, 0], 0)
                 sums = np.concatenate(([0], np.cumsum(loss, dtype=np.float64)))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("lang"), pa.array(np.diff(offsets) - kneser_ney.ORDER + 1),

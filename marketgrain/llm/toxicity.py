@@ -69,16 +69,14 @@ def differences(column: pa.Array, model: kneser_ney.Model) -> np.ndarray:
 
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score and predicted of every document, with the differences behind the score."""
-    spark = docs.sparkSession
     rows = with_label(docs.select("doc_id", F.col("text").cast("string").alias("text")), labels, "toxic")
     rows = rows.withColumn("fold", fold(F.col("doc_id")))
     model = kneser_ney.fit(rows.where("label in (0, 1) and fold in (1, 2, 3)").select("text", "label"), 2, TRANSLATE)
-    shared = spark.sparkContext.broadcast(model)
 
     def run(batches):
         for batch in batches:
             for part in slices(batch, "text", kneser_ney.SLICE):
-                found = differences(part.column("text"), shared.value)
+                found = differences(part.column("text"), model)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("fold"), part.column("label"), *map(pa.array, found.T.copy())],
                     ["doc_id", "fold", "label", *FEATURES],

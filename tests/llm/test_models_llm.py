@@ -64,6 +64,31 @@ def test_model_equals_brute_force_and_sums_to_one(spark):
     assert sum(p(context + bytes([b])) for b in range(256)) == pytest.approx(1)
 
 
+def test_no_ngram_is_lost_in_large_models(spark, monkeypatch):
+    monkeypatch.setattr(kneser_ney, "SHARD_ENTRIES", 30_000)
+    monkeypatch.setattr(kneser_ney, "KEPT_BYTES", 600_000)
+    draw = random.Random(4)
+    texts = ["".join(chr(draw.randrange(33, 127)) for _ in range(400)) for _ in range(120)]
+    model = kneser_ney.fit(spark.createDataFrame([(t, 0) for t in texts], "text string, label int"), 1)
+    p = brute_model(texts)
+    data, offsets = kneser_ney.padded(pa.array([*texts, "unseen " + texts[0][::-1]]), None)
+    inner, raw = kneser_ney._inner(offsets, len(data)), data.tobytes()
+    wanted = [math.log(p(raw[i - kneser_ney.ORDER + 1:i + 1])) for i in np.flatnonzero(inner)]
+    for _ in range(2):  # from the broadcasts and from memory
+        assert np.abs(model.score(data)[inner, 0] - wanted).max() < 1e-3
+    assert len(model.shards) > 3 and 0 < len(model.kept) < len(model.shards)
+    copy = spark.createDataFrame([("".join(texts[:5]),)], "text string")
+
+    def run(batches):
+        for batch in batches:
+            part, at = kneser_ney.padded(batch.column("text"), None)
+            yield pa.RecordBatch.from_arrays([pa.array([float(model.score(part)[kneser_ney._inner(at, len(part)), 0].sum())])], ["s"])
+
+    part, at = kneser_ney.padded(pa.array(["".join(texts[:5])]), None)
+    on_driver = model.score(part)[kneser_ney._inner(at, len(part)), 0].sum()
+    assert copy.mapInArrow(run, "s double").first().s == pytest.approx(float(on_driver), rel=1e-4)
+
+
 def test_classes_share_the_lowest_order(spark):
     rows = [(t, 0) for t in texts_of(1)] + [(t, 1) for t in texts_of(2, "abx y")]
     model = kneser_ney.fit(spark.createDataFrame(rows, "text string, label int"), 2)
