@@ -15,9 +15,10 @@ blocks of bounded size, and only links that connect something new leave a block.
 different texts that share a band is lost. There is no cap on a bucket.
 
 Defined results: null or empty texts have the empty set and link with nothing; fewer words than a shingle make one;
-rows with one doc_id are one document (their texts' links all count for it); a null doc_id ranks last and its
-component is the smallest id in it, or null; an empty table gives no rows; other columns are ignored, or kept by
-``keep_one``.
+rows with one doc_id are judged one by one, each by its own text; a null doc_id ranks last and its component is the
+smallest id in it, or null; an empty table gives no rows; other columns are ignored, or kept by ``keep_one``, which
+leaves exactly one row of each component and all rows without shingles, whatever their ids: the smallest doc_id, of
+equal or null ids the smallest class, of one id and class one row.
 """
 
 from __future__ import annotations
@@ -31,6 +32,7 @@ from pyspark.sql import DataFrame, functions as F
 from marketgrain.llm.components import connected
 from marketgrain.llm.scratch import scratch, stored
 from marketgrain.llm.shipping import ship
+from marketgrain.llm.textkeys import BROADCAST_KEYS, text_key
 from marketgrain.llm.texts import WHITESPACE_WORDS, mix, shingle_hashes, slices, utf8
 from marketgrain.session import materialize
 
@@ -91,7 +93,7 @@ def class_of(elements: np.ndarray) -> tuple[int, int]:
 
 
 def signatures(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """doc_id, n_shingles, node, tail and band keys of every document."""
+    """doc_id, text_key, n_shingles, node, tail and band keys of every document."""
     def run(batches):
         for batch in batches:
             for part in slices(batch, "text"):
@@ -100,17 +102,19 @@ def signatures(docs: DataFrame, width: int = WIDTH) -> DataFrame:
                 keys = [band_keys(sketch(s)) for s in found]
                 ends = np.cumsum([0, *map(len, keys)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array([len(s) for s in found], pa.int64()),
+                    [part.column("doc_id"), part.column("text_key"), pa.array([len(s) for s in found], pa.int64()),
                      pa.array([n[0] for n in names], pa.int64()), pa.array([n[1] for n in names], pa.int64()),
                      pa.ListArray.from_arrays(ends, np.concatenate(keys))],
-                    ["doc_id", "n_shingles", "node", "tail", "bands"],
+                    ["doc_id", "text_key", "n_shingles", "node", "tail", "bands"],
                 )
 
-    return _plain(docs).mapInArrow(run, "doc_id long, n_shingles long, node long, tail long, bands array<long>")
+    return _plain(docs).mapInArrow(run, "doc_id long, text_key binary, n_shingles long, node long, tail long, bands array<long>")
 
 
 def _plain(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), text_key(docs).alias("text_key")
+    )
 
 
 def shingle_set(text: str, width: int) -> frozenset:
@@ -131,10 +135,11 @@ def near_components(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT)
     """doc_id, n_shingles, component_id and kept for every document."""
     ship(docs.sparkSession)
     with scratch(docs.sparkSession):
-        return _near_components(docs, width, percent)
+        return _labelled(_components(docs, width, percent))
 
 
-def _near_components(docs: DataFrame, width: int, percent: int) -> DataFrame:
+def _components(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """doc_id, n_shingles, text_key and component (null without shingles) of every row, stored."""
     signed = stored(signatures(docs, width), "signatures")
     full = signed.where(F.col("n_shingles") > 0)
     classes = full.groupBy("node", "tail").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"))
@@ -167,7 +172,7 @@ def _near_components(docs: DataFrame, width: int, percent: int) -> DataFrame:
     else:
         links = links.union(_between(_once_each(rows), texts, width, percent))
         tied = connected(links)
-    return _labelled(signed, tied)
+    return _placed(signed, tied)
 
 
 def _texts(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
@@ -291,15 +296,18 @@ def _between(rows: DataFrame, texts: DataFrame, width: int, percent: int) -> Dat
     return rows.groupBy("bucket", "across", "i", "j").applyInArrow(compare, "a long, b long")
 
 
-def _labelled(signed: DataFrame, tied: DataFrame) -> DataFrame:
-    """Each document with the smallest id of its component."""
+def _placed(signed: DataFrame, tied: DataFrame) -> DataFrame:
     tied = tied.select(F.col("node").alias("_node"), F.col("component"))
     rows = signed.drop("bands").join(tied, F.col("node") == F.col("_node"), "left").select(
-        "doc_id", "n_shingles",
+        "doc_id", "n_shingles", "text_key",
         # the empty set links with nothing
         F.when(F.col("n_shingles") > 0, F.coalesce("component", "node")).alias("component"),
     )
-    rows = materialize(rows, "document-components")
+    return materialize(rows, "document-components")
+
+
+def _labelled(rows: DataFrame) -> DataFrame:
+    """Each document with the smallest id of its component."""
     least = rows.where("component is not null").groupBy("component").agg(F.min("doc_id").alias("_least"))
     joined = rows.join(least.withColumnRenamed("component", "_c"), F.col("component") == F.col("_c"), "left")
     label = F.coalesce(F.col("_least"), F.col("doc_id"))
@@ -307,6 +315,28 @@ def _labelled(signed: DataFrame, tied: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """The documents that stay, one of each component, with all their columns."""
-    dropped = near_components(docs, width, percent).where("not kept").select(F.col("doc_id").alias("_dropped")).distinct()
-    return docs.join(dropped, F.col("doc_id").eqNullSafe(F.col("_dropped")), "left_anti")
+    """The rows that stay, one of each component, with all their columns."""
+    ship(docs.sparkSession)
+    with scratch(docs.sparkSession):
+        rows = _components(docs, width, percent)
+    rows = rows.where("component is not null")
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key")
+    least = rows.groupBy("component").agg(F.min(order).alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    least = least.select(F.col("component").alias("_component"), "_first")
+    # rows by id and text: all of them go, or one of several stays
+    keys = rows.groupBy("component", "doc_id", "text_key").agg(F.count(F.lit(1)).alias("_rows"))
+    judged = keys.join(least, F.col("component") == F.col("_component")).select(
+        F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "_rows",
+        (order == F.col("_first")).alias("_stays"),
+    )
+    state = materialize(judged.where("not _stays or _rows > 1"), "near-copies")
+    if state.isEmpty():
+        return docs
+    same = docs["doc_id"].cast("long").eqNullSafe(F.col("_id")) & (text_key(docs) == F.col("_key"))
+    if state.count() <= BROADCAST_KEYS:
+        state = F.broadcast(state)
+    left = docs.join(state, same, "left_anti")
+    if state.where("_stays").isEmpty():
+        return left
+    several = docs.withColumn("_text_key", text_key(docs)).join(state.where("_stays"), same, "left_semi")
+    return left.union(several.dropDuplicates(["doc_id", "_text_key"]).drop("_text_key"))

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from marketgrain.llm import kneser_ney
 from marketgrain.llm.labelled import with_label
+from marketgrain.llm.textkeys import BROADCAST_KEYS, text_key
 from marketgrain.llm.texts import slices
 from marketgrain.llm.toxicity import fold
 from marketgrain.session import materialize
@@ -30,9 +31,10 @@ LEAST = 20
 
 
 def measured(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, lang, n_bytes, log_loss (sum over bytes) of every document, and whether it sets thresholds."""
+    """doc_id, lang, text_key, n_bytes, log_loss (sum over bytes) of every document, and whether it sets thresholds."""
     rows = with_label(
-        docs.select("doc_id", F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")),
+        docs.select("doc_id", F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"),
+                    text_key(docs).alias("text_key")),
         labels, "quality",
     ).withColumn("held_out", fold(F.col("doc_id")) == 0)
     trusted = rows.where("label = 1 and not held_out").select("text", F.lit(0).alias("label"))
@@ -45,21 +47,25 @@ def measured(docs: DataFrame, labels: DataFrame) -> DataFrame:
                 loss = np.where(kneser_ney._inner(offsets, len(data)), -model.score(data)[:, 0], 0)
                 sums = np.concatenate(([0], np.cumsum(loss, dtype=np.float64)))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), part.column("lang"), pa.array(np.diff(offsets) - kneser_ney.ORDER + 1),
+                    [part.column("doc_id"), part.column("lang"), part.column("text_key"), pa.array(np.diff(offsets) - kneser_ney.ORDER + 1),
                      pa.array(sums[offsets[1:]] - sums[offsets[:-1]]), part.column("sets_threshold")],
-                    ["doc_id", "lang", "n_bytes", "log_loss", "sets_threshold"],
+                    ["doc_id", "lang", "text_key", "n_bytes", "log_loss", "sets_threshold"],
                 )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     sets = F.coalesce((F.col("label") == 1) & F.col("held_out"), F.lit(False)).alias("sets_threshold")
-    found = rows.select("doc_id", "lang", "text", sets).mapInArrow(
-        run, f"doc_id {kind}, lang string, n_bytes long, log_loss double, sets_threshold boolean"
+    found = rows.select("doc_id", "lang", "text", "text_key", sets).mapInArrow(
+        run, f"doc_id {kind}, lang string, text_key binary, n_bytes long, log_loss double, sets_threshold boolean"
     )
     return materialize(found, "losses")
 
 
 def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, lang, n_bytes, perplexity, threshold and kept of every document."""
+    return _judged(docs, labels).drop("text_key")
+
+
+def _judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
     rows = measured(docs, labels)
     known = rows.where("sets_threshold and n_bytes > 0")
     every = known.agg(F.sum("log_loss").alias("s"), F.sum("n_bytes").alias("n")).first()
@@ -82,12 +88,21 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
     rows = rows.join(by_lang, F.col("lang") == F.col("_lang"), "left")
     threshold = F.coalesce(F.col("limit"), F.lit(general).cast("double"))
     return rows.select(
-        "doc_id", "lang", "n_bytes", F.exp("smooth").alias("perplexity"), F.exp(threshold).alias("threshold"),
+        "doc_id", "lang", "text_key", "n_bytes", F.exp("smooth").alias("perplexity"), F.exp(threshold).alias("threshold"),
         F.coalesce((F.col("n_bytes") == 0) | (F.col("smooth") <= threshold), F.lit(True)).alias("kept"),
     )
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that are kept, with all their columns."""
-    bad = judge(docs, labels).where("not kept").select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_bad")), "left_anti")
+    """The documents that are kept, with all their columns.
+
+    Rows are told apart by id, language and text, on which alone the verdict depends; ids may be null or repeated.
+    """
+    bad = _judged(docs, labels).where("not kept").select(
+        F.col("doc_id").alias("_bad"), F.col("lang").alias("_lang"), F.col("text_key").alias("_key")
+    ).distinct()
+    bad = materialize(bad, "rejected")
+    if bad.count() <= BROADCAST_KEYS:
+        bad = F.broadcast(bad)
+    same = docs["doc_id"].eqNullSafe(F.col("_bad")) & docs["lang"].cast("string").eqNullSafe(F.col("_lang"))
+    return docs.join(bad, same & (text_key(docs) == F.col("_key")), "left_anti")

@@ -123,6 +123,22 @@ def test_near_odd_rows_and_columns(spark):
     assert near_dedup.near_components(documents(spark, [])).count() == 0
 
 
+def test_keep_one_decides_by_row_not_by_id(spark):
+    draw = random.Random(2)
+    base = [" ".join(f"{k}w{draw.randrange(900)}" for _ in range(60)) for k in range(5)]
+    rows = [
+        (3, base[0]), (7, base[0] + " more"), (7, base[1]),  # one text of id 7 is a copy
+        (None, base[0] + " other"), (None, base[2]),  # a null-id copy beside a null-id unique text
+        (None, base[3]), (None, base[3] + " more"),  # near copies that all have null ids
+        (9, base[4]), (9, base[4]), (None, None), (None, ""),  # one id and text twice; empty texts link with nothing
+    ]
+    left = sorted((str(r.doc_id), r.text or "") for r in near_dedup.keep_one(documents(spark, rows)).collect())
+    third = [r for r in left if r[1].startswith(base[3])]
+    assert len(third) == 1
+    assert sorted(r for r in left if r not in third) == sorted(
+        [("3", base[0]), ("7", base[1]), ("None", base[2]), ("9", base[4]), ("None", ""), ("None", "")])
+
+
 def test_open_buckets_in_several_blocks(spark, monkeypatch):
     monkeypatch.setattr(near_dedup, "BLOCK", 4)
     rows = edited(5)

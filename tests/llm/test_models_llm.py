@@ -152,6 +152,15 @@ def test_quality_keeps_clean_and_drops_junk(spark):
     assert quality.judge(documents(spark, []), frame).count() == 0
 
 
+def test_keep_good_decides_by_row_not_by_id(spark):
+    rows, labels = labelled(spark)
+    junk = "#%% $$ @@@ ||| " * 20
+    rows += [(None, junk), (None, "the house of lorem ipsum"), (2001, junk), (2001, "the house and the ipsum"), (None, None)]
+    frame = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    left = {(r.doc_id, r.text) for r in quality.keep_good(documents(spark, rows), frame).where("doc_id is null or doc_id = 2001").collect()}
+    assert left == {(None, "the house of lorem ipsum"), (2001, "the house and the ipsum"), (None, None)}
+
+
 def test_sharding_law_mixture_and_slots(spark, monkeypatch):
     import zlib
 
