@@ -1,4 +1,10 @@
-"""Queries that run a stream over the given files to its end."""
+"""Queries that run a stream over the given files to its end.
+
+A table is a file or a folder of part files, and files come in any order. What may be computed in any order is replayed
+without a watermark, so that no row is late: state is then kept for all groups until the end. Three results need one
+micro-batch: alerts with cooldown and moving averages, whose result depends on the order of events, and the drift
+verdict, which compares a micro-batch as a whole; so those three read all files at once.
+"""
 
 from __future__ import annotations
 
@@ -17,29 +23,31 @@ from marketgrain.streaming import jobs as J, runs
 class StreamTables(Tables):
     """The same domain tables with one given table read as a stream."""
 
-    def __init__(self, t: Tables, streamed: str):
+    def __init__(self, t: Tables, streamed: str, files_per_trigger: int | None = 64):
         super().__init__(t.spark, t.folder)
-        self.streamed = streamed
+        self.streamed, self.files_per_trigger = streamed, files_per_trigger
 
     def frame(self, name: str) -> DataFrame:
         static = A.table(self.spark, self.folder, name)
         if name != self.streamed:
             return static
-        return runs.file_stream(self.spark, self.folder, f"{name}.parquet", static.schema)
+        return runs.table_stream(self.spark, self.folder, name, static.schema, self.files_per_trigger)
 
 
-def metric_stream(t: Tables) -> DataFrame:
-    return J.watermarked(A.metrics_of(StreamTables(t, "events").frame("events")))
+def metric_stream(t: Tables, files_per_trigger: int | None = 64) -> DataFrame:
+    rows = A.metrics_of(StreamTables(t, "events", files_per_trigger).frame("events"))
+    return rows.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def request_stream(t: Tables) -> DataFrame:
-    return J.watermarked(A.requests_of(StreamTables(t, "events").frame("events")))
+def request_stream(t: Tables, files_per_trigger: int | None = 64) -> DataFrame:
+    rows = A.requests_of(StreamTables(t, "events", files_per_trigger).frame("events"))
+    return rows.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def sale_stream(t: Tables, delay: str = "1 day") -> DataFrame:
-    tables = StreamTables(t, "lineitem")
+def sale_stream(t: Tables, files_per_trigger: int | None = 64) -> DataFrame:
+    tables = StreamTables(t, "lineitem", files_per_trigger)
     sales = A.sales_of(tables.frame("lineitem"), tables.frame("supplier"))
-    return sales.withColumn("sold_at", c(S.DATE).cast("timestamp")).withWatermark("sold_at", delay)
+    return sales.withColumn("sold_at", c(S.DATE).cast("timestamp"))
 
 
 _WINDOW = """select {start} as window_start, {start} + {width} as window_end, source, metric, count(value) as n, r4(avg(value)) as mean,
@@ -96,12 +104,12 @@ def streaming_daily(t):
            (abs(c.mean - r.mean) + abs(c.std - r.std) + abs(c.median - r.median)) / r.std / 3 > 0.25 as drift_detected
     from rs r join cs c on r.feature = c.feature""", digits=6)
 def windowed_drift(t):
-    """Every micro-batch of sales compared with the stored profile of early sales; the given file is one batch."""
+    """All given sales, read as one micro-batch, compared with the stored profile of early sales."""
     early = t.sales.where(c(S.DATE) < "1998-06-01").select(c(S.QUANTITY).alias("quantity"), c(S.PRICE).alias("unit_price"))
     folder = runs.fresh_folder(t.spark, "drift")
     drift.profile(early, NAMES[:2]).write.parquet(f"{folder}/profile")
     stored = t.spark.read.parquet(f"{folder}/profile")
-    stream = sale_stream(t).select(c(S.QUANTITY).alias("quantity"), c(S.PRICE).alias("unit_price"))
+    stream = sale_stream(t, None).select(c(S.QUANTITY).alias("quantity"), c(S.PRICE).alias("unit_price"))
     runs.run_batches(stream, J.drift_batches(stored, NAMES[:2], folder), "drift-state")
     return t.spark.read.parquet(f"{folder}/results").drop("batch")
 
@@ -122,7 +130,7 @@ _COOLED = f"""
     from firsts f join a on a.alert_type = f.alert_type and a.entity = f.entity and a.event_id = f.event_id""")
 def alert_stream(t):
     """Alerts with a cooldown of 30 minutes per type and entity, from a stream with keyed state."""
-    rows = runs.run_to_files(J.alert_stream(metric_stream(t), H.rules_table(t.spark)), "alerts")
+    rows = runs.run_to_files(J.alert_stream(J.watermarked(metric_stream(t, None)), H.rules_table(t.spark)), "alerts")
     return rows.select("alert_type", "entity", "event_id", "severity", "value")
 
 
@@ -140,7 +148,7 @@ _EMA = """select model_name, any_value(n) as n, r6(sum(latency_ms * case when k
 @query("r4_ema_stream", _EMA, digits=6)
 def ema_stream(t):
     """The moving average per model after the last micro-batch."""
-    rows = runs.run_to_files(J.ema_stream(request_stream(t)), "ema")
+    rows = runs.run_to_files(J.ema_stream(request_stream(t, None)), "ema")
     return rows.groupBy("model_name").agg(F.max("n").alias("n"), F.max_by("ema", "n").alias("ema"))
 
 

@@ -20,6 +20,17 @@ def file_stream(spark: SparkSession, folder: str, pattern: str, schema: T.Struct
     return reader.parquet(folder)
 
 
+def table_stream(spark: SparkSession, folder: str, name: str, schema: T.StructType, files_per_trigger: int | None = 64) -> DataFrame:
+    """A stream over a stored table, which is a file ``name``.parquet of the folder or a folder of part files of that name.
+
+    Spark's own file system answers which of the two it is.
+    """
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}.parquet")
+    if place.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(place).isDirectory():
+        return file_stream(spark, f"{folder}/{name}.parquet", "*", schema, files_per_trigger)
+    return file_stream(spark, folder, f"{name}.parquet", schema, files_per_trigger)
+
+
 def fresh_folder(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_root(spark)}/{label}-{uuid.uuid4().hex}"
 
