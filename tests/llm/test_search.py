@@ -115,6 +115,44 @@ def test_blocks_reach_aliases_and_allow_goes_first(spark):
     assert url_filters.judge(frame.limit(0)).count() == 0
 
 
+def refresh(target):
+    return f'<META content="0; URL={target}" http-equiv="Refresh">'
+
+
+@pytest.mark.parametrize(("target", "page", "expected"), [
+    ("page.html", "http://a.org/x/y?q", "http://a.org/x/page.html"), ("../z", "http://a.org/x/y/w", "http://a.org/x/z"),
+    ("?p=2", "http://a.org/x/y?q#f", "http://a.org/x/y?p=2"), ("?p=2", "http://a.org", "http://a.org/?p=2"),
+    ("page", "http://a.org", "http://a.org/page"), ("HTTP://A.Org", "x://b/", "http://a.org/"),
+    ("//B.org/x#y", "https://a.org/", "https://b.org/x"), ("/x/./y/../z", "http://a.org/1", "http://a.org/x/z"),
+    ("../../..", "http://a.org/x/y", "http://a.org/"), ("..", "http://a.org/x/y/z", "http://a.org/x/"),
+    ("#top", "http://a.org/x?q#f", "http://a.org/x?q"), ("mailto:me", "http://a.org/", None),
+    ("http://a.org/P?Q=..", "http://a.org/", "http://a.org/P?Q=.."), ("a/b?c=/../d", "http://a.org/x", "http://a.org/a/b?c=/../d"),
+])
+def test_targets_are_resolved(spark, target, page, expected):
+    row = spark.createDataFrame([(target, page)], "target string, page string").select(
+        url_filters.normalised(url_filters.resolved(F.col("target"), F.col("page"))).alias("u")).first()
+    assert row.u == expected
+
+
+def test_blocks_reach_aliases_of_every_form(spark):
+    blocked = "http://x.net/es/dir/page.html"
+    pages = [
+        (1, blocked, None, "block"),
+        (2, "http://x.net/other/start", refresh("../es/dir/page.html"), "block"),
+        (3, "http://b.org/3", link("HTTP://X.Net/es/dir/page.html#part"), "block"),
+        (4, "http://c.org/4", link("http://c.org/4") + link("http://b.org/none") + link(blocked), "block"),  # the third tag
+        (5, "http://d.org/5", refresh("http://d.org/6") + refresh(blocked), "block"), (6, "http://D.org/6#x", None, "block"),
+        (7, "http://e.org", None, "block"), (8, "http://f.net/es/q", link("http://e.org/"), "block"),
+        (9, "http://g.org/a/b?x", refresh("?p=2"), "block"), (10, "http://g.org/a/b?p=2", link("//x.net/es/dir/page.html"), "block"),
+        (11, "http://h.org/a/b", refresh("page.html"), "allow"), (12, "http://h.org/a/page.html", None, "allow"),
+        (13, "http://i.org/a", link("mailto:me") + link("/b"), "allow"),
+    ]
+    frame = spark.createDataFrame([p[:3] for p in pages], "page_id long, url string, html string")
+    found = {r.page_id: r for r in url_filters.judge(frame).collect()}
+    assert {i: r.verdict for i, r in found.items()} == {p[0]: p[3] for p in pages}
+    assert found[11].component == found[12].component == "http://h.org/a/b"
+
+
 def license_brute(rows, templates):
     out = set()
     for i, text in rows:
