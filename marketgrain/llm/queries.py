@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from marketgrain.llm import (
-    byte_bpe, decontamination, exact_dedup, licenses, near_dedup, quality, sharding, token_counts, toxicity, url_filters,
+    byte_bpe, decontamination, exact_dedup, licenses, merkle, near_dedup, prefix_trie, quality, secret_scan, sharding,
+    token_counts, toxicity, url_filters,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -201,3 +202,137 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+def _spans_sql(rule: secret_scan.Rule, rank: int) -> str:
+    """Spans of one rule: the pieces between the matches and the matches add up to the places."""
+    pattern = rule.pattern.replace("'", "''")
+    return f"""
+    select doc_id, '{rule.kind}' as kind, {rank} as rank, {str(rule.base).lower()} as base,
+        list_sum(list_transform(gaps[1:i], lambda g: length(g))) + coalesce(list_sum(list_transform(whole[1:i - 1],
+            lambda m: length(m))), 0) as start, length(whole[i]) as size
+    from (select *, unnest(range(1, len(whole) + 1)) as i from (
+        select doc_id, string_split_regex(body, '{pattern}') as gaps, regexp_extract_all(body, '{pattern}') as whole,
+            regexp_extract_all(body, '{pattern}', {rule.group}) as part from texts))
+    where length(part[i]) >= {max(rule.least, 1)}"""
+
+
+@query("op11_secret_scan", sql=f"""
+with texts as (select doc_id, coalesce(text, '') as body from documents),
+spans as ({" union all ".join(_spans_sql(rule, rank) for rank, rule in enumerate(secret_scan.RULES))}),
+named as (select *, kind || ':' || cast(start as bigint) || ':' || cast(start + size as bigint) as name from spans),
+found as (
+    select doc_id, string_agg(name, ',' order by start, rank) filter (where base) as base_spans,
+        string_agg(name, ',' order by start, rank) as spans, count(*) filter (where kind = 'assign') as n_assign,
+        count(*) filter (where kind = 'access') as n_access, count(*) filter (where kind = 'hex') as n_hex
+    from named group by doc_id)
+select doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access, coalesce(n_hex, 0) as n_hex,
+    sha256(coalesce(base_spans, '')) as base_sha256, coalesce(spans, '') as spans
+from documents left join found using (doc_id)
+""")
+def op11_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_scan.report(table(spark, folder, "documents"))
+
+
+def _crc_sql(number: str) -> str:
+    """Unsigned CRC-32 of a number's decimal digits, bit by bit."""
+    digits = f"list_transform(string_split(cast({number} as varchar), ''), lambda x: cast(ascii(x) as bigint))"
+    return f"""xor(list_reduce(list_prepend(4294967295::bigint, {digits}), lambda c, b: list_reduce(
+        list_prepend(xor(c, b), range(8)), lambda x, i: xor(x >> 1, (x & 1) * 3988292384))), 4294967295)"""
+
+
+def _leaf_sql(number: str) -> str:
+    values = [f"cast({c} as varchar)" for c in ("doc_id", "source", "lang", number, "text")]
+    return "sha256(" + " || ".join(f"case when {v} is null then '-' else strlen({v}) || ':' || {v} end" for v in values) + ")"
+
+
+def _climb_sql(rows: str, key: str) -> str:
+    """Nodes of all levels: key, level, place, digest, and the number of nodes on the level."""
+    return f"""
+    select {key} as key, 0 as level, place, hash, n from {rows}
+    union all
+    select key, level + 1, place // 2, sha256(string_agg(hash, '' order by place)), (n + 1) // 2
+    from REACHED where n > 1 group by key, level, place // 2, n"""
+
+
+def _steps_sql(rows: str, key: str, nodes: str, phase: int) -> str:
+    """A step for each level below the top: the sibling with its side, or none."""
+    return f"""
+    select r.doc_place, {phase} as phase, l.level,
+        case when s.hash is null then 'N' when s.place < (r.place >> l.level) then 'L' || s.hash else 'R' || s.hash end as step
+    from {rows} r join (select distinct key, level from {nodes} where n > 1) l on l.key is not distinct from r.{key}
+        left join {nodes} s on s.key is not distinct from r.{key} and s.level = l.level
+            and s.place = xor(r.place >> l.level, 1)"""
+
+
+_FOLD = """list_reduce(list_prepend({start}, steps), lambda h, s: sha256(
+    case when s[1] = 'L' then s[2:] || h when s[1] = 'R' then h || s[2:] else h end))"""
+
+
+@query("op12_merkle_manifest", sql=f"""
+with recursive leaves as (
+    select doc_id, lang, hash, changed, row_number() over (partition by lang order by doc_id nulls first, hash) - 1 as place,
+        row_number() over () as doc_place, count(*) over (partition by lang) as n
+    from (select doc_id, lang, {_leaf_sql("n_chars")} as hash,
+        case when {_crc_sql("doc_id")} % 7 = 0 then {_leaf_sql("n_chars + 1")} end as changed from documents)),
+nodes(key, level, place, hash, n) as ({_climb_sql("leaves", "lang").replace("REACHED", "nodes")}),
+tops as (
+    select key as lang, hash, 0 as whole, row_number() over (order by key nulls first) - 1 as place, count(*) over () as n
+    from nodes where n = 1),
+top_nodes(key, level, place, hash, n) as ({_climb_sql("tops", "whole").replace("REACHED", "top_nodes")}),
+leaves_of_tops as (select l.doc_place, t.whole, t.place from leaves l join tops t on t.lang is not distinct from l.lang),
+steps as (
+    select doc_place, list(step order by phase, level) as steps from (
+        {_steps_sql("leaves", "lang", "nodes", 0)} union all {_steps_sql("leaves_of_tops", "whole", "top_nodes", 1)})
+    group by doc_place),
+rows as (
+    select l.doc_id, l.hash as leaf, t.hash as subroot, (select hash from top_nodes where n = 1) as root, l.changed,
+        coalesce(s.steps, []) as steps
+    from leaves l join tops t on t.lang is not distinct from l.lang left join steps s using (doc_place)),
+folded as (select *, {_FOLD.format(start="coalesce(changed, leaf)")} as folded_root from rows)
+select doc_id, leaf, subroot, root,
+    sha256(array_to_string(list_transform(list_filter(steps, lambda s: s <> 'N'), lambda s: s[2:]), '')) as proof_sha256,
+    folded_root, folded_root = root as verified
+from folded
+""")
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.verify(table(spark, folder, "documents"))
+
+
+@query("op13_prefix_trie", sql=rf"""
+with turns as (
+    select conv_id, row_number() over (partition by conv_id order by turn nulls first, id) as k, id, words
+    from (select conv_id, turn, sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) as id,
+            len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as words
+        from conversations where conv_id is not null)),
+convs as (select conv_id, {_crc_sql("conv_id")} % 4 as h from (select distinct conv_id from turns)),
+parts as (
+    select c.conv_id, 0 as part, t.k, t.id, t.words from convs c join turns t on t.conv_id = c.conv_id - c.conv_id % 20
+        and t.k <= c.h
+    union all
+    select c.conv_id, 1, t.k, t.id, t.words from convs c join turns t on t.conv_id = c.conv_id and t.k > c.h),
+whole as (
+    select conv_id, list(id order by part, k) as ids, list(words order by part, k) as words from parts group by conv_id),
+rebuilt as (
+    select conv_id, coalesce(ids, []) as ids, coalesce(words, []) as words from convs left join whole using (conv_id)),
+prefixes as (
+    select conv_id, d, ids[1:d] as name, case when d = 0 then 0 else words[d] end as words, len(ids) = d as ends
+    from (select *, unnest(range(0, len(ids) + 1)) as d from rebuilt)),
+nodes as (
+    select d, name, min(conv_id) as conv_id, count(*) as n_convs, any_value(words) as words,
+        string_agg(cast(conv_id as varchar), ',' order by conv_id) filter (where ends) as ended
+    from prefixes group by d, name),
+kids as (select d - 1 as d, name[1:d - 1] as name, count(*) as n_children from nodes where d > 0 group by all),
+counted as (select n.*, coalesce(k.n_children, 0) as n_children from nodes n left join kids k using (d, name)),
+under as (
+    select a as d, name[1:a] as name, sum(case when n_children = 0 then 1 else 0 end) as n_leaves,
+        sum((n_convs - 1) * words) as saved
+    from (select *, unnest(range(0, d + 1)) as a from counted) group by all)
+select c.conv_id, cast(c.d as bigint) as depth, p.conv_id as parent_conv_id, c.n_convs, c.n_children,
+    cast(u.n_leaves as bigint) as n_leaves, cast(u.saved as bigint) as saved_tokens,
+    sha256(coalesce(c.ended, '')) as ends_sha256
+from counted c join under u on u.d = c.d and u.name = c.name
+    left join nodes p on p.d = c.d - 1 and p.name = c.name[1:c.d - 1]
+""")
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, folder, "conversations"))
