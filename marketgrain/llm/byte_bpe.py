@@ -37,9 +37,10 @@ from marketgrain.llm.shipping import ship
 from marketgrain.llm.texts import slices, utf8
 
 RANKS = "byte_bpe_50k.tiktoken"
-SLICE = 8 << 20
-MAX_STATES = 300_000
-MAX_WORDS = 600_000
+SLICE = 4 << 20
+#: entries of a worker's stores, which are emptied beyond them and at the end of each task
+MAX_STATES = 50_000
+MAX_WORDS = 100_000
 
 
 class Merges:
@@ -52,6 +53,10 @@ class Merges:
         self._edges: tuple[dict, dict] = {}, {}
         self._apart: dict[tuple[int, int], bool] = {}
 
+    def release(self) -> None:
+        self._edges = {}, {}
+        self._apart = {}
+
     def merge(self, text: bytes, below: int) -> list[int]:
         """Merge single bytes by rank, using only ranks under ``below``."""
         parts = [text[i:i + 1] for i in range(len(text))]
@@ -137,6 +142,10 @@ class Transducer:
             self.token[node] = rank
         self._clear()
 
+    def release(self) -> None:
+        self._clear()
+        self.merges.release()
+
     def _clear(self) -> None:
         # a state: the last certain token, and for each running position its trie node and uncertain tokens
         self.states: list[tuple] = [(None, ((0, ()),))]
@@ -307,6 +316,11 @@ class Codec(dict):
         ids = self[word] = self.machine.encode(word)
         return ids
 
+    def release(self) -> None:
+        """Empty the stores; workers outlive their tasks, and other operators need their memory."""
+        self.clear()
+        self.machine.release()
+
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and the offsets of the texts in them."""
         data, offsets = utf8(column)
@@ -345,6 +359,12 @@ def round_trip(docs: DataFrame, path: str | None = None, keep_ids: bool = False)
 
     def run(batches):
         coder = codec(path)
+        try:
+            yield from coded(coder, batches)
+        finally:
+            coder.release()
+
+    def coded(coder, batches):
         for batch in batches:
             for part in slices(batch, "text", SLICE):
                 ids, ends = coder.encode(part.column("text"))

@@ -22,6 +22,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from marketgrain.llm.scratch import discard, scratch, stored
+from marketgrain.llm.textkeys import unused
 from marketgrain.session import checkpoint_root, materialize
 
 BLANKS = r"[\x20\x09-\x0D]+"
@@ -135,9 +136,9 @@ def keep_first(docs: DataFrame, digest=sha256) -> DataFrame:
     key = ["doc_id", "text_sha256"]
     state = materialize(found.groupBy(*key).agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n")), "kept-keys")
     dropped = state.where("not kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
-    sha = sha256(normalised(F.col("text")))
-    left = docs.join(dropped, F.col("doc_id").eqNullSafe(F.col("_id")) & (sha == F.col("_sha")), "left_anti")
+    sha, name = sha256(normalised(docs["text"])), unused(docs, "_sha")
+    left = docs.join(dropped, docs["doc_id"].eqNullSafe(dropped["_id"]) & (sha == dropped["_sha"]), "left_anti")
     if state.where("n > 1").isEmpty():
         return left
     # rows that repeat an id and a text: one of them
-    return left.withColumn("_sha", sha).dropDuplicates(["doc_id", "_sha"]).drop("_sha")
+    return left.withColumn(name, sha).dropDuplicates(["doc_id", name]).drop(name)

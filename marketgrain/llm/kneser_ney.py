@@ -35,6 +35,8 @@ START = 2
 SHARD_ENTRIES = 1 << 21
 #: bytes of shards that a Python worker keeps
 KEPT_BYTES = 128 << 20
+#: bytes of text whose n-grams a task counts at once; it needs some 30 times as much memory
+COUNT_SLICE = 2 << 20
 #: a part of a text that is scored at once
 SLICE = 1 << 20
 
@@ -74,13 +76,16 @@ def counts(texts: DataFrame, classes: int, translate: np.ndarray | None) -> Data
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, "text", 8 << 20):
+            for part in slices(batch, "text", COUNT_SLICE):
                 data, offsets = padded(part.column("text"), translate)
                 grams = packed(data, ORDER)
                 label = np.repeat(part.column("label").to_numpy(), np.diff(offsets))
                 inner = _inner(offsets, len(data))
                 for k in range(classes):
-                    found, n = np.unique(grams[inner & (label == k)], return_counts=True)
+                    own = grams[inner & (label == k)] if classes > 1 else grams[inner]
+                    own.sort()
+                    at = np.flatnonzero(np.diff(own, prepend=~own[:1]))
+                    found, n = own[at], np.diff(at, append=len(own))
                     columns = [pa.array(n if j == k else np.zeros(len(n), np.int64)) for j in range(classes)]
                     yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), *columns], ["gram", *names])
 

@@ -15,4 +15,4 @@ def with_label(docs: DataFrame, labels: DataFrame, column: str) -> DataFrame:
     ).agg(F.max(F.col(column).cast("int")).alias("label"))
     if labels.count() <= BROADCAST_ROWS:
         known = F.broadcast(known)
-    return docs.join(known, F.col("doc_id") == F.col("_labelled"), "left").drop("_labelled")
+    return docs.join(known, docs["doc_id"] == known["_labelled"], "left").select(docs["*"], known["label"])

@@ -7,8 +7,7 @@ one of them. A window that holds 80 % of a template's shingles has a Jaccard sim
 the template with probability below (1 - 0.36)^32 < 1e-6. What shares a band is verified on the shingles themselves.
 
 A template of fewer than WIDTH words is found as a run of its own words, wherever it stands in a text; each place is a
-window of its own, named by its first word, with containment 1. The bare rights notice is such a template. It has its own
-table SHORT, since the SQL of the query, which knows only shingles of five words, holds TEMPLATES only.
+window of its own, named by its first word, with containment 1. The bare rights notice is such a template.
 
 Texts without any word of ``anchors`` are left out first. Anchors are words of which each template has so many
 shingles that no text without them can hold 80 % of it; they are computed from the templates.

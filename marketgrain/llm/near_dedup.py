@@ -108,12 +108,14 @@ def signatures(docs: DataFrame, width: int = WIDTH) -> DataFrame:
                     ["doc_id", "text_key", "n_shingles", "node", "tail", "bands"],
                 )
 
-    return _plain(docs).mapInArrow(run, "doc_id long, text_key binary, n_shingles long, node long, tail long, bands array<long>")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return _plain(docs).mapInArrow(
+        run, f"doc_id {kind}, text_key binary, n_shingles long, node long, tail long, bands array<long>")
 
 
 def _plain(docs: DataFrame) -> DataFrame:
     return docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), text_key(docs).alias("text_key")
+        "doc_id", F.col("text").cast("string").alias("text"), text_key(docs).alias("text_key")
     )
 
 
@@ -142,19 +144,20 @@ def _components(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """doc_id, n_shingles, text_key and component (null without shingles) of every row, stored."""
     signed = stored(signatures(docs, width), "signatures")
     full = signed.where(F.col("n_shingles") > 0)
-    classes = full.groupBy("node", "tail").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"))
+    classes = full.groupBy("node", "tail").agg(
+        F.min(F.struct("doc_id", "text_key")).alias("holder"), F.first("bands").alias("bands"))
     members = stored(
-        classes.select("node", "doc_id", F.explode("bands").alias("bucket")), "buckets"
+        classes.select("node", "holder", F.explode("bands").alias("bucket")), "buckets"
     )
     size = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     members = stored(members.join(size, "bucket"), "shared-buckets")
     # a class near the middle of a group meets most of it, and is the best hub
-    weights = members.groupBy("node").agg(F.sum("n").alias("weight"), F.min("doc_id").alias("doc_id"))
+    weights = members.groupBy("node").agg(F.sum("n").alias("weight"), F.min("holder").alias("holder"))
     weights = stored(weights, "weights")
-    texts = stored(_texts(docs, weights.select("node", "doc_id"), width), "candidate-texts")
+    texts = stored(_texts(docs, weights.select("node", "holder.*"), width), "candidate-texts")
 
     rows = stored(
-        members.select("bucket", "node", F.col("node").alias("component")).join(weights.drop("doc_id"), "node"), "rows-0"
+        members.select("bucket", "node", F.col("node").alias("component")).join(weights.drop("holder"), "node"), "rows-0"
     )
     links, tied = None, connected(texts.sparkSession.createDataFrame([], "a long, b long"))
     for turn in range(1, ROUNDS + 1):
@@ -178,10 +181,11 @@ def _components(docs: DataFrame, width: int, percent: int) -> DataFrame:
 def _texts(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """One text for each wanted node."""
     few = wanted.count() <= BROADCAST_IDS
-    wanted = wanted.select("node", F.col("doc_id").alias("_id"))
+    wanted = wanted.select("node", F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
     if few:
         wanted = F.broadcast(wanted)
-    found = _plain(docs).join(wanted, F.col("doc_id").eqNullSafe(F.col("_id"))).select("node", "text")
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key"))
+    found = _plain(docs).join(wanted, same).select("node", "text")
 
     def run(batches):
         for batch in batches:
@@ -189,7 +193,7 @@ def _texts(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
                 names = [class_of(s)[0] for s in sets(part.column("text"), width)]
                 yield part.filter(pa.array(part.column("node").to_numpy() == np.array(names, np.int64)))
 
-    # rows that repeat an id may hold other texts, or the same again
+    # an id and text may be repeated
     return found.mapInArrow(run, "node long, text string").dropDuplicates(["node"])
 
 
@@ -332,11 +336,12 @@ def keep_one(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> Dat
     state = materialize(judged.where("not _stays or _rows > 1"), "near-copies")
     if state.isEmpty():
         return docs
-    same = docs["doc_id"].cast("long").eqNullSafe(F.col("_id")) & (text_key(docs) == F.col("_key"))
+    same = docs["doc_id"].eqNullSafe(state["_id"]) & (text_key(docs) == state["_key"])
     if state.count() <= BROADCAST_KEYS:
         state = F.broadcast(state)
     left = docs.join(state, same, "left_anti")
     if state.where("_stays").isEmpty():
         return left
-    several = docs.withColumn("_text_key", text_key(docs)).join(state.where("_stays"), same, "left_semi")
-    return left.union(several.dropDuplicates(["doc_id", "_text_key"]).drop("_text_key"))
+    name = unused(docs, "_text_key")
+    several = docs.join(state.where(state["_stays"]), same, "left_semi").withColumn(name, text_key(docs))
+    return left.union(several.dropDuplicates(["doc_id", name]).drop(name))

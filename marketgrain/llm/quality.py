@@ -104,5 +104,5 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     bad = materialize(bad, "rejected")
     if bad.count() <= BROADCAST_KEYS:
         bad = F.broadcast(bad)
-    same = docs["doc_id"].eqNullSafe(F.col("_bad")) & docs["lang"].cast("string").eqNullSafe(F.col("_lang"))
-    return docs.join(bad, same & (text_key(docs) == F.col("_key")), "left_anti")
+    same = docs["doc_id"].eqNullSafe(bad["_bad"]) & docs["lang"].cast("string").eqNullSafe(bad["_lang"])
+    return docs.join(bad, same & (text_key(docs) == bad["_key"]), "left_anti")

@@ -172,6 +172,8 @@ _NOTICES = ", ".join(
     for name, text in sorted(licenses.TEMPLATES.items()) for found in [licenses.plain_shingles(text)] for shingle in sorted(set(found))
 )
 
+_SHORT_RUNS = ", ".join(f"('{name}', {licenses.short_words(text)})" for name, text in sorted(licenses.SHORT.items()))
+
 
 @query("op9_license_scan", sql=rf"""
 with templates(license, shingle, n) as (values {_NOTICES}),
@@ -180,6 +182,8 @@ words as (
         lambda x: rtrim(x, '.-')) as w from documents),
 places as (
     select doc_id, w, unnest(range(0, greatest(len(w) - 4, 1))) as p from words where len(w) > 0),
+short_templates(license, run) as (values {_SHORT_RUNS}),
+runs as (select doc_id, w, unnest(range(0, len(w))) as p from words),
 shingles as (select doc_id, p, array_to_string(w[p + 1:p + 5], ' ') as shingle from places),
 held as (select doc_id, license, n, p, s.shingle from shingles s join templates t on s.shingle = t.shingle),
 windows as (
@@ -187,7 +191,9 @@ windows as (
     union all select doc_id, license, n, shingle, p // n * n - n from held where p >= n),
 verified as (
     select doc_id, license, win, count(distinct shingle) / n as containment from windows group by doc_id, license, n, win
-    having count(distinct shingle) * 100 >= 80 * n)
+    having count(distinct shingle) * 100 >= 80 * n
+    union all
+    select doc_id, license, p, 1.0::double from runs join short_templates on w[p + 1:p + len(run)] = run)
 select doc_id, license, count(*) as n_windows, min(win) as first_window, max(containment) as containment
 from verified group by doc_id, license
 """.replace("\\\\", "\\"))

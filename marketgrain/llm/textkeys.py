@@ -8,6 +8,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 BROADCAST_KEYS = 500_000
 
 
+def unused(docs: DataFrame, name: str) -> str:
+    """``name``, behind as many underscores as no column of ``docs`` has it."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def text_key(docs: DataFrame) -> Column:
     """The first 128 bits of the text's SHA-256; null counts as empty."""
     text = F.coalesce(docs["text"].cast("string"), F.lit("")).cast("binary")

@@ -123,6 +123,14 @@ def test_near_odd_rows_and_columns(spark):
     assert near_dedup.near_components(documents(spark, [])).count() == 0
 
 
+def test_near_components_of_text_ids(spark):
+    rows = [("b", "one two three four five six"), ("a", "one two  three four five six"), ("c", "x"), (None, "y"), (None, "y")]
+    docs = spark.createDataFrame(rows, "doc_id string, text string")
+    found = {(r.doc_id, r.component_id, r.kept) for r in near_dedup.near_components(docs).collect()}
+    assert found == {("a", "a", True), ("b", "a", False), ("c", "c", True), (None, None, True)}
+    assert {r.doc_id for r in near_dedup.keep_one(docs).collect()} == {"a", "c", None}
+
+
 def test_keep_one_decides_by_row_not_by_id(spark):
     draw = random.Random(2)
     base = [" ".join(f"{k}w{draw.randrange(900)}" for _ in range(60)) for k in range(5)]

@@ -56,4 +56,5 @@ def test_stages_keep_the_columns_and_all_queries_are_registered(spark, tmp_path)
             out.collect()
     assert sorted(catalog.QUERIES) == sorted(
         ["pipeline", "op1_token_counts", "op2_toxicity", "op3_exact_dedup", "op4_byte_bpe", "op5_decontamination",
-         "op6_near_dedup", "op7_url_filters", "op8_quality", "op9_license_scan", "op10_sharding"])
+         "op6_near_dedup", "op7_url_filters", "op8_quality", "op9_license_scan", "op10_sharding", "op11_secret_scan",
+         "op12_merkle_manifest", "op13_prefix_trie"])
