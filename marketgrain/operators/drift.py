@@ -206,7 +206,8 @@ def jensen_shannon(reference: DataFrame, current: DataFrame, names: Sequence[str
 def chi_square(reference: DataFrame, current: DataFrame, names: Sequence[str]) -> DataFrame:
     """Chi-square statistic of the current category counts against the reference's shares.
 
-    Categories the reference never showed have no expected count and are left out, as are empty ones.
+    Categories the reference never showed have no expected count and are left out, as are empty ones. Features without
+    values on one of the two sides have nothing to compare and are left out.
     """
     def long(df: DataFrame, side: int) -> DataFrame:
         rows = df.select(*[c(n).cast("string").alias(n) for n in names]).unpivot([], list(names), "feature", "value")
@@ -216,6 +217,7 @@ def chi_square(reference: DataFrame, current: DataFrame, names: Sequence[str]) -
         "feature", "value"
     ).agg(F.sum("r").alias("r"), F.sum("c").alias("c"))
     sizes = counts.groupBy("feature").agg(F.sum("r").alias("n_ref"), F.sum("c").alias("n_cur"))
+    sizes = sizes.where((F.col("n_ref") > 0) & (F.col("n_cur") > 0))
     expected = F.col("r") * F.col("n_cur") / F.col("n_ref")
     return (
         counts.join(F.broadcast(sizes), "feature")
