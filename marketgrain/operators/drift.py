@@ -77,6 +77,16 @@ def statistical_drift(reference: DataFrame, current: DataFrame, threshold: float
     return scored.withColumn("drift_detected", F.col("drift_score") > threshold)
 
 
+def profile_shift(reference: DataFrame, current: DataFrame, keys: Sequence[str], threshold: float = THRESHOLD) -> DataFrame:
+    """The same score for profiles of many windows (keys, feature, mean, std, median) against one reference profile."""
+    theirs = reference.select(F.col("feature").alias("_feature"), *[F.col(n).alias(f"_{n}") for n in ("mean", "std", "median")])
+    # one row per feature of the schema
+    joined = current.join(F.broadcast(theirs), F.col("feature") == F.col("_feature"))
+    gaps = [F.abs(F.col(n) - F.col(f"_{n}")) / F.greatest(F.col("_std"), F.lit(MIN_STD)) for n in ("mean", "std", "median")]
+    scored = joined.withColumn("drift_score", reduce(lambda a, b: a + b, gaps) / 3)
+    return scored.select(*keys, "feature", "drift_score", (F.col("drift_score") > threshold).alias("drift_detected"))
+
+
 def _pair(reference: DataFrame, current: DataFrame, names: Sequence[str]) -> DataFrame:
     """Both tables in long form with 0/1 columns that say where a value comes from."""
     a, b = (numbers(df, names).where(F.col("value").isNotNull()) for df in (reference, current))
@@ -247,9 +257,9 @@ def detect(reference: DataFrame, current: DataFrame, names: Sequence[str], metho
     raise ValueError(f"unknown drift method {method!r}, expected one of {METHODS}")
 
 
-def verdict(results: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """One row: drifted features, their share, the mean score and whether the table as a whole drifted."""
-    counted = results.agg(
+def verdict(results: DataFrame, threshold: float = THRESHOLD, keys: Sequence[str] = ()) -> DataFrame:
+    """One row (or one for each of ``keys``): drifted features, their share, the mean score and whether the whole drifted."""
+    counted = results.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("total_features"),
         count_where(F.col("drift_detected")).alias("drifted_features"),
         F.avg("drift_score").alias("drift_score"),

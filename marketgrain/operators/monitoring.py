@@ -4,14 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
-from pyspark.sql import types as T
 
 from marketgrain.functions.numeric import count_where, ratio
-from marketgrain.functions.order_stats import row_positions
 from marketgrain.functions.pricing import metric_unit
+from marketgrain.operators.ema import ema
 
 # fixed values: (alert type, metric, direction, threshold, critical threshold or None, base severity)
 RULES = (
@@ -241,21 +238,6 @@ def load_summary(requests: DataFrame, prediction: Column) -> DataFrame:
     )
 
 
-def ema(df: DataFrame, keys: Sequence[str], order: str, ties: Sequence[str], value: str, alpha: float = 0.1) -> DataFrame:
-    """Exponential moving average at the last row of each key; the first value seeds it.
-
-    The recursion is a weighted sum whose weights depend on a row's position, so a key of any size is numbered
-    in slices and summed with a map-side combine instead of being folded in one task.
-    """
-    placed = row_positions(df.where(F.col(value).isNotNull()), keys, order, ties, "_pos")
-    sizes = df.where(F.col(value).isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    keep = 1 - alpha
-    weight = F.when(F.col("_pos") == 1, F.pow(F.lit(keep), F.col("n") - 1)).otherwise(
-        alpha * F.pow(F.lit(keep), F.col("n") - F.col("_pos"))
-    )
-    return placed.join(sizes, list(keys)).groupBy(*keys).agg(F.max("n").alias("n"), F.sum(weight * F.col(value)).alias("ema"))
-
-
 def prediction_stats(requests: DataFrame) -> DataFrame:
     """Totals, successes, moving average of latency and time of the last request per model."""
     counts = requests.groupBy("model_name").agg(
@@ -275,43 +257,3 @@ def long_metrics(wide: DataFrame, keys: Sequence[str], names: Sequence[str]) ->
     """One row per numeric metric with its unit."""
     long = wide.select(*keys, *[F.col(n).cast("double").alias(n) for n in names]).unpivot(list(keys), list(names), "metric", "value")
     return long.where(F.col("value").isNotNull()).withColumn("unit", metric_unit(F.col("metric")))
-
-
-def emitted(times: np.ndarray, last: int | None, pause: int) -> tuple[np.ndarray, int | None]:
-    """Positions of the sorted ``times`` that keep ``pause`` from the emission before, and the last emission.
-
-    One binary search per emission, of which there is at most one per pause.
-    """
-    picked, at = [], 0 if last is None else int(np.searchsorted(times, last + pause))
-    while at < len(times):
-        picked.append(at)
-        last = int(times[at])
-        at = int(np.searchsorted(times, last + pause))
-    return np.array(picked, dtype=int), last
-
-
-def cooled_down(alert_rows: DataFrame, keys: Sequence[str], minutes: int = 30) -> DataFrame:
-    """Alerts that are at least ``minutes`` after the last emitted alert of the same key.
-
-    The rule is sequential within a key. Spark shuffles and sorts by key and time (spilling if need be) and
-    each task passes over its rows in batches, holding one timestamp per key at a time.
-    """
-    pause = minutes * 60 * 1_000_000
-    names = list(keys)
-    slim = alert_rows.select(*names, F.unix_micros("ts").alias("t"), "event_id")
-    ordered = slim.repartition(*names).sortWithinPartitions(*names, "t", "event_id")
-
-    def passes(batches):
-        current, last = None, None
-        for batch in batches:
-            parts = []
-            for key, rows in batch.groupby(names, sort=False, dropna=False):
-                if key != current:
-                    current, last = key, None
-                picked, last = emitted(rows["t"].to_numpy(), last, pause)
-                parts.append(rows.iloc[picked])
-            if parts:
-                yield pd.concat(parts)[[*names, "event_id"]]
-
-    fields = [f for f in slim.schema.fields if f.name != "t"]
-    return ordered.mapInPandas(passes, T.StructType(fields))

@@ -1,9 +1,8 @@
 """Queries that run a stream over the given files to its end.
 
-A table is a file or a folder of part files, and files come in any order. What may be computed in any order is replayed
-without a watermark, so that no row is late: state is then kept for all groups until the end. Three results need one
-micro-batch: alerts with cooldown and moving averages, whose result depends on the order of events, and the drift
-verdict, which compares a micro-batch as a whole; so those three read all files at once.
+A table is a file or a folder of part files, and files come in any order, in as many micro-batches as there are. Windows
+are closed ten minutes behind the newest event and restated by late rows; alerts, moving averages and sessions are stored in
+mergeable form. One result, the drift verdict over all rows, compares a micro-batch as a whole and reads all files at once.
 """
 
 from __future__ import annotations
@@ -12,12 +11,13 @@ from pyspark.sql import DataFrame, functions as F
 
 from marketgrain import schemas as S
 from marketgrain.functions.naming import c
-from marketgrain.operators import drift, monitoring as H
+from marketgrain.operators import drift, ema as E, monitoring as H
+from marketgrain.operators.cooldown import cooled_down
 from marketgrain.queries.base import Tables, query, r
 from marketgrain.queries.drift import NAMES, STATS
 from marketgrain.queries.service import _RULES, naive_ts, violated
 from marketgrain.sources import adapters as A
-from marketgrain.streaming import jobs as J, runs
+from marketgrain.streaming import jobs as J, runs, sessions as K, windows as W
 
 
 class StreamTables(Tables):
@@ -55,13 +55,17 @@ _WINDOW = """select {start} as window_start, {start} + {width} as window_end, so
 _MINUTES = _WINDOW.format(start="date_trunc('minute', ts)", width="interval 1 minute", rows="metrics")
 
 
-WINDOW_KEYS = ["window_start", "window_end", "source", "metric"]
+def replayed(stream: DataFrame, parts: W.Parts, label: str) -> DataFrame:
+    """Every window of a stream that has run to its end: closed ones with their late rows, and open ones."""
+    spark = stream.sparkSession
+    folder = runs.fresh_folder(spark, label)
+    runs.run_batches(stream, W.window_batches(folder, parts), f"{label}-state")
+    return W.every(spark, folder, parts, W.part_schema(parts, stream.schema, spark))
 
 
 @query("r1_metric_windows", _MINUTES)
 def metric_windows(t):
-    """Every window, also those that are open when the input ends."""
-    return naive_ts(runs.run_to_end(J.metric_windows(metric_stream(t)), WINDOW_KEYS, "windows"), "window_start", "window_end")
+    return naive_ts(J.metrics_of(replayed(metric_stream(t), J.metric_parts(), "windows")), "window_start", "window_end")
 
 
 @query("r1_metric_windows_batch", _MINUTES)
@@ -75,8 +79,8 @@ _WEEK = _WINDOW.format(start="d", width="interval 7 day",
 
 @query("r5_trailing_week", _WEEK)
 def trailing_week(t):
-    rows = J.metric_windows(metric_stream(t), width="7 days", slide="1 day")
-    return naive_ts(runs.run_to_end(rows, WINDOW_KEYS, "weeks"), "window_start", "window_end")
+    rows = replayed(metric_stream(t), J.metric_parts("7 days", "1 day"), "weeks")
+    return naive_ts(J.metrics_of(rows), "window_start", "window_end")
 
 
 @query("r5_trailing_week_batch", _WEEK)
@@ -89,11 +93,43 @@ def trailing_week_batch(t):
            r2(revenue) as revenue from daily""", revenue=2)
 def streaming_daily(t):
     """Every day, also those that are open when the input ends."""
-    out = runs.run_to_end(J.daily_windows(sale_stream(t)), [S.DATE, S.ITEM], "daily")
+    out = J.daily_of(replayed(J.sold(sale_stream(t)), J.daily_parts(), "daily"))
     return out.select(S.DATE, c(S.ITEM), "Transaction_Count", "Discount_Count", "Total_Quantity", "Avg_Quantity", "Avg_Price",
                       "Price_Volatility", "Revenue")
 
 
+_EARLY = "select cast(quantity as double) as quantity, cast(unit_price as double) as unit_price from sales where sale_date < date '1998-06-01'"
+
+
+@query("r2_drift_windows", f"""
+    with early as ({_EARLY}),
+    ref as (select 'quantity' as feature, quantity as v from early union all select 'unit_price', unit_price from early),
+    cur as (select sale_date, 'quantity' as feature, cast(quantity as double) as v from sales
+            union all select sale_date, 'unit_price', unit_price from sales),
+    rs as (select feature, {STATS} from ref group by feature),
+    cs as (select sale_date, feature, {STATS} from cur group by sale_date, feature),
+    scores as (select c.sale_date, c.feature, (abs(c.mean - r.mean) + abs(c.std - r.std) + abs(c.median - r.median)) / r.std / 3 as score
+               from cs c join rs r on r.feature = c.feature)
+    select cast(sale_date as timestamp) as window_start, cast(sale_date as timestamp) + interval 60 minute as window_end,
+        count(*) as total_features, count(*) filter (where score > 0.25) as drifted_features, r6(avg(score)) as drift_score,
+        r6(max(score)) as max_drift_score, r6(min(score)) as min_drift_score,
+        r6(count(*) filter (where score > 0.25) / count(*)) as drift_ratio,
+        count(*) filter (where score > 0.25) / count(*) > 0.3 or avg(score) > 0.25 as overall_drift_detected
+    from scores group by sale_date""", digits=6)
+def drift_windows(t):
+    """The verdict of every window of 60 minutes (sales have days, so one a day) against the stored profile of early sales."""
+    names = NAMES[:2]
+    early = t.sales.where(c(S.DATE) < "1998-06-01").select(c(S.QUANTITY).alias("quantity"), c(S.PRICE).alias("unit_price"))
+    folder = runs.fresh_folder(t.spark, "drift-windows")
+    drift.profile(early, names).write.parquet(f"{folder}/profile")
+    reference = t.spark.read.parquet(f"{folder}/profile")
+    stream = sale_stream(t).select(c(S.QUANTITY).alias("quantity"), c(S.PRICE).alias("unit_price"), "sold_at")
+    parts = J.drift_parts(names, ts="sold_at")
+    runs.run_batches(stream, J.drift_window_batches(reference, names, folder, parts), "drift-windows-state")
+    every = W.every(t.spark, folder, parts, W.part_schema(parts, stream.schema, t.spark))
+    return naive_ts(J.window_verdicts(reference, every, names), "window_start", "window_end")
+
+
 @query("r2_windowed_drift", f"""
     with base as (select sale_date, quantity, unit_price from sales),
     ref as (select 'quantity' as feature, quantity as v from base where sale_date < date '1998-06-01'
@@ -129,15 +165,17 @@ _COOLED = f"""
     select f.alert_type, f.entity, f.event_id, a.severity, r4(a.value) as value
     from firsts f join a on a.alert_type = f.alert_type and a.entity = f.entity and a.event_id = f.event_id""")
 def alert_stream(t):
-    """Alerts with a cooldown of 30 minutes per type and entity, from a stream with keyed state."""
-    rows = runs.run_to_files(J.alert_stream(J.watermarked(metric_stream(t, None)), H.rules_table(t.spark)), "alerts")
-    return rows.select("alert_type", "entity", "event_id", "severity", "value")
+    """Alerts with a cooldown of 30 minutes per type and entity, from a stream of violations in any order."""
+    folder, stream, rules = runs.fresh_folder(t.spark, "alerts"), metric_stream(t), H.rules_table(t.spark)
+    runs.run_batches(stream, J.alert_batches(folder, rules), "alerts-state")
+    kinds = H.violations(t.spark.createDataFrame([], stream.schema), rules).select("alert_type", "entity", *J.VIOLATION).schema
+    return J.settled(t.spark, folder, kinds).select("alert_type", "entity", "event_id", "severity", "value")
 
 
 @query("r3_alert_cooldown", f"{_COOLED} select alert_type, entity, event_id from firsts")
 def alert_cooldown(t):
     """The batch form of the same rule."""
-    return H.cooled_down(H.violations(t.metrics, H.rules_table(t.spark)), ["alert_type", "entity"])
+    return cooled_down(H.violations(t.metrics, H.rules_table(t.spark)), ["alert_type", "entity"])
 
 
 _EMA = """select model_name, any_value(n) as n, r6(sum(latency_ms * case when k = 1 then power(0.9, n - 1) else 0.1 * power(0.9, n - k) end)) as ema
@@ -148,8 +186,9 @@ _EMA = """select model_name, any_value(n) as n, r6(sum(latency_ms * case when k
 @query("r4_ema_stream", _EMA, digits=6)
 def ema_stream(t):
     """The moving average per model after the last micro-batch."""
-    rows = runs.run_to_files(J.ema_stream(request_stream(t, None)), "ema")
-    return rows.groupBy("model_name").agg(F.max("n").alias("n"), F.max_by("ema", "n").alias("ema"))
+    folder, keys = runs.fresh_folder(t.spark, "ema"), ["model_name"]
+    runs.run_batches(request_stream(t), E.ema_batches(folder, keys, "ts", ["request_id"], "latency_ms"), "ema-state")
+    return E.stored_ema(t.spark, folder, keys, 0.1, "model_name string")
 
 
 @query("r6_streaming_validation", """
@@ -180,4 +219,8 @@ def sessions_batch(t):
 @query("r8_sessions", _SESSIONS)
 def sessions(t):
     """Every session, also those that are open when the input ends."""
-    return naive_ts(runs.run_complete(J.sessions(request_stream(t)), "sessions"), "session_start", "session_end")
+    folder, stream, values = runs.fresh_folder(t.spark, "sessions"), request_stream(t), {"ms": F.col("latency_ms")}
+    runs.run_batches(stream, K.fragment_batches(folder, "user_id", 600, values), "sessions-state")
+    found = K.stored_sessions(t.spark, folder, "user_id", 600, values, stream.schema)
+    found = found.select("user_id", "session_start", "session_end", F.col("rows").alias("requests"), W.mean("ms").alias("mean_ms"))
+    return naive_ts(found, "session_start", "session_end")

@@ -2,22 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StreamingQuery
 
 from marketgrain import schemas as S
 from marketgrain.functions.naming import c
-from marketgrain.functions.numeric import count_where, ratio
+from marketgrain.functions.numeric import ratio
 from marketgrain.operators import drift, quality
-from marketgrain.operators.monitoring import emitted, violations
-
-WATERMARK = "10 minutes"
-
+from marketgrain.operators.cooldown import cooled_down
+from marketgrain.operators.monitoring import violations
+from marketgrain.session import remove
+from marketgrain.streaming import runs
+from marketgrain.streaming.windows import WINDOW, Parts, deviation, mean, median, window_batches
 
 def metric_windows(metrics: DataFrame, keys: Sequence[str] = ("source", "metric"), width: str = "60 seconds", slide: str | None = None) -> DataFrame:
     """Count, mean and extremes per window of event time; for streams and static frames alike."""
@@ -27,32 +26,39 @@ def metric_windows(metrics: DataFrame, keys: Sequence[str] = ("source", "metric"
     ).select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *keys, "n", "mean", "low", "high")
 
 
-def watermarked(df: DataFrame, column: str = "ts", delay: str = WATERMARK) -> DataFrame:
-    return df.withColumn(column, c(column).cast("timestamp")).withWatermark(column, delay)
+def daily_parts(moment: str = "sold_at") -> Parts:
+    """What the daily aggregate per item adds up over one-day windows."""
+    return Parts(
+        [S.ITEM], {"quantity": c(S.QUANTITY), "price": c(S.PRICE)}, "1 day", flags={"discounts": c(S.DISCOUNT) == "Yes"}, ts=moment)
 
 
-def daily_windows(sales: DataFrame, moment: str = "sold_at") -> DataFrame:
-    """The daily aggregate per item over one-day windows of a watermarked stream."""
-    quantity, price = c(S.QUANTITY), c(S.PRICE)
-    kept = sales.where((F.lower(c(S.KIND)) == "sale") & c(moment).isNotNull() & c(S.ITEM).isNotNull())
-    grouped = kept.groupBy(F.window(moment, "1 day").alias("w"), S.ITEM).agg(
-        F.coalesce(F.sum(quantity), F.lit(0.0)).alias("Total_Quantity"),
-        F.avg(quantity).alias("Avg_Quantity"),
-        F.count(quantity).alias("Transaction_Count"),
-        F.avg(price).alias("Avg_Price"),
-        F.coalesce(F.stddev_samp(price), F.lit(0.0)).alias("Price_Volatility"),
-        F.min(price).alias("Min_Price"),
-        F.max(price).alias("Max_Price"),
-        count_where(c(S.DISCOUNT) == "Yes").alias("Discount_Count"),
-    )
-    return grouped.select(
-        F.col("w.start").cast("date").alias(S.DATE), *[c(n) for n in grouped.columns if n != "w"],
-        (F.col("Total_Quantity") * F.col("Avg_Price")).alias("Revenue"),
-        ratio(F.col("Discount_Count"), F.col("Transaction_Count"), 0.0).alias("Discount_Rate"),
-        (F.col("Max_Price") - F.col("Min_Price")).alias("Price_Range"),
+def sold(sales: DataFrame, moment: str = "sold_at") -> DataFrame:
+    """The rows that the daily aggregate counts."""
+    return sales.where((F.lower(c(S.KIND)) == "sale") & c(moment).isNotNull() & c(S.ITEM).isNotNull())
+
+
+def daily_of(parts: DataFrame) -> DataFrame:
+    """The daily aggregate from merged parts."""
+    total, count, price = F.col("quantity_sum"), F.col("quantity_n"), mean("price")
+    return parts.select(
+        F.col(WINDOW[0]).cast("date").alias(S.DATE), c(S.ITEM), total.alias("Total_Quantity"), mean("quantity").alias("Avg_Quantity"),
+        count.alias("Transaction_Count"), price.alias("Avg_Price"), F.coalesce(deviation("price"), F.lit(0.0)).alias("Price_Volatility"),
+        F.col("price_low").alias("Min_Price"), F.col("price_high").alias("Max_Price"), F.col("discounts").alias("Discount_Count"),
+        (total * price).alias("Revenue"), ratio(F.col("discounts"), count, 0.0).alias("Discount_Rate"),
+        (F.col("price_high") - F.col("price_low")).alias("Price_Range"),
     )
 
 
+def metric_parts(width: str = "60 seconds", slide: str | None = None, keys: Sequence[str] = ("source", "metric")) -> Parts:
+    return Parts(list(keys), {"value": F.col("value")}, width, slide)
+
+
+def metrics_of(parts: DataFrame, keys: Sequence[str] = ("source", "metric")) -> DataFrame:
+    """The figures of ``metric_windows`` from merged parts."""
+    return parts.select(*WINDOW, *keys, F.col("value_n").alias("n"), mean("value").alias("mean"), F.col("value_low").alias("low"),
+                        F.col("value_high").alias("high"))
+
+
 def sessions(requests: DataFrame, key: str = "user_id", gap: str = "10 minutes") -> DataFrame:
     """Requests of one caller without a pause of ``gap``."""
     return requests.groupBy(F.session_window("ts", gap).alias("w"), key).agg(
@@ -60,52 +66,47 @@ def sessions(requests: DataFrame, key: str = "user_id", gap: str = "10 minutes")
     ).select(key, F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"), "requests", "mean_ms")
 
 
-# ---- keyed state ------------------------------------------------------------------------------------------
-def alert_stream(metrics: DataFrame, rules: DataFrame, minutes: int = 30, keys: Sequence[str] = ("alert_type", "entity")) -> DataFrame:
-    """Rule violations, each key at most once per cooldown.
+# ---- alerts -----------------------------------------------------------------------------------------------
+VIOLATION = ("ts", "event_id", "severity", "value")
+
 
-    The state of a key is one timestamp, dropped once the watermark shows that the cooldown is over.
+def alert_batches(target: str, rules: DataFrame, minutes: int = 30, keys: Sequence[str] = ("alert_type", "entity")) -> Callable[[DataFrame, int], None]:
+    """Handler that stores the violations of every micro-batch and at once emits those that the cooldown lets through.
+
+    ``live`` has what was emitted when a micro-batch came, after the last emission of each key; an event that comes late
+    can't take back what was emitted. ``settled`` gives what holds over all events, in any order. The state is one moment for
+    each key whose cooldown still runs.
     """
     names, pause = list(keys), minutes * 60 * 1_000_000
-    rows = violations(metrics, rules).select(*names, "ts", "event_id", "severity", "value")
-    rows = rows.withColumn("t", F.unix_micros("ts"))
 
-    def pick(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        last = state.get[0] if state.exists else None
-        # one key's rows of one micro-batch
-        frame = pd.concat(list(batches), ignore_index=True).sort_values(["t", "event_id"])
-        picked, last = emitted(frame["t"].to_numpy(), last, pause)
-        state.update((int(last),))
-        state.setTimeoutTimestamp(max((last + pause) // 1000, state.getCurrentWatermarkMs() + 1))
-        yield frame.iloc[picked].drop(columns="t")
-
-    fields = [f for f in rows.schema.fields if f.name != "t"]
-    return rows.groupBy(*names).applyInPandasWithState(
-        pick, T.StructType(fields), "last long", "append", GroupStateTimeout.EventTimeTimeout
-    )
+    def handle(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        rows = violations(batch, rules).select(*names, *VIOLATION)
+        rows.write.mode("overwrite").parquet(f"{target}/violations/batch={number}")
+        rows = spark.read.schema(rows.schema).parquet(f"{target}/violations/batch={number}")
+        moments = rows.select(*names, "ts", F.unix_micros("ts").alias("t"))
+        since = moments.where("false").select(*names, "t")
+        if number:
+            since = spark.read.schema(since.schema).parquet(f"{target}/last/batch={number - 1}")
+        live = cooled_down(rows, names, minutes, since)
+        live.write.mode("overwrite").parquet(f"{target}/live/batch={number}")
+        live = spark.read.schema(live.schema).parquet(f"{target}/live/batch={number}")
+        emitted = rows.join(live, [*[rows[n].eqNullSafe(live[n]) for n in names], rows["event_id"] == live["event_id"]], "left_semi")
+        last = since.union(emitted.select(*names, F.unix_micros("ts"))).groupBy(*names).agg(F.max("t").alias("t"))
+        newest = moments.agg(F.max("t")).first()[0]
+        running = F.lit(True) if newest is None else F.col("t") + 2 * pause > newest
+        last.where(running).write.mode("overwrite").parquet(f"{target}/last/batch={number}")
+        remove(spark, f"{target}/last/batch={number - 2}")
 
+    return handle
 
-def ema_stream(requests: DataFrame, key: str = "model_name", alpha: float = 0.1) -> DataFrame:
-    """Moving average of latency per key after every micro-batch, rows (key, n, ema)."""
-    rows = requests.select(key, F.unix_micros("ts").alias("t"), "request_id", "latency_ms").where(F.col("latency_ms").isNotNull())
 
-    def fold(group: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        n, average = state.get if state.exists else (0, 0.0)
-        # one key's rows of one micro-batch
-        x = pd.concat(list(batches), ignore_index=True).sort_values(["t", "request_id"])["latency_ms"].to_numpy()
-        weights = alpha * (1 - alpha) ** np.arange(len(x) - 1, -1, -1, dtype=float)
-        if n == 0:
-            weights[0] = (1 - alpha) ** (len(x) - 1)
-        average = float(average * (1 - alpha) ** len(x) + weights @ x)
-        state.update((n + len(x), average))
-        yield pd.DataFrame({key: [group[0]], "n": [n + len(x)], "ema": [average]})
-
-    return rows.groupBy(key).applyInPandasWithState(
-        fold, f"{key} string, n long, ema double", "n long, ema double", "append", GroupStateTimeout.NoTimeout
-    )
+def settled(spark: SparkSession, target: str, kinds: T.StructType, minutes: int = 30, keys: Sequence[str] = ("alert_type", "entity")) -> DataFrame:
+    """The alerts that the cooldown lets through over all events so far; ``kinds`` is the schema of violations."""
+    names = list(keys)
+    rows = runs.read_batches(spark, f"{target}/violations", kinds).drop("batch")
+    kept = cooled_down(rows, names, minutes)
+    return rows.join(kept, [*[rows[n].eqNullSafe(kept[n]) for n in names], rows["event_id"] == kept["event_id"]], "left_semi")
 
 
 # ---- micro-batch work -------------------------------------------------------------------------------------
@@ -129,6 +130,44 @@ def drift_batches(reference: DataFrame, names: Sequence[str], target: str, metho
     return handle
 
 
+def drift_parts(names: Sequence[str], width: str = "60 minutes", ts: str = "ts") -> Parts:
+    """Mergeable profiles of numeric columns per window."""
+    return Parts([], {n: c(n) for n in names}, width, sketched=True, ts=ts)
+
+
+def window_profiles(parts: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Mean, deviation and median of each window and feature from merged profiles."""
+    each = [F.struct(
+        F.lit(n).alias("feature"), F.col(f"{n}_n").alias("n"), mean(n).alias("mean"),
+        F.greatest(F.coalesce(deviation(n), F.lit(0.0)), F.lit(drift.MIN_STD)).alias("std"), median(n).alias("median"),
+    ) for n in names]
+    return parts.select(*WINDOW, F.inline(F.array(*each))).where(F.col("n") > 0)
+
+
+def window_verdicts(reference: DataFrame, parts: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The verdict of each window against a stored profile."""
+    return drift.verdict(drift.profile_shift(reference, window_profiles(parts, names), WINDOW), keys=WINDOW)
+
+
+def drift_window_batches(reference: DataFrame, names: Sequence[str], target: str, parts: Parts, delay_seconds: int = 600) -> Callable[[DataFrame, int], None]:
+    """Handler that merges profiles per window and writes the verdict of every window when it is closed."""
+    merge = window_batches(target, parts, delay_seconds)
+
+    def handle(batch: DataFrame, number: int) -> None:
+        merge(batch, number)
+        closed = batch.sparkSession.read.schema(parts.of(batch).schema).parquet(f"{target}/closed/batch={number}")
+        window_verdicts(reference, closed, names).write.mode("overwrite").parquet(f"{target}/verdicts/batch={number}")
+
+    return handle
+
+
+def watch_drift(stream: DataFrame, reference: DataFrame, names: Sequence[str], target: str, checkpoint: str, interval: str = "60 minutes",
+                width: str = "60 minutes", ts: str = "ts") -> StreamingQuery:
+    """A continuing stream that judges every window at a fixed interval; ``reference`` is a stored profile."""
+    handle = drift_window_batches(reference, names, target, drift_parts(names, width, ts))
+    return runs.start_every(stream, handle, checkpoint, interval)
+
+
 def validation_batches(target: str) -> Callable[[DataFrame, int], None]:
     """Handler that writes good rows and, with their errors, bad rows of every micro-batch.
 

@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from marketgrain.functions.naming import c
 from marketgrain.session import checkpoint_root
 
 
@@ -35,21 +34,6 @@ def fresh_folder(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def run_to_files(stream: DataFrame, label: str) -> DataFrame:
-    """Process all available input in append mode into Parquet files and read them back.
-
-    The file sink and the checkpoint make the output exact when a task or the driver is lost.
-    """
-    spark, folder = stream.sparkSession, fresh_folder(stream.sparkSession, label)
-    query = (
-        stream.writeStream.format("parquet").outputMode("append")
-        .option("path", f"{folder}/rows").option("checkpointLocation", f"{folder}/state")
-        .trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{folder}/rows")
-
-
 def run_batches(stream: DataFrame, each: Callable[[DataFrame, int], None], label: str, mode: str = "append") -> None:
     """Process all available input, handing every micro-batch to ``each``."""
     folder = fresh_folder(stream.sparkSession, label)
@@ -60,33 +44,9 @@ def run_batches(stream: DataFrame, each: Callable[[DataFrame, int], None], label
     query.awaitTermination()
 
 
-def run_to_end(stream: DataFrame, keys: Sequence[str], label: str) -> DataFrame:
-    """Process all available input in update mode and return every group's last state, open windows included.
-
-    Each micro-batch writes the groups that it changed to a folder of its number, which a repeated batch overwrites;
-    of each group the newest batch counts.
-    """
-    folder = fresh_folder(stream.sparkSession, label)
-
-    def keep(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{folder}/rows/batch={number}")
-
-    run_batches(stream, keep, label, "update")
-    rows = stream.sparkSession.read.schema(T.StructType([*stream.schema.fields, T.StructField("batch", T.LongType())])).parquet(f"{folder}/rows")
-    values = [n for n in stream.columns if n not in keys]
-    last = rows.groupBy(*[c(n) for n in keys]).agg(F.max_by(F.struct(*[c(n) for n in values]), "batch").alias("_last"))
-    return last.select(*[c(n) for n in keys], *[F.col(f"_last.`{n}`").alias(n) for n in values]).select(*[c(n) for n in stream.columns])
-
-
-def run_complete(stream: DataFrame, label: str) -> DataFrame:
-    """Process all available input in complete mode, which session windows need to show open ones."""
-    folder = fresh_folder(stream.sparkSession, label)
-
-    def keep(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{folder}/rows")
-
-    run_batches(stream, keep, label, "complete")
-    return stream.sparkSession.read.schema(stream.schema).parquet(f"{folder}/rows")
+def read_batches(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
+    """The rows that a handler wrote for all micro-batches, with their number as ``batch``."""
+    return spark.read.schema(T.StructType([*schema.fields, T.StructField("batch", T.LongType())])).parquet(folder)
 
 
 def start_every(stream: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str, interval: str, mode: str = "append"):

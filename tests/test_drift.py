@@ -80,3 +80,12 @@ def test_features_without_values_are_left_out(spark):
         psi = {r["feature"]: r["drift_score"] for r in drift.psi_drift(a, b, ["x", "one", "y"]).collect()}
         assert set(psi) == {"x", "one"} and psi["one"] == 0.0
         assert "y" not in {r["feature"] for r in drift.jensen_shannon(a, b, ["x", "y"]).collect()}
+
+
+def test_chi_square_leaves_out_features_without_values_on_a_side(spark):
+    full = spark.createDataFrame([("a", "p"), ("b", "q"), ("a", None)], "x string, y string")
+    empty = full.withColumn("y", F.lit(None).cast("string"))
+    for reference, current in ((full, empty), (empty, full)):
+        got = {r["feature"]: r["drift_score"] for r in drift.chi_square(reference, current, ["x", "y"]).collect()}
+        assert got == {"x": pytest.approx(0.0)}
+    assert drift.chi_square(full, full.where("false"), ["x", "y"]).count() == 0
