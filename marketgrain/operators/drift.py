@@ -10,10 +10,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+import pandas as pd
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from marketgrain.functions.lattice import exact_tail
 from marketgrain.functions.naming import c
-from marketgrain.functions.numeric import count_where, ratio, to_number
+from marketgrain.functions.numeric import count_where, is_numeric, ratio, to_number
 from marketgrain.functions.order_stats import exact_quantiles, running_total, slice_of
 from marketgrain.functions.pricing import drift_severity, ks_text, psi_text
 from marketgrain.session import materialize
@@ -23,6 +25,8 @@ DRIFTED_SHARE = 0.3
 PERFORMANCE_THRESHOLD = 0.15
 MIN_STD = 1e-8
 EMPTY_BIN = 1e-4
+#: values a side up to which the Kolmogorov-Smirnov p-value is exact
+EXACT_ROWS = 10_000
 
 
 def numbers(df: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -32,7 +36,9 @@ def numbers(df: DataFrame, names: Sequence[str]) -> DataFrame:
 
 
 def shared_features(reference: DataFrame, current: DataFrame) -> list[str]:
-    return [n for n in reference.columns if n in current.columns]
+    """Numeric columns of both tables."""
+    ours = {f.name for f in current.schema.fields if is_numeric(f.dataType)}
+    return [f.name for f in reference.schema.fields if is_numeric(f.dataType) and f.name in ours]
 
 
 def profile(df: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -123,14 +129,27 @@ def kolmogorov_tail(t: Column, terms: int = 100) -> Column:
     return F.when(t < 0.2, F.lit(1.0)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), 2 * series)))
 
 
-def ks_drift(reference: DataFrame, current: DataFrame, names: Sequence[str], alpha: float = 0.05) -> DataFrame:
-    """Two-sample Kolmogorov-Smirnov test with the asymptotic p-value."""
+@F.pandas_udf(T.DoubleType())
+def _exact_tails(gap: pd.Series, n_ref: pd.Series, n_cur: pd.Series) -> pd.Series:
+    return pd.Series([exact_tail(d, m, n) for d, m, n in zip(gap, n_ref, n_cur)])
+
+
+def ks_drift(
+    reference: DataFrame, current: DataFrame, names: Sequence[str], alpha: float = 0.05, exact_rows: int = EXACT_ROWS
+) -> DataFrame:
+    """Two-sample Kolmogorov-Smirnov test; the p-value is exact where both sides have at most ``exact_rows`` values, else asymptotic."""
     gaps = distributions(reference, current, names).groupBy("feature").agg(
         F.max(F.abs(F.col("cdf_ref") - F.col("cdf_cur"))).alias("drift_score"),
         F.first("n_ref").alias("n_ref"), F.first("n_cur").alias("n_cur"),
     )
     effective = F.sqrt(F.col("n_ref") * F.col("n_cur") / (F.col("n_ref") + F.col("n_cur")))
-    tested = gaps.withColumn("p_value", kolmogorov_tail(effective * F.col("drift_score")))
+    asymptotic = kolmogorov_tail(effective * F.col("drift_score"))
+    if exact_rows:
+        small = F.greatest("n_ref", "n_cur") <= exact_rows
+        # one row per feature of the schema
+        exact = _exact_tails(F.col("drift_score"), F.when(small, F.col("n_ref")).otherwise(0), F.when(small, F.col("n_cur")).otherwise(0))
+        gaps = gaps.withColumn("p_value", F.when(small, exact).otherwise(asymptotic))
+    tested = gaps if exact_rows else gaps.withColumn("p_value", asymptotic)
     return tested.withColumns({
         "drift_detected": F.col("p_value") < alpha,
         "interpretation": ks_text(F.col("drift_score"), F.col("p_value")),
@@ -244,14 +263,21 @@ def chi_square(reference: DataFrame, current: DataFrame, names: Sequence[str]) -
 METHODS = ("statistical", "evidently", "ks_test", "population_stability")
 
 
-def detect(reference: DataFrame, current: DataFrame, names: Sequence[str], method: str = "statistical") -> DataFrame:
-    """One of the four methods; ``evidently`` is the normalised Wasserstein distance over all rows."""
+def detect(
+    reference: DataFrame, current: DataFrame, names: Sequence[str] | None = None, method: str = "statistical",
+    exact_rows: int = EXACT_ROWS,
+) -> DataFrame:
+    """One of the four methods; ``evidently`` is the normalised Wasserstein distance over all rows.
+
+    Without ``names``, the numeric columns that both tables have are compared.
+    """
+    names = shared_features(reference, current) if names is None else names
     if method == "statistical":
         return statistical_drift(profile(reference, names), profile(current, names))
     if method == "evidently":
         return wasserstein_drift(reference, current, names)
     if method == "ks_test":
-        return ks_drift(reference, current, names)
+        return ks_drift(reference, current, names, exact_rows=exact_rows)
     if method == "population_stability":
         return psi_drift(reference, current, names)
     raise ValueError(f"unknown drift method {method!r}, expected one of {METHODS}")

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame, functions as F
 
 from marketgrain import schemas as S
 from marketgrain.functions.naming import c
 from marketgrain.functions.pricing import clamp_prediction
-from marketgrain.operators import modeling as M, registry as R, split
+from marketgrain.operators import modeling as M, registry as R, split, tuning
 from marketgrain.plans.features import feature_table
 from marketgrain.plans.jobs import train
 from marketgrain.queries.base import Tables, query, r
@@ -311,6 +313,47 @@ def fold_scores(t):
     return reduce(DataFrame.unionByName, scored)
 
 
+PENALTIES = (0.0, 0.01, 0.1, 1.0)
+
+
+@query("m15_tuned_ridge", f"""
+    with d as (select avg_price as x, avg_price_target_1d as y, sale_date from features where avg_price_target_1d is not null),
+    f as (select x, y, floor(date_diff('day', sale_date, (select max(sale_date) from d)) / 30) as back from d),
+    k as (select unnest(range(1, 6)) as fold), p as (select unnest([{", ".join(map(str, PENALTIES))}]::double[]) as penalty),
+    l as (select fold, penalty, regr_slope(y, x) / (1 + penalty) as b, avg(x) as mx, avg(y) as my
+          from f join k on back > 5 - fold cross join p group by fold, penalty),
+    e as (select fold, penalty, count(*) as n, sqrt(avg(power(y - my - b * (x - mx), 2))) as rmse
+          from f join l on back = 5 - l.fold group by fold, penalty),
+    m as (select *, avg(rmse) over (partition by penalty) as mean_rmse from e)
+    select cast(fold as bigint) as fold, penalty, n, r4(rmse) as rmse, r4(mean_rmse) as mean_rmse,
+        penalty = (select penalty from m order by mean_rmse, penalty desc limit 1) as chosen from m""")
+def tuned_ridge(t):
+    """The penalty of a ridge model chosen over rolling folds, all models from sums of products of one pass."""
+    return tuning.tune_ridge(M.rolling_folds(_priced(t)), ["Avg_Price"], PENALTIES)
+
+
+@query("m15_tree_search", "select 4 as candidates, 3 as folds, 1 as last_one_left, true as better_than_mean")
+def tree_search(t):
+    """Forests of several depths searched over rolling folds with drop-outs; the best beats the mean of the labels."""
+    from marketgrain.session import materialize
+
+    rows = materialize(M.rolling_folds(_priced(t), folds=3), "search-folds")
+    depths = {f"depth-{k}": k for k in (1, 2, 4, 5)}
+
+    def error(depth: int, fold: int) -> float:
+        assembled = M.scaler(["Avg_Price"]).getStages()[0]
+        forest = RandomForestRegressor(maxDepth=depth, numTrees=5, seed=42, featuresCol="features", labelCol="label")
+        model = Pipeline(stages=[assembled, forest]).fit(rows.where(F.array_contains("train_folds", fold)))
+        return M.metrics(M.predictions({"forest": model}, rows.where(F.col("test_fold") == fold)), ["model"]).first()["rmse"]
+
+    found = tuning.search(depths, error, folds=[1, 2, 3])
+    best = next(r for r in found if r[3])
+    spread = rows.where("test_fold is not null").agg(F.stddev_pop("label")).first()[0]
+    return t.spark.createDataFrame(
+        [(len(found), max(r[1] for r in found), sum(r[1] == 3 for r in found), best[2] < spread)],
+        "candidates int, folds int, last_one_left int, better_than_mean boolean")
+
+
 @query("m5_random_forest")
 def random_forest(t):
     """The random forest with the settings of the source: metrics per split."""

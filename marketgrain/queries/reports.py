@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from marketgrain import schemas as S
 from marketgrain.functions.naming import c
-from marketgrain.operators import bi, daily as D, eda, enrich, timeseries as ts
+from marketgrain.operators import bi, daily as D, eda, enrich, sketches, timeseries as ts
 from marketgrain.queries.base import BAND_SQL, SEASON_SQL, Tables, query, r
+from marketgrain.streaming.runs import fresh_folder
 
 
 def feature_rows(t: Tables) -> DataFrame:
@@ -425,6 +426,57 @@ def approximate(t):
     )
 
 
+@query("a28_sketch_ranges", """
+    select cast(year(sale_date) as varchar) as period, count(*) as n, true as ids_close, true as items_close, true as median_close
+    from sales where sale_date is not null group by 1
+    union all select 'all', count(*), true, true, true from sales where sale_date is not null""")
+def sketch_ranges(t):
+    """Years, and all days, answered from stored sketches of days alone, within their errors of the exact figures."""
+    folder, rows = fresh_folder(t.spark, "sketches"), t.sales.where(c(S.DATE).isNotNull())
+    # the second load has days of the first one too
+    for part in (rows.where(c(S.DATE) < "1995-07-01"), rows.where(c(S.DATE) >= "1995-07-01")):
+        for half in (F.pmod("sale_id", F.lit(2)) == 0, F.pmod("sale_id", F.lit(2)) == 1):
+            sketches.append(sketches.day_sketches(part.where(half), S.DATE, ["sale_id", S.ITEM], [S.PRICE]), folder)
+    stored = t.spark.read.parquet(folder)
+    merged = sketches.merged(stored, [F.year("day").cast("string").alias("period")]).unionByName(
+        sketches.merged(stored).withColumn("period", F.lit("all")))
+    rough = merged.select(
+        F.col("period").alias("_period"), F.col("n").alias("_n"), sketches.distinct("sale_id").alias("_ids"),
+        sketches.distinct(S.ITEM).alias("_items"), sketches.quantile(S.PRICE, 0.5).alias("_median"))
+    periods = rows.withColumn("period", F.explode(F.array(F.year(c(S.DATE)).cast("string"), F.lit("all"))))
+    # one row per year
+    both = periods.join(F.broadcast(rough), F.col("period") == F.col("_period"))
+    below, upto = (F.avg((c(S.PRICE) < F.col("_median")).cast("int")), F.avg((c(S.PRICE) <= F.col("_median")).cast("int")))
+
+    def close(estimate: str, exact):
+        return F.abs(F.max(estimate) - exact) <= F.greatest(4 * sketches.ERROR * exact, F.lit(1))
+
+    return both.groupBy("period").agg(
+        F.max("_n").alias("n"), close("_ids", F.count_distinct("sale_id")).alias("ids_close"),
+        close("_items", F.count_distinct(c(S.ITEM))).alias("items_close"),
+        ((below <= 0.505) & (upto >= 0.495)).alias("median_close"))
+
+
+@query("j10_sketch_overlap", """
+    select unnest(['sales-items', 'wholesale-items', 'sales-loss']) as pair, true as both_close, true as left_close, true as right_close""")
+def sketch_overlap(t):
+    """Overlaps of keys from theta sketches, within their errors of the exact ones."""
+    def sketched(df):
+        return sketches.merged(sketches.day_sketches(df.withColumn("_day", F.lit(None).cast("date")), "_day", [S.ITEM]))
+
+    pairs = [("sales-items", t.sales, t.items), ("wholesale-items", t.quotes, t.items), ("sales-loss", t.sales, t.loss_rates)]
+    rows = []
+    for label, a, b in pairs:
+        rough = sketches.overlap(sketched(a), sketched(b), S.ITEM).withColumnsRenamed({n: f"_{n}" for n in ("in_both", "only_left", "only_right")})
+        exact = eda.key_overlap(a, b, S.ITEM, label).drop("coverage_pct")
+        # one row on each side
+        joined = exact.withColumn("_one", F.lit(1)).join(rough.drop("coverage_pct").withColumn("_one", F.lit(1)), "_one")
+        bound = F.greatest(4 * sketches.ERROR * (F.col("in_both") + F.col("only_left") + F.col("only_right")), F.lit(1))
+        rows.append(joined.select("pair", *[(F.abs(F.col(f"_{n}") - F.col(n)) <= bound).alias(f"{k}_close") for n, k in (
+            ("in_both", "both"), ("only_left", "left"), ("only_right", "right"))]))
+    return reduce(DataFrame.unionByName, rows)
+
+
 @query("a29_correlations", """
     select 'all' as category, r6(corr(avg_price, total_quantity)) as price_quantity, r6(corr(avg_price, wholesale_price))
            as retail_wholesale from categorised

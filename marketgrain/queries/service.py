@@ -12,6 +12,8 @@ from marketgrain.operators import daily as D, enrich, monitoring as H, quality,
 from marketgrain.queries.base import Tables, query
 from marketgrain.sources import catalog as cat
 from marketgrain.sources.readers import service_figures
+from marketgrain.sources.versions import History, OnlineView
+from marketgrain.streaming.runs import fresh_folder
 
 NOW_SQL = "timestamp '2024-01-31 00:00:00'"
 
@@ -136,6 +138,21 @@ def younger_than(t):
     return H.younger_than(t.metrics, now(), 72).groupBy("source").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("h4_expiry", f"""
+    select source, count(*) as n, true as files_left from metrics where ts >= {NOW_SQL} - interval 72 hour group by source""")
+def expiry(t):
+    """Young rows of a stored history after its files that are too old have left; no row is filtered to reach that."""
+    rows = t.metrics.select("source", "event_id", F.col("ts").cast("timestamp").alias("ts"), "value")
+    history = History(t.spark, fresh_folder(t.spark, "history"))
+    for part in (0, 1):
+        history.append(rows.where(F.pmod("event_id", F.lit(2)) == part))
+    before = history.entries().count()
+    version = history.expire(now(), 72)
+    fewer = history.entries(version).count() < before
+    return H.younger_than(history.read(rows.schema), now(), 72).groupBy("source").agg(F.count(F.lit(1)).alias("n")).withColumn(
+        "files_left", F.lit(fewer))
+
+
 @query("h5_uptime", f"""
     select min(ts) as first_ts, r4(floor(epoch({NOW_SQL}) - epoch(min(ts))) / 60.0) as uptime_minutes from metrics where source = 'system'""")
 def uptime(t):
@@ -453,6 +470,17 @@ def online_view(t):
     return cat.online_view(offline).drop("EventTime")
 
 
+@query("s14_ingest", f"""
+    select item_code, newest as sale_date, r4(price) as avg_price, r4(quantity) as total_quantity from ({_GROUP} group by item_code) x""")
+def ingested_view(t):
+    """The online view after several ingests into its buckets, the newest days in the first of them."""
+    rows = cat.with_event_time(t.daily.select(S.DATE, S.ITEM, "Avg_Price", "Total_Quantity"))
+    view = OnlineView(t.spark, fresh_folder(t.spark, "online"), ["Item_Code"], "EventTime", 16)
+    for low, high in (("1997-01-01", "2999-01-01"), ("1900-01-01", "1995-01-01"), ("1995-01-01", "1997-01-01")):
+        view.ingest(rows.where((c(S.DATE) >= low) & (c(S.DATE) < high)))
+    return view.read(rows.schema).drop("EventTime")
+
+
 @query("s14_time_travel", f"""
     select item_code, newest as sale_date, r4(price) as avg_price, r4(quantity) as total_quantity
     from ({_GROUP} where sale_date <= date '1998-06-01' group by item_code) x""")
