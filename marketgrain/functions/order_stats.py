@@ -9,6 +9,8 @@ the pre-aggregation.
 
 from __future__ import annotations
 
+import math
+from bisect import bisect_right
 from collections.abc import Sequence
 from functools import reduce
 
@@ -176,6 +178,84 @@ def exact_quantiles(
     return found.select(*keys, "n", F.transform(at, interpolate).alias("quantiles"))
 
 
+#: columns of one set of wide passes; their expressions stay small enough for compiled code
+WIDE = 16
+
+
+def wide_quantiles(df: DataFrame, values: dict[str, Column], probs: Sequence[float], accuracy: int = ACCURACY) -> DataFrame:
+    """Exact quantiles of columns of the schema: one row per column with ``name``, ``n`` and the array ``quantiles``.
+
+    The same three passes as ``exact_quantiles``, but the columns stay beside each other: the first two are one aggregation
+    without keys each, whose few numbers (columns x probabilities) come to the driver, and nothing is stored. Rows become
+    long in the third pass only, for values in the brackets that hold a wanted rank; where edges hold all, there is none.
+    """
+    names = list(values)
+    parts = [
+        _wide_quantiles(df, {n: values[n] for n in names[at:at + WIDE]}, probs, accuracy) for at in range(0, len(names), WIDE)
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _wide_quantiles(df: DataFrame, values: dict[str, Column], probs: Sequence[float], accuracy: int) -> DataFrame:
+    spark, names, reach = df.sparkSession, list(values), 2 / accuracy
+    grid = [min(1.0, max(0.0, p + d)) for p in probs for d in (-reach, reach)]
+    base = df.select(*[v.cast("double").alias(f"v{i}") for i, v in enumerate(values.values())])
+    shares = F.expr("array(" + ", ".join(f"{g}D" for g in grid) + ")")
+    cuts = base.agg(*[F.percentile_approx(f"v{i}", shares, accuracy).alias(f"v{i}") for i in range(len(names))]).first()
+    edges = [sorted(set(cut or [])) for cut in cuts]
+    counted = base.agg(*[x for i, own in enumerate(edges) for x in (
+        F.count(f"v{i}"), *[F.count_if(F.col(f"v{i}") < e) for e in own], *[F.count_if(F.col(f"v{i}") <= e) for e in own])]).first()
+    counts, at = list(counted), 0
+    # by column: rows, values known from edges by rank, and brackets (low, high, rows up to low, ranks) of the others
+    rows, brackets = [], []
+    for i, own in enumerate(edges):
+        n, below, upto = counts[at], counts[at + 1:at + 1 + len(own)], counts[at + 1 + len(own):at + 1 + 2 * len(own)]
+        at += 1 + 2 * len(own)
+        ranks = sorted({r for p in probs for r in (math.floor(p * (n - 1)), math.ceil(p * (n - 1)))}) if n else []
+        known, open_ = {}, {}
+        for r in ranks:
+            place = bisect_right(upto, r)  # edges whose values all come before the rank
+            if place < len(own) and below[place] <= r:
+                known[r] = own[place]
+            else:
+                open_.setdefault(place, []).append(r)
+        rows.append((i, n, known))
+        brackets += [(i, own[k - 1] if k else None, own[k] if k < len(own) else None, upto[k - 1] if k else 0, r) for k, r in open_.items()]
+    table = spark.createDataFrame(rows, "column int, n long, known map<long, double>").where("n > 0")
+    if brackets:
+        table = table.join(F.broadcast(_ranked_values(base, brackets)), "column", "left").withColumn(
+            "known", F.when(F.col("found").isNull(), F.col("known")).otherwise(F.map_concat("known", "found")))
+    position = F.array(*[F.lit(float(p)) * (F.col("n") - 1) for p in probs])
+
+    def interpolate(x: Column) -> Column:
+        low, high = F.try_element_at("known", F.floor(x)), F.try_element_at("known", F.ceil(x))
+        return low + (high - low) * (x - F.floor(x))
+
+    name = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("column") + 1)
+    return table.select(name.alias("name"), "n", F.transform(position, interpolate).alias("quantiles"))
+
+
+def _ranked_values(base: DataFrame, brackets: list[tuple]) -> DataFrame:
+    """column and a map from wanted ranks to values; brackets are (column, low, high, rows up to low, ranks)."""
+    picked = []
+    for k, (i, low, high, _, _) in enumerate(brackets):
+        value = F.col(f"v{i}")
+        inside = value.isNotNull()
+        inside = inside if low is None else inside & (value > low)
+        inside = inside if high is None else inside & (value < high)
+        picked.append(F.when(inside, F.struct(F.lit(k).alias("k"), value.alias("v"))))
+    narrow = base.select(F.explode(F.array_compact(F.array(*picked))).alias("x"))
+    fine = narrow.groupBy("x.k", "x.v").agg(F.count(F.lit(1)).alias("_c"))
+    # at most two a rank
+    wanted = base.sparkSession.createDataFrame(
+        [(k, i, start, ranks) for k, (i, _, _, start, ranks) in enumerate(brackets)], "_k int, column int, start long, ranks array<long>")
+    upto = F.sum("_c").over(Window.partitionBy("k").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
+    hits = fine.withColumn("_upto", upto).join(F.broadcast(wanted), F.col("k") == F.col("_k"))
+    end = F.col("start") + F.col("_upto")
+    hits = hits.withColumn("rank", F.explode(F.filter("ranks", lambda r: (r >= end - F.col("_c")) & (r < end))))
+    return hits.groupBy("column").agg(F.map_from_entries(F.collect_list(F.struct("rank", "v"))).alias("found"))
+
+
 def quantile(df: DataFrame, col: str, prob: float) -> Column:
     """One exact quantile of a whole column as a scalar subquery."""
     return exact_quantiles(df, [], col, [prob]).select(F.element_at("quantiles", 1)).scalar()

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from marketgrain.functions.lattice import exact_tail
 from marketgrain.functions.naming import c
 from marketgrain.functions.numeric import count_where, is_numeric, ratio, to_number
-from marketgrain.functions.order_stats import exact_quantiles, running_total, slice_of
+from marketgrain.functions.order_stats import running_total, slice_of, wide_quantiles
 from marketgrain.functions.pricing import drift_severity, ks_text, psi_text
 from marketgrain.session import materialize
 
@@ -43,26 +43,26 @@ def shared_features(reference: DataFrame, current: DataFrame) -> list[str]:
 
 def profile(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """Moments, exact quartiles and missing rate per feature."""
-    long, value = numbers(df, names), F.col("value")
-    shaped = (F.count("value") > 3) & (F.var_pop("value") > 1e-10)
-
-    def shape(moment: Column) -> Column:
-        return F.coalesce(F.when(shaped, moment), F.lit(0.0))
-
-    moments = long.groupBy("feature").agg(
-        F.count("value").alias("n"),
-        F.avg("value").alias("mean"),
-        F.greatest(F.coalesce(F.stddev_samp("value"), F.lit(0.0)), F.lit(MIN_STD)).alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-        shape(F.skewness("value")).alias("skewness"),
-        shape(F.kurtosis("value")).alias("kurtosis"),
-        ratio(count_where(value.isNull()), F.count(F.lit(1))).alias("missing_rate"),
-    )
-    quartiles = exact_quantiles(long, ["feature"], "value", [0.25, 0.5, 0.75]).select(
-        "feature", *[F.element_at("quantiles", i).alias(n) for i, n in enumerate(("q25", "median", "q75"), 1)]
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    wide = df.select(*[to_number(c(n), kinds[n]).alias(n) for n in names])
+
+    def moments(name: str) -> Column:
+        value = c(name)
+        shaped = (F.count(value) > 3) & (F.var_pop(value) > 1e-10)
+        return F.struct(
+            F.lit(name).alias("feature"), F.count(value).alias("n"), F.avg(value).alias("mean"),
+            F.greatest(F.coalesce(F.stddev_samp(value), F.lit(0.0)), F.lit(MIN_STD)).alias("std"),
+            F.min(value).alias("min"), F.max(value).alias("max"),
+            *[F.coalesce(F.when(shaped, m(value)), F.lit(0.0)).alias(k) for k, m in (("skewness", F.skewness), ("kurtosis", F.kurtosis))],
+            ratio(count_where(value.isNull()), F.count(F.lit(1))).alias("missing_rate"),
+        )
+
+    found = wide.agg(F.array(*[moments(n) for n in names]).alias("rows")).select(F.inline("rows"))
+    quartiles = wide_quantiles(wide, {n: c(n) for n in names}, [0.25, 0.5, 0.75]).select(
+        F.col("name").alias("feature"), *[F.element_at("quantiles", i).alias(n) for i, n in enumerate(("q25", "median", "q75"), 1)]
     )
-    return moments.join(F.broadcast(quartiles), "feature")
+    # one row per feature of the schema
+    return found.join(F.broadcast(quartiles), "feature")
 
 
 def statistical_drift(reference: DataFrame, current: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -174,8 +174,9 @@ def binned_shares(reference: DataFrame, current: DataFrame, names: Sequence[str]
     Values outside the reference range are in no bin but count in the total. A feature with a single edge
     has no bins.
     """
-    edges = exact_quantiles(numbers(reference, names), ["feature"], "value", [i / bins for i in range(bins + 1)])
-    edges = edges.select("feature", F.array_distinct("quantiles").alias("edges"))
+    kinds = {f.name: f.dataType for f in reference.schema.fields}
+    edges = wide_quantiles(reference, {n: to_number(c(n), kinds[n]) for n in names}, [i / bins for i in range(bins + 1)])
+    edges = edges.select(F.col("name").alias("feature"), F.array_distinct("quantiles").alias("edges"))
     edges = edges.withColumn("last", F.size("edges") - 1)
     value = F.col("value")
     passed = slice_of(F.col("edges"), value, bins + 1)

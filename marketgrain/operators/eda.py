@@ -10,7 +10,7 @@ from marketgrain import schemas as S
 from marketgrain.functions.calendar import season
 from marketgrain.functions.naming import c
 from marketgrain.functions.numeric import percent, ratio
-from marketgrain.functions.order_stats import exact_quantiles
+from marketgrain.functions.order_stats import wide_quantiles
 from marketgrain.functions.pricing import gross_sales
 
 
@@ -21,15 +21,16 @@ def rows() -> Column:
 def describe(df: DataFrame, names: Sequence[str], labels: Sequence[str] | None = None) -> DataFrame:
     """Count, mean, deviation, extremes and exact quartiles, one row per column."""
     labels = list(labels or names)
-    long = df.select(*[c(n).cast("double").alias(l) for n, l in zip(names, labels)]).unpivot([], labels, "column", "value")
-    basic = long.groupBy("column").agg(
-        F.count("value").alias("n"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"), F.max("value").alias("max"),
+    values = {l: c(n).cast("double") for n, l in zip(names, labels)}
+    basic = df.agg(F.array(*[F.struct(
+        F.lit(l).alias("column"), F.count(v).alias("n"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
+        F.min(v).alias("min"), F.max(v).alias("max"),
+    ) for l, v in values.items()]).alias("rows")).select(F.inline("rows"))
+    quartiles = wide_quantiles(df, values, [0.25, 0.5, 0.75]).select(
+        F.col("name").alias("column"), *[F.element_at("quantiles", i).alias(p) for i, p in enumerate(("p25", "p50", "p75"), 1)]
     )
-    quartiles = exact_quantiles(long, ["column"], "value", [0.25, 0.5, 0.75]).select(
-        "column", *[F.element_at("quantiles", i).alias(p) for i, p in enumerate(("p25", "p50", "p75"), 1)]
-    )
-    return basic.join(quartiles, "column", "left")
+    # one row per column of the schema
+    return basic.join(F.broadcast(quartiles), "column", "left")
 
 
 def value_counts(df: DataFrame, value: Column, label: str) -> DataFrame:

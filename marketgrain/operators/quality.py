@@ -12,7 +12,7 @@ from marketgrain import schemas as S
 from marketgrain.functions.calendar import parse_date
 from marketgrain.functions.naming import c
 from marketgrain.functions.numeric import count_where, is_numeric, percent, ratio
-from marketgrain.functions.order_stats import exact_quantiles, quantile
+from marketgrain.functions.order_stats import quantile, wide_quantiles
 
 # fixed values: which actual types satisfy an expected type
 WIDENING = {
@@ -102,21 +102,19 @@ def date_ranges(df: DataFrame) -> DataFrame:
 def outliers(df: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
     """Values beyond 1.5 interquartile ranges of the quartiles, per numeric column."""
     names = list(names or numeric_names(df))
-    long = df.select(*[c(n).cast("double").alias(n) for n in names]).unpivot([], names, "column", "value")
-    quartiles = exact_quantiles(long, ["column"], "value", [0.25, 0.75])
-    low, high = F.element_at("quantiles", 1), F.element_at("quantiles", 2)
-    reach = (high - low) * 1.5
-    bounds = quartiles.select("column", (low - reach).alias("lower_bound"), (high + reach).alias("upper_bound"))
     # one row per column of the schema
-    value = F.col("value")
-    marked = long.join(F.broadcast(bounds), "column")
-    outside = count_where((value < F.col("lower_bound")) | (value > F.col("upper_bound")))
-    return marked.groupBy("column").agg(
-        outside.alias("outlier_count"),
-        percent(outside, F.count(F.lit(1)), 2).alias("outlier_pct"),
-        F.round(F.first("lower_bound"), 2).alias("lower_bound"),
-        F.round(F.first("upper_bound"), 2).alias("upper_bound"),
-    )
+    measures = {}
+    for row in wide_quantiles(df, {n: c(n).cast("double") for n in names}, [0.25, 0.75]).collect():
+        low, high = row["quantiles"]
+        lower, upper = low - (high - low) * 1.5, high + (high - low) * 1.5
+        value = c(row["name"]).cast("double")
+        outside = count_where((value < lower) | (value > upper))
+        measures[row["name"]] = (
+            outside, percent(outside, F.count(F.lit(1)), 2), F.round(F.lit(lower), 2), F.round(F.lit(upper), 2))
+    fields = (("outlier_count", "long"), ("outlier_pct", "double"), ("lower_bound", "double"), ("upper_bound", "double"))
+    if not measures:
+        return df.sparkSession.createDataFrame([], "`column` string, outlier_count long, outlier_pct double, lower_bound double, upper_bound double")
+    return _long(df, measures, fields)
 
 
 def negative_values(df: DataFrame) -> DataFrame:

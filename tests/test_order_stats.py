@@ -69,3 +69,19 @@ def test_rows_are_never_shuffled_by_the_key_alone(spark, monkeypatch, limit):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert all(np.allclose(r["quantiles"], np.quantile(range(400), PROBS)) for r in rows) and len(rows) == 3
+
+
+def test_wide_quantiles_equal_sorted_values(spark):
+    rng = np.random.default_rng(12)
+    columns = {f"c {k}": rng.normal(size=3000).round(k % 4) * (k + 1) for k in range(18)}
+    columns["c 3"] = np.where(rng.random(3000) < 0.4, 7.0, columns["c 3"])
+    rows = [tuple(None if k == 5 and i % 3 else float(v[i]) for k, v in enumerate(columns.values())) for i in range(3000)]
+    df = spark.createDataFrame(rows, ", ".join(f"`{n}` double" for n in columns)).withColumn("none", F.lit(None).cast("double"))
+    probs = [0.0, 0.2, 0.5, 0.99, 1.0]
+    for accuracy in (10_000, 50):  # coarse cuts leave brackets to sort
+        found = O.wide_quantiles(df, {n: F.col(f"`{n}`") for n in df.columns}, probs, accuracy).collect()
+        got = {r["name"]: (r["n"], r["quantiles"]) for r in found}
+        assert set(got) == set(columns)
+        for k, n in enumerate(columns):
+            x = np.array([r[k] for r in rows if r[k] is not None])
+            assert got[n][0] == len(x) and got[n][1] == pytest.approx(list(np.quantile(x, probs)))
