@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, functions as F
 from pyspark.sql import types as T
 
@@ -67,7 +65,3 @@ def percent(part: Column, whole: Column, digits: int | None = None) -> Column:
 
 def clamp(col: Column, low: float, high: float) -> Column:
     return F.greatest(F.least(col, F.lit(high)), F.lit(low))
-
-
-def total(columns: list[Column]) -> Column:
-    return reduce(lambda a, b: a + b, columns)

@@ -203,6 +203,14 @@ def fallback_quality(present: Column, expected: int, freshness_hours: Column) ->
     return F.when(present > 0, F.least(F.lit(100.0), base + fresh)).otherwise(base)
 
 
+def data_quality(stored: DataFrame, fallback: DataFrame) -> DataFrame:
+    """origin and quality_score: of the stored validation, or of the ``fallback`` (one row) where there is none."""
+    known = stored.select(F.lit("stored").alias("origin"), F.col("total_quality_score").alias("quality_score")).limit(1)
+    # one row on each side at most
+    missing = fallback.select(F.lit("fallback").alias("origin"), "quality_score").join(known.select(F.lit(1).alias("_any")), how="left_anti")
+    return known.unionByName(missing)
+
+
 def request_counters(requests: DataFrame) -> DataFrame:
     return requests.groupBy("endpoint", "method", "status").agg(F.count(F.lit(1)).alias("requests"))
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from marketgrain import schemas as S
@@ -95,8 +93,3 @@ def staging_candidates(metrics: DataFrame, versions: DataFrame, details: dict[st
     rows = metrics.withColumn("passed", gate(metrics)).join(newest, "model")
     extra = {k: F.lit(v) for k, v in (details or {}).items()}
     return rows.withColumns(extra) if extra else rows
-
-
-def wide_metrics(long: DataFrame, keys: Sequence[str], names: Sequence[str] = S.METRIC_NAMES) -> DataFrame:
-    """Rows (keys, metric, value) to one column per metric; the fixed list needs no extra pass."""
-    return long.groupBy(*keys).pivot("metric", list(names)).agg(F.first("value"))

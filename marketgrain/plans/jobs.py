@@ -13,8 +13,8 @@ from marketgrain.session import materialize
 from marketgrain.sources import readers, writers
 
 
-def validate(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """Manifest, schema findings, quality scores, rules and the summary of a raw folder."""
+def validate(spark: SparkSession, folder: str, target: str | None = None) -> dict[str, DataFrame]:
+    """Manifest, schema findings, quality scores, rules and the summary of a raw folder, stored in ``target`` if there is one."""
     manifest = readers.source_manifest(spark, folder)
     tables = readers.read_raw(spark, folder)
     out = {"manifest": manifest}
@@ -27,6 +27,8 @@ def validate(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     out["scores"] = materialize(scores, "scores")
     out["rules"] = Q.business_rules(tables)
     out["summary"] = Q.run_summary(out["scores"], len(tables) == len(S.RAW_FILES))
+    if target:
+        writers.save_validation(out, target)
     return out
 
 
@@ -56,14 +58,3 @@ def train(parts: dict[str, DataFrame], horizon: int = 1, names=M.MODELS) -> tupl
         DataFrame.unionByName, [M.predictions(models, df.withColumn("split", F.lit(n))) for n, df in ready.items()]
     )
     return models, materialize(M.metrics(scored, ["model", "split"]), "metrics")
-
-
-def check_drift(reference: DataFrame, current: DataFrame, names: list[str], method: str = "statistical") -> dict[str, DataFrame]:
-    """Results per feature, the verdict and, if there is drift, the alert."""
-    results = materialize(drift.detect(reference, current, names, method), "drift")
-    summary = drift.verdict(results)
-    return {"results": results, "summary": summary, "alert": drift.alert(summary, method)}
-
-
-def split_table(features: DataFrame, how: str = "time") -> dict[str, DataFrame]:
-    return split.parts(split.split_by_rows(features) if how == "rows" else split.split_by_time(features))

@@ -366,6 +366,32 @@ def gradient_boosting(t):
     return _trained(t.spark, t.folder, ("gradient_boosting",))[2]
 
 
+@query("m5_m8_m13_bands", """
+    with s as (select sale_date, case when before < floor(n * 0.7) then 'train' when before < floor(n * 0.85) then 'validation' else 'test' end as split
+        from (select sale_date, sum(c) over (order by sale_date) - c as before, sum(c) over () as n
+              from (select sale_date, count(*) as c from daily group by sale_date) x) y),
+    c as (select split, count(*) as n from features join s using (sale_date) where avg_price_target_1d is not null group by split)
+    select 'metrics of ' || split as part, n, true as passed from c
+    union all select 'importances', 20, true union all select 'scores', n, true from c where split = 'test'""")
+def forest_bands(t):
+    """What holds of any forest: rows of each split, a fit better than the mean, importances as shares, a plausible score for every row."""
+    parts, models, table = _trained(t.spark, t.folder, ("random_forest",))
+    fit = F.when(F.col("split") == "train", F.col("r2") > 0).otherwise(F.col("rmse") > 0)
+    checks = [table.select(F.concat(F.lit("metrics of "), "split").alias("part"), "n", fit.alias("passed"))]
+    weights = M.importances(models["random_forest"], M.input_columns(parts["train"]))
+    share = F.col("importance")
+    checks.append(weights.agg(
+        F.lit("importances").alias("part"), F.count(F.lit(1)).alias("n"),
+        (F.bool_and(share.between(0, 1)) & (F.sum(share) <= 1 + 1e-9) & (F.sum(share) > 0)).alias("passed")))
+    labels = parts["train"].agg(F.min("Avg_Price_Target_1d"), F.max("Avg_Price_Target_1d")).first()
+    fitted = M.fit_medians(M.labelled(parts["train"]), M.labelled(parts["test"]))
+    scored = M.predictions(models, M.prepare(parts["test"], 1, fitted))
+    # a forest averages labels that it has seen
+    checks.append(scored.agg(
+        F.lit("scores").alias("part"), F.count(F.lit(1)).alias("n"), F.bool_and(F.col("predicted").between(*labels)).alias("passed")))
+    return reduce(DataFrame.unionByName, checks)
+
+
 @query("m8_importances")
 def importance_table(t):
     """Inputs of the random forest by importance."""

@@ -573,7 +573,22 @@ def acf_per_item(t):
     return ts.acf(t.daily, "Avg_Price", [S.ITEM], lags=7)
 
 
-@query("t4_pacf", digits=6)
+@query("t4_pacf", f"""
+    with recursive m as ({MARKET}),
+    d as (select row_number() over (order by sale_date) as pos, avg_price - (select avg(avg_price) from m) as x from m),
+    size as (select count(*) as n, least(40, count(*) // 4) as last from m),
+    lags as (select range as lag from range(0, 41)),
+    a as (select lag, sum(a.x * b.x) / (select sum(x * x) from d) as acf
+          from lags join d a on true join d b on b.pos = a.pos - lag group by lag),
+    rho as (select list(acf * n / (n - lag) order by lag) as r, any_value(last) as last from a, size where lag <= last),
+    steps(k, phi, pacf) as (
+        select 0, []::double[], 1.0::double
+        union all
+        select k + 1, list_append(list_transform(range(1, k + 1), lambda j: phi[j] - value * phi[k - j + 1]), value), value
+        from (select k, phi, last, (r[k + 2] - coalesce(list_sum(list_transform(range(1, k + 1), lambda j: phi[j] * r[k - j + 2])), 0))
+                  / (1 - coalesce(list_sum(list_transform(range(1, k + 1), lambda j: phi[j] * r[j + 1])), 0)) as value
+              from steps, rho where k < last) x)
+    select k as lag, r6(pacf) as pacf from steps""", digits=6)
 def pacf(t):
     return ts.pacf(D.market_series(t.sales), "Avg_Price")
 

@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, functions as F
 from marketgrain import schemas as S
 from marketgrain.functions.naming import c, clean_columns, clean_name_expr
 from marketgrain.functions.pricing import metric_unit
-from marketgrain.operators import daily as D, enrich, monitoring as H, quality, series, serving
+from marketgrain.operators import daily as D, enrich, monitoring as H, quality, series, serving, split
 from marketgrain.queries.base import Tables, query
-from marketgrain.sources import catalog as cat
+from marketgrain.queries.quality import _SCORES as SCORES_SQL, _scores as table_scores
+from marketgrain.sources import catalog as cat, readers, writers
 from marketgrain.sources.readers import service_figures
 from marketgrain.sources.versions import History, OnlineView
 from marketgrain.streaming.runs import fresh_folder
@@ -169,6 +170,22 @@ def fallback_quality(t):
     return rows.select("user_id", H.fallback_quality(F.col("present"), 5, hours).alias("quality_score"))
 
 
+@query("h7_stored_quality", f"""
+    with x as (select count(distinct event_type) as present, max(epoch(ts)) as newest from events),
+    f as (select least(100.0, present / 5.0 * 80 + greatest(0, 20 - floor(epoch({NOW_SQL}) - newest) / 3600.0)) as score from x)
+    select 'stored' as origin, r2(avg(quality_score)) as quality_score from ({SCORES_SQL}) s
+    union all select 'fallback', r4(score) from f""")
+def stored_quality(t):
+    """The score of a stored validation; the fallback where no validation was stored."""
+    rows = t.requests.agg(F.count_distinct("endpoint").alias("present"), F.max("ts").alias("newest"))
+    hours = F.timestamp_diff("SECOND", F.col("newest"), now()) / 3600
+    fallback = rows.select(H.fallback_quality(F.col("present"), 5, hours).alias("quality_score"))
+    folder = fresh_folder(t.spark, "validation")
+    before = H.data_quality(readers.stored_validation(t.spark, folder), fallback)
+    writers.save_validation({"summary": quality.run_summary(table_scores(t), True)}, folder)
+    return H.data_quality(readers.stored_validation(t.spark, folder), fallback).unionByName(before)
+
+
 @query("h8_request_counters", "select endpoint, method, cast(status as bigint) as status, count(*) as requests from request_log group by 1, 2, 3")
 def request_counters(t):
     return H.request_counters(t.requests)
@@ -415,10 +432,23 @@ def service_text(t):
 
 
 # ---- catalog ------------------------------------------------------------------------------------------------
-@query("s7_feature_metadata", """
-    select count(*) as total_records, min(sale_date) as start_date, max(sale_date) as end_date, count(distinct item_code) as items_count from daily""")
+_NUMBERS = ("Item Code,Total_Quantity,Avg_Quantity,Transaction_Count,Avg_Price,Price_Volatility,Min_Price,Max_Price,Discount_Count,"
+            "Revenue,Discount_Rate,Price_Range")
+
+
+@query("s7_feature_metadata", f"""
+    with s as (select *, case when before < floor(n * 0.7) then 'train' when before < floor(n * 0.85) then 'validation' else 'test' end as split
+        from (select sale_date, c, sum(c) over (order by sale_date) - c as before, sum(c) over () as n
+              from (select sale_date, count(*) as c from daily group by sale_date) x) y)
+    select count(*) as total_records, min(sale_date) as start_date, max(sale_date) as end_date, count(distinct item_code) as items_count,
+        'Date,{_NUMBERS}' as feature_columns, '{_NUMBERS}' as numeric_features, '' as categorical_features, 13 as total_features,
+        (select cast(sum(c) as bigint) from s where split = 'train') as train_records,
+        (select cast(sum(c) as bigint) from s where split = 'validation') as validation_records,
+        (select cast(sum(c) as bigint) from s where split = 'test') as test_records
+    from daily""")
 def feature_metadata(t):
-    return cat.feature_metadata(t.daily).select("total_records", "start_date", "end_date", "items_count")
+    found = cat.feature_metadata(split.split_by_time(t.daily))
+    return found.withColumns({n: F.array_join(n, ",") for n in ("feature_columns", "numeric_features", "categorical_features")})
 
 
 def _with_gaps(definitions: DataFrame, df: DataFrame, key: str) -> DataFrame:
@@ -427,14 +457,34 @@ def _with_gaps(definitions: DataFrame, df: DataFrame, key: str) -> DataFrame:
     return definitions.join(gaps, key, "left")
 
 
-@query("s10_type_table")
+# fixed values: names, SQL types and feature types of the columns, with the column whose gaps they have
+_TYPED = """typed as (select unnest([
+    struct_pack(name := 'Item Code', kind := 'bigint', sort := 'Integral', empty := item_code is null),
+    struct_pack(name := 'Date', kind := 'timestamp', sort := '', empty := sale_date is null),
+""" + "".join(f"""    struct_pack(name := '{n}', kind := '{k}', sort := '{s}', empty := {source} is null),
+""" for n, k, s, source in [
+    *[(n, "double", "Fractional", n.lower()) for n in ("Total_Quantity", "Avg_Quantity", "Avg_Price", "Price_Volatility", "Min_Price",
+                                                       "Max_Price", "Revenue", "Discount_Rate", "Price_Range")],
+    *[(n, "bigint", "Integral", n.lower()) for n in ("Transaction_Count", "Discount_Count")],
+    *[(n, "bigint", "Integral", "sale_date") for n in ("Year", "Month", "Quarter", "DayOfYear", "DayOfWeek", "WeekOfYear", "IsWeekend",
+                                                       "IsNationalDay", "IsLaborDay", "Days_Since_Epoch")],
+    *[(f"{n}_{x}", "double", "Fractional", "sale_date") for n in ("Month", "DayOfYear", "DayOfWeek") for x in ("Sin", "Cos")],
+]) + """    struct_pack(name := 'Category Code', kind := 'bigint', sort := 'Integral', empty := category_code is null),
+    struct_pack(name := 'Category Name', kind := 'string', sort := 'String', empty := category_name is null)]) as t
+    from daily left join items using (item_code))"""
+_GAPS = "count(*) filter (where t.empty) as missing_count, r2(count(*) filter (where t.empty) * 100.0 / count(*)) as missing_pct from typed"
+
+
+@query("s10_type_table", f"with {_TYPED} select t.name as column, t.kind as sql_type, {_GAPS} group by 1, 2")
 def type_table(t):
     """SQL type of every column, with its missing values."""
     df = enrich.add_category(D.add_calendar(t.daily), t.items)
     return _with_gaps(cat.type_table(df), df, "column")
 
 
-@query("s13_feature_definitions")
+@query("s13_feature_definitions", f"""
+    with {_TYPED} select replace(t.name, ' ', '_') as feature_name, t.sort as feature_type, {_GAPS}
+    where t.name not in ('Date', 'Item Code') group by 1, 2""")
 def feature_definitions(t):
     """Feature type of every column, with its missing values."""
     df = enrich.add_category(D.add_calendar(t.daily), t.items)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from marketgrain import schemas as S
 from marketgrain.functions.naming import c
-from marketgrain.operators import bi, drift, monitoring as H, quality
+from marketgrain.operators import bi, drift, monitoring as H, quality, split
 from marketgrain.queries.base import Tables, query
 from marketgrain.queries.drift import NAMES, _statistical, pair
 from marketgrain.queries.features import DAILY_SQL
@@ -71,6 +71,35 @@ def feature_folders(t):
     ])
 
 
+@query("s5_existing_splits", f"""
+    with p as ({_PARTS}) select p.part, row_count, true as whole from p where part in ('train', 'test')""")
+def existing_splits(t):
+    """The split folders that exist, of which one is missing, with all columns of the table."""
+    folder, marked = fresh_folder(t.spark, "some-splits"), split.split_by_time(t.features)
+    for name, part in split.parts(marked).items():
+        if name != "validation":
+            part.write.parquet(f"{folder}/{name}")
+    found = readers.read_splits(t.spark, folder)
+    whole = set(t.features.columns)
+    return reduce(DataFrame.unionByName, [
+        df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("part"), "row_count", F.lit(whole <= set(df.columns)).alias("whole"))
+        for name, df in found.items()
+    ])
+
+
+@query("s8_feature_parts", """
+    select year(sale_date) as year, count(*) as row_count, count(distinct item_code) as items, r4(sum(avg_price)) as prices,
+        (select count(*) from daily) as metadata_records from daily group by 1""")
+def feature_parts(t):
+    """The written table by its partitions, beside the written metadata."""
+    paths = writers.write_features(t.features, fresh_folder(t.spark, "features"))
+    records = t.spark.read.schema("total_records long").json(paths["metadata"]).scalar()
+    rows = t.spark.read.parquet(paths["features_complete"])
+    return rows.groupBy(F.col("Year").cast("long").alias("year")).agg(
+        F.count(F.lit(1)).alias("row_count"), F.count_distinct(c(S.ITEM)).alias("items"), F.sum("Avg_Price").alias("prices")).withColumn(
+        "metadata_records", records)
+
+
 @query("s9_catalog_tables", "select count(*) as row_count, count(distinct item_code) as item_count, r4(avg(loss_rate)) as mean_loss from lossy")
 def catalog_tables(t):
     """An external table with quoted names over a Parquet folder, queried by SQL."""
@@ -151,11 +180,19 @@ def drift_state(t):
     return rows.select("feature", "drift_score", "drift_detected")
 
 
-@query("s24_export", "select source, count(*) as n from metrics group by source")
+@query("s24_export", f"""
+    with {_RULES} select 'metric' as part, source as name, count(*) as n, r4(sum(value)) as total from metrics group by source
+    union all select 'alert', alert_type, count(*), r4(sum(value)) from {violated('metrics')} x group by alert_type""")
 def export(t):
+    """Both parts of the export, read back."""
     folder = fresh_folder(t.spark, "export")
     writers.export_metrics(t.metrics, H.violations(t.metrics, H.rules_table(t.spark)), folder)
-    return t.spark.read.schema("source string").json(f"{folder}/metrics").groupBy("source").agg(F.count(F.lit(1)).alias("n"))
+    parts = []
+    for part, name in (("metric", "source"), ("alert", "alert_type")):
+        rows = t.spark.read.schema(f"{name} string, value double").json(f"{folder}/{part}s")
+        parts.append(rows.groupBy(F.lit(part).alias("part"), F.col(name).alias("name")).agg(
+            F.count(F.lit(1)).alias("n"), F.sum("value").alias("total")))
+    return parts[0].unionByName(parts[1])
 
 
 @query("s26_corrupt_files", f"""

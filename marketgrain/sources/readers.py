@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
@@ -170,3 +171,16 @@ def freshness_hours(df: DataFrame, now) -> DataFrame:
     newest = df.select("_metadata.file_modification_time").agg(F.max("file_modification_time").alias("t"))
     hours = F.timestamp_diff("SECOND", F.col("t"), now) / 3600
     return newest.select(F.coalesce(hours, F.lit(24.0)).alias("freshness_hours"))
+
+
+VALIDATION = "tables_validated long, total_quality_score double, validation_passed boolean, recommendation string"
+
+
+def stored_validation(spark: SparkSession, folder: str) -> DataFrame:
+    """The summary of the last stored validation; no row where none is stored."""
+    try:
+        return spark.read.schema(VALIDATION).json(f"{folder}/summary")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], VALIDATION)

@@ -62,6 +62,12 @@ def write_report(features: DataFrame, path: str) -> None:
     report.select("line").write.mode("overwrite").text(path)
 
 
+def save_validation(results: dict[str, DataFrame], folder: str) -> None:
+    """The parts of a validation, each in its folder; the summary is written last, so that it stands for a whole run."""
+    for name in sorted(results, key=lambda n: (n == "summary", n)):
+        results[name].write.mode("overwrite").json(f"{folder}/{name}")
+
+
 def append_alerts(alerts: DataFrame, path: str) -> None:
     alerts.write.mode("append").json(path)
 
