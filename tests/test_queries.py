@@ -12,6 +12,7 @@ FOLDER = "/root/testdata/sf0.001"
 NAMES = (
     "a1_daily_aggregate", "a4_monthly_revenue", "a14_summary", "f1_all_features", "w8_row_split", "i1_series_fill", "v6_outliers",
     "v8_quality_score", "d2_statistical_drift", "d3_ks", "d4_psi", "t1_decompose", "m7_metrics", "m17_promote", "h1_alerts", "w13_ema",
+    "a28_sketch_ranges", "t4_pacf", "m15_tuned_ridge", "s14_ingest", "h4_expiry", "r2_drift_windows", "s10_type_table",
     "r1_metric_windows", "r3_alert_stream", "p24_serving_expansion", "s21_payloads",
 )
 
