@@ -60,3 +60,9 @@ def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder of the shared file system, if it is there."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, as Spark's own file system has it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)

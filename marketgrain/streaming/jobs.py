@@ -16,7 +16,7 @@ from marketgrain.operators.cooldown import cooled_down
 from marketgrain.operators.monitoring import violations
 from marketgrain.session import remove
 from marketgrain.streaming import runs
-from marketgrain.streaming.windows import WINDOW, Parts, deviation, mean, median, window_batches
+from marketgrain.streaming.windows import WINDOW, Parts, closed_in, deviation, mean, median, window_batches
 
 def metric_windows(metrics: DataFrame, keys: Sequence[str] = ("source", "metric"), width: str = "60 seconds", slide: str | None = None) -> DataFrame:
     """Count, mean and extremes per window of event time; for streams and static frames alike."""
@@ -155,7 +155,7 @@ def drift_window_batches(reference: DataFrame, names: Sequence[str], target: str
 
     def handle(batch: DataFrame, number: int) -> None:
         merge(batch, number)
-        closed = batch.sparkSession.read.schema(parts.of(batch).schema).parquet(f"{target}/closed/batch={number}")
+        closed = closed_in(batch.sparkSession, target, number, parts.of(batch).schema)
         window_verdicts(reference, closed, names).write.mode("overwrite").parquet(f"{target}/verdicts/batch={number}")
 
     return handle

@@ -3,12 +3,12 @@
 A micro-batch adds up its own rows to one part for each window and key: counts, sums, extremes, centred squares and, where
 wanted, quantile sketches. Parts of a window merge to the part of all their rows, so a stream keeps these tables:
 
-    open      merged parts of windows that may still change, one folder per micro-batch, the newest counts
+    open      merged parts of windows that may still change; those of the newest micro-batch count
     closed    windows that the watermark has passed, as they stood then; written once and taken out of ``open``
     late      parts of rows that came after their window was closed
     progress  the newest moment seen, from which the watermark follows
 
-``open`` is the only state, and holds the windows within the delay. ``restated`` adds the late parts to the closed windows, and
+The first three are folders of each micro-batch under ``parts``. ``open`` is the only state, and holds the windows within the delay. ``restated`` adds the late parts to the closed windows, and
 ``every`` also shows the open ones: over any number of micro-batches, with files in any order, that is what a batch job
 gives over all rows. Folders are named by micro-batch, so a repeated one overwrites its own.
 """
@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from marketgrain.functions.numeric import count_where
-from marketgrain.session import remove
+from marketgrain.session import exists, remove
 from marketgrain.streaming.runs import read_batches
 
 WINDOW = ("window_start", "window_end")
@@ -45,7 +45,8 @@ class Parts:
     def of(self, rows: DataFrame) -> DataFrame:
         """Parts of the rows of a static frame; rows without a moment are in no window."""
         window = F.window(self.ts, self.width, self.slide) if self.slide else F.window(self.ts, self.width)
-        found = [F.count(F.lit(1)).alias("rows")]
+        moment = F.unix_micros(F.col(self.ts).cast("timestamp"))
+        found = [F.count(F.lit(1)).alias("rows"), F.max(moment).alias("newest")]
         for name, value in self.values.items():
             x = value.cast("double")
             found += [
@@ -62,7 +63,7 @@ class Parts:
 
     def merged(self, parts: DataFrame) -> DataFrame:
         """One part for each window and key."""
-        found = [F.sum("rows").alias("rows")]
+        found = [F.sum("rows").alias("rows"), F.max("newest").alias("newest")]
         for name in self.values:
             triple = F.struct(F.col(f"{name}_n").alias("n"), F.col(f"{name}_sum").alias("sum"), F.col(f"{name}_squares").alias("squares"))
             found += [
@@ -121,60 +122,64 @@ def window_batches(target: str, parts: Parts, delay_seconds: int = 600) -> Calla
     delay = delay_seconds * 1_000_000
 
     def handle(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        batch.agg(F.max(F.unix_micros(F.col(parts.ts).cast("timestamp"))).alias("newest")).write.mode("overwrite").parquet(
-            f"{target}/seen/batch={number}")
-        seen = spark.read.schema("newest long").parquet(f"{target}/seen/batch={number}").first()["newest"]
-        before = _newest(spark, target, number - 1)
-        newest = max((x for x in (before, seen) if x is not None), default=None)
+        spark, before = batch.sparkSession, _newest(batch.sparkSession, target, number - 1)
         made = parts.of(batch)
         made.write.mode("overwrite").parquet(f"{target}/made/batch={number}")
         made = spark.read.schema(made.schema).parquet(f"{target}/made/batch={number}")
+        seen = made.agg(F.max("newest")).first()[0]
+        newest = max((x for x in (before, seen) if x is not None), default=None)
 
         ends = F.unix_micros(F.col(WINDOW[1]))
         closed = F.lit(False) if before is None else ends <= before - delay
-        made.where(closed).write.mode("overwrite").parquet(f"{target}/late/batch={number}")
         state = made.where(~closed)
         if number:
-            state = state.union(spark.read.schema(made.schema).parquet(f"{target}/open/batch={number - 1}"))
-        state = parts.merged(state).select(*made.columns)
+            state = state.union(spark.read.schema(made.schema).parquet(_place(target, number - 1, "open")))
         passed = F.lit(False) if newest is None else ends <= newest - delay
-        state.where(passed).write.mode("overwrite").parquet(f"{target}/closed/batch={number}")
-        state.where(~passed).write.mode("overwrite").parquet(f"{target}/open/batch={number}")
+        rows = parts.merged(state).select(*made.columns, F.when(passed, "closed").otherwise("open").alias("kind"))
+        rows = rows.union(made.where(closed).withColumn("kind", F.lit("late")))
+        rows.write.mode("overwrite").partitionBy("kind").parquet(f"{target}/parts/batch={number}")
+        if not exists(spark, _place(target, number, "open")):
+            made.where("false").write.mode("overwrite").parquet(_place(target, number, "open"))
         spark.createDataFrame([(newest,)], "newest long").coalesce(1).write.mode("overwrite").parquet(
             f"{target}/progress/batch={number}")
         # what a repeated run of this micro-batch would read stays
-        remove(spark, f"{target}/open/batch={number - 2}")
+        remove(spark, _place(target, number - 2, "open"))
         remove(spark, f"{target}/made/batch={number - 1}")
 
     return handle
 
 
-def _tables(spark: SparkSession, target: str, parts: Parts, names: Sequence[str], schema: T.StructType) -> DataFrame:
-    rows = None
-    for name in names:
-        found = read_batches(spark, f"{target}/{name}", schema)
-        if name == "open":
-            last = spark.read.schema("newest long, batch long").parquet(f"{target}/progress").agg(F.max("batch")).first()[0]
-            found = found.where(F.col("batch") == last)
-        found = found.drop("batch")
-        rows = found if rows is None else rows.union(found)
-    return rows
+def _place(target: str, number: int, kind: str) -> str:
+    return f"{target}/parts/batch={number}/kind={kind}"
+
+
+def _tables(spark: SparkSession, target: str, kinds: Sequence[str], schema: T.StructType) -> DataFrame:
+    last = spark.read.schema("newest long, batch long").parquet(f"{target}/progress").agg(F.max("batch")).first()[0]
+    every = T.StructType([*schema.fields, T.StructField("batch", T.LongType()), T.StructField("kind", T.StringType())])
+    rows = spark.read.schema(every).parquet(f"{target}/parts")
+    kept = F.col("kind").isin(*kinds) & ((F.col("kind") != "open") | (F.col("batch") == last))
+    return rows.where(kept).drop("batch", "kind")
+
+
+def closed_in(spark: SparkSession, target: str, number: int, schema: T.StructType) -> DataFrame:
+    """The windows that one micro-batch closed."""
+    place = _place(target, number, "closed")
+    return spark.read.schema(schema).parquet(place) if exists(spark, place) else spark.createDataFrame([], schema)
 
 
-def first_seen(spark: SparkSession, target: str, parts: Parts, schema: T.StructType) -> DataFrame:
+def first_seen(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
     """Closed windows as they stood when they were closed."""
-    return _tables(spark, target, parts, ["closed"], schema)
+    return _tables(spark, target, ["closed"], schema)
 
 
 def restated(spark: SparkSession, target: str, parts: Parts, schema: T.StructType) -> DataFrame:
     """Closed windows with the rows that came too late for them."""
-    return parts.merged(_tables(spark, target, parts, ["closed", "late"], schema))
+    return parts.merged(_tables(spark, target, ["closed", "late"], schema))
 
 
 def every(spark: SparkSession, target: str, parts: Parts, schema: T.StructType) -> DataFrame:
     """All windows, also those that are open."""
-    return parts.merged(_tables(spark, target, parts, ["closed", "late", "open"], schema))
+    return parts.merged(_tables(spark, target, ["closed", "late", "open"], schema))
 
 
 def part_schema(parts: Parts, rows: T.StructType, spark: SparkSession) -> T.StructType:

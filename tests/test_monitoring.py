@@ -162,14 +162,15 @@ def test_windows_close_and_are_restated(spark, tmp_path):
     newest = frame.agg(F.max("ts")).first()[0]
     closed = F.col("window_end") <= F.lit(newest - dt.timedelta(minutes=10))
     restated = W.restated(spark, target, parts, schema)
-    assert rounded(jobs.metrics_of(restated)) == rounded(batch.where(closed)) != rounded(jobs.metrics_of(W.first_seen(spark, target, parts, schema)))
+    assert rounded(jobs.metrics_of(restated)) == rounded(batch.where(closed)) != rounded(jobs.metrics_of(W.first_seen(spark, target, schema)))
     spread = F.sqrt(F.try_divide("value_squares", "value_n")).alias("spread")
     exact = parts.of(frame).where(closed).select("window_start", "source", "metric", spread)
     assert rounded(restated.select("window_start", "source", "metric", spread)) == rounded(exact)
-    assert spark.read.parquet(f"{target}/late").agg(F.sum("rows")).first()[0] == 61
-    held = spark.read.schema(schema).parquet(f"{target}/open/batch=3")
+    told = spark.read.parquet(f"{target}/parts").where("kind = 'late'")
+    assert told.agg(F.sum("rows")).first()[0] == 61
+    held = spark.read.schema(schema).parquet(f"{target}/parts/batch=3/kind=open")
     assert held.count() < 30 and held.agg(F.min("window_end")).first()[0] > newest - dt.timedelta(minutes=10)
-    assert not Path(f"{target}/open/batch=1").exists()
+    assert not Path(f"{target}/parts/batch=1/kind=open").exists() and Path(f"{target}/parts/batch=2/kind=open").exists()
 
 
 def test_drift_verdict_of_each_window_at_an_interval(spark, tmp_path):
