@@ -1,8 +1,8 @@
 """From raw documents to token ids: quality, exact copies, near copies, benchmark passages, encoding.
 
 Each stage takes (spark, docs, folder of the tables) and gives documents with their columns; the last gives the encoded
-texts. ``run`` stores every stage's result in the shared folder and reads it for the next, so a lost executor costs one
-stage's tasks at most, and a stopped run can be resumed from the last folder.
+texts. ``run`` stores every stage's result in the shared folder, under a name of its own, and reads it for the next, so a lost
+executor costs one stage's tasks at most. A stopped run begins anew; ``STAGES`` can be applied to a stored stage by hand.
 """
 
 from __future__ import annotations
