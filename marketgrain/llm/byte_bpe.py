@@ -23,9 +23,9 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -35,12 +35,13 @@ from pyspark.sql import DataFrame, functions as F
 
 from marketgrain.llm.shipping import ship
 from marketgrain.llm.texts import slices, utf8
+from marketgrain.llm.workers import released
 
 RANKS = "byte_bpe_50k.tiktoken"
-SLICE = 4 << 20
-#: entries of a worker's stores, which are emptied beyond them and at the end of each task
-MAX_STATES = 50_000
-MAX_WORDS = 100_000
+SLICE = 2 << 20
+#: entries of a worker's stores, which are emptied beyond them; together some 150 MB
+MAX_STATES = 80_000
+MAX_WORDS = 250_000
 
 
 class Merges:
@@ -53,10 +54,6 @@ class Merges:
         self._edges: tuple[dict, dict] = {}, {}
         self._apart: dict[tuple[int, int], bool] = {}
 
-    def release(self) -> None:
-        self._edges = {}, {}
-        self._apart = {}
-
     def merge(self, text: bytes, below: int) -> list[int]:
         """Merge single bytes by rank, using only ranks under ``below``."""
         parts = [text[i:i + 1] for i in range(len(text))]
@@ -142,10 +139,6 @@ class Transducer:
             self.token[node] = rank
         self._clear()
 
-    def release(self) -> None:
-        self._clear()
-        self.merges.release()
-
     def _clear(self) -> None:
         # a state: the last certain token, and for each running position its trie node and uncertain tokens
         self.states: list[tuple] = [(None, ((0, ()),))]
@@ -305,22 +298,18 @@ def match_starts(points: np.ndarray, border: np.ndarray) -> np.ndarray:
 
 
 class Codec(dict):
-    """Ids by match of the pattern; made when missing and forgotten when there are too many."""
+    """Ids by match of the pattern, packed; made when missing and forgotten when there are too many."""
 
     def __init__(self, ranks: dict[bytes, int]):
         super().__init__()
         self.machine = Transducer(Merges(ranks))
         self.decoder = Utf8Decoder(self.machine.merges.bytes)
 
-    def __missing__(self, word: bytes) -> list[int]:
-        ids = self[word] = self.machine.encode(word)
+    def __missing__(self, word: bytes) -> bytes:
+        # objects for single ids would take several times the room
+        ids = self[word] = array("I", self.machine.encode(word)).tobytes()
         return ids
 
-    def release(self) -> None:
-        """Empty the stores; workers outlive their tasks, and other operators need their memory."""
-        self.clear()
-        self.machine.release()
-
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and the offsets of the texts in them."""
         data, offsets = utf8(column)
@@ -337,15 +326,15 @@ class Codec(dict):
         if len(self) > MAX_WORDS:
             self.clear()
         made = [self[word] for word in words.dictionary.to_pylist()]
-        sizes = np.fromiter(map(len, made), np.int64, len(made))
-        flat = np.fromiter(chain.from_iterable(made), np.uint32, int(sizes.sum()))
+        sizes = np.fromiter(map(len, made), np.int64, len(made)) // 4
+        flat = np.frombuffer(b"".join(made), np.uint32)
         code = words.indices.to_numpy()
         ids = flat[gather((np.cumsum(sizes) - sizes)[code], sizes[code])]
         ends = np.concatenate(([0], np.cumsum(sizes[code])))
         return ids, ends[np.searchsorted(begins, offsets)]
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def codec(path: str) -> Codec:
     with open(path, "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in lines if line.strip())}
@@ -359,12 +348,6 @@ def round_trip(docs: DataFrame, path: str | None = None, keep_ids: bool = False)
 
     def run(batches):
         coder = codec(path)
-        try:
-            yield from coded(coder, batches)
-        finally:
-            coder.release()
-
-    def coded(coder, batches):
         for batch in batches:
             for part in slices(batch, "text", SLICE):
                 ids, ends = coder.encode(part.column("text"))
@@ -382,4 +365,4 @@ def round_trip(docs: DataFrame, path: str | None = None, keep_ids: bool = False)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids binary" * keep_ids
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
+    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(released(run), schema)

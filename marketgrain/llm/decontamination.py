@@ -17,12 +17,15 @@ empty table gives no rows; other columns are ignored, or kept by ``clean``.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from marketgrain.llm.shipping import ship
 from marketgrain.llm.texts import LETTER_WORDS, slices, utf8
+from marketgrain.llm.workers import released
 
 SIZE = 10
 BLOCK_WORDS = 1_000_000
@@ -120,7 +123,7 @@ def word_counts(docs: DataFrame, vocabulary: np.ndarray) -> dict[int, int]:
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["word", "n"])
 
-    counts = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "word long, n long")
+    counts = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(released(run), "word long, n long")
     rows = counts.groupBy("word").agg(F.sum("n").alias("n")).toPandas()
     return dict(zip(vocabulary[rows["word"]].tolist(), rows["n"].tolist(), strict=True))
 
@@ -136,13 +139,13 @@ def blocks(items: DataFrame, block_words: int = BLOCK_WORDS) -> list[DataFrame]:
 
 
 def find_hits(
-    docs: DataFrame, items: DataFrame, size: int = SIZE, block_words: int = BLOCK_WORDS, keep: list[str] | None = None
+    docs: DataFrame, items: DataFrame, size: int = SIZE, block_words: int = BLOCK_WORDS, keep: Sequence[str] = ()
 ) -> DataFrame:
-    """Struct ``row`` of the columns to keep, n_words, n_hit, packed spans of hit words, and ids of items."""
+    """Struct ``row`` of the columns to keep, text, n_words, n_hit, packed spans of hit words, and ids of items."""
     spark = docs.sparkSession
     ship(spark)
     found = docs.select(
-        F.struct(*[F.col(f"`{n}`") for n in keep or docs.columns]).alias("row"),
+        F.struct(F.lit(0).alias("_"), *[F.col(f"`{n}`") for n in keep]).alias("row"),
         F.col("text").cast("string").alias("text"),
         F.expr("cast(0 as bigint)").alias("n_words"), F.expr("cast(0 as bigint)").alias("n_hit"),
         F.expr("cast('' as binary)").alias("spans"), F.expr("cast(array() as array<string>)").alias("items"),
@@ -151,7 +154,7 @@ def find_hits(
         index = Index([tuple(r) for r in block.collect()], size)
         index.order(word_counts(docs, index.words))
         found = _search(found, spark.sparkContext.broadcast(index))
-    return found.drop("text")
+    return found
 
 
 def _search(found: DataFrame, index) -> DataFrame:
@@ -177,7 +180,7 @@ def _search(found: DataFrame, index) -> DataFrame:
                     ["row", "text", "n_words", "n_hit", "spans", "items"],
                 )
 
-    return found.mapInArrow(run, found.schema)
+    return found.mapInArrow(released(run), found.schema)
 
 
 def merged(spans: np.ndarray) -> np.ndarray:
@@ -200,5 +203,8 @@ def report(docs: DataFrame, items: DataFrame, size: int = SIZE, block_words: int
 
 def clean(docs: DataFrame, items: DataFrame, size: int = SIZE, block_words: int = BLOCK_WORDS) -> DataFrame:
     """The documents that hold no window, with all their columns."""
-    found = find_hits(docs, items, size, block_words)
-    return found.where(F.col("n_hit") == 0).select(*[F.col(f"row.`{n}`").alias(n) for n in docs.columns])
+    # the text goes along once
+    rest = [n for n in docs.columns if n != "text" or docs.schema[n].dataType.simpleString() != "string"]
+    found = find_hits(docs, items, size, block_words, rest)
+    return found.where(F.col("n_hit") == 0).select(*[
+        F.col(f"row.`{n}`").alias(n) if n in rest else F.col("text") for n in docs.columns])

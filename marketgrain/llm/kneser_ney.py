@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, functions as F
 from marketgrain.llm.scratch import scratch, stored
 from marketgrain.llm.shipping import ship
 from marketgrain.llm.texts import mix, slices, utf8
+from marketgrain.llm.workers import released
 
 ORDER = 5
 START = 2
@@ -90,7 +91,7 @@ def counts(texts: DataFrame, classes: int, translate: np.ndarray | None) -> Data
                     yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), *columns], ["gram", *names])
 
     found = texts.select("text", F.col("label").cast("int").alias("label")).mapInArrow(
-        run, ", ".join(["gram long", *[f"{n} long" for n in names]])
+        released(run), ", ".join(["gram long", *[f"{n} long" for n in names]])
     )
     return found.groupBy("gram").agg(*[F.sum(n).alias(n) for n in names])
 
@@ -218,7 +219,7 @@ def _shards(entries: DataFrame, classes: int) -> list[Broadcast]:
         return []
     shards = -(-count // SHARD_ENTRIES)
     kinds = ", ".join(["shard long, gram long, part int", *[f"v{k} float" for k in range(classes)]])
-    rows = stored(entries.mapInArrow(dealt(shards), kinds), "shards")
+    rows = stored(entries.mapInArrow(released(dealt(shards)), kinds), "shards")
     return [spark.sparkContext.broadcast(_tables(rows.where(F.col("shard") == k), classes)) for k in range(shards)]
 
 

@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from marketgrain.llm.scratch import scratch, stored
 from marketgrain.llm.shipping import ship
 from marketgrain.llm.texts import mix
+from marketgrain.llm.workers import released
 from marketgrain.session import materialize
 
 #: rows x depth of a block, and the least rows of one, so that every round leaves fewer rows
@@ -258,7 +259,7 @@ def _round(rows: DataFrame, first: bool, whole: bool) -> DataFrame:
         for table in _blocks(batches, whole):
             yield from _Block(table.combine_chunks(), first, whole).output(first)
 
-    return stored(rows.mapInArrow(build, _OUT), "trie-round")
+    return stored(rows.mapInArrow(released(build), _OUT), "trie-round")
 
 
 def _spelled(pieces: DataFrame) -> DataFrame:
@@ -282,7 +283,7 @@ def _spelled(pieces: DataFrame) -> DataFrame:
 
     keys = ["key1", "key2", "depth"]
     ordered = pieces.repartition(*keys).sortWithinPartitions(*keys, "conv_id").select(*keys, "ids")
-    return ordered.mapInArrow(read, "key1 bigint, key2 bigint, depth bigint, ends_sha256 string")
+    return ordered.mapInArrow(released(read), "key1 bigint, key2 bigint, depth bigint, ends_sha256 string")
 
 
 def _named(rows: DataFrame, table: DataFrame, keys: list[Column], how: str) -> DataFrame:

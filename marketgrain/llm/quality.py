@@ -23,6 +23,7 @@ from marketgrain.llm.labelled import with_label
 from marketgrain.llm.textkeys import BROADCAST_KEYS, text_key
 from marketgrain.llm.texts import slices
 from marketgrain.llm.toxicity import fold
+from marketgrain.llm.workers import released
 from marketgrain.session import materialize
 
 PRIOR_BYTES = 100
@@ -55,7 +56,7 @@ def measured(docs: DataFrame, labels: DataFrame) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
     sets = F.coalesce((F.col("label") == 1) & F.col("held_out"), F.lit(False)).alias("sets_threshold")
     found = rows.select("doc_id", "lang", "text", "text_key", sets).mapInArrow(
-        run, f"doc_id {kind}, lang string, text_key binary, n_bytes long, log_loss double, sets_threshold boolean"
+        released(run), f"doc_id {kind}, lang string, text_key binary, n_bytes long, log_loss double, sets_threshold boolean"
     )
     return materialize(found, "losses")
 

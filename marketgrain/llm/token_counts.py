@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from marketgrain.llm.shipping import ship
 from marketgrain.llm.texts import slices, utf8
+from marketgrain.llm.workers import released
 
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
@@ -103,6 +104,6 @@ def count_tokens(docs: DataFrame, path: str | None = None, limit: int = 4096) ->
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     counted = docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(
-        run, f"doc_id {kind}, n_bytes long, n_tokens long"
+        released(run), f"doc_id {kind}, n_bytes long, n_tokens long"
     )
     return counted.withColumn("over_limit", F.col("n_tokens") > limit)

@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from marketgrain.llm import kneser_ney
 from marketgrain.llm.labelled import with_label
 from marketgrain.llm.texts import LETTER_WORDS, slices
+from marketgrain.llm.workers import released
 from marketgrain.session import materialize
 
 FOLDS = 5
@@ -84,7 +85,7 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, fold long, label int, " + ", ".join(f"{f} double" for f in FEATURES)
-    measured = rows.select("doc_id", "text", F.col("fold").cast("long").alias("fold"), "label").mapInArrow(run, schema)
+    measured = rows.select("doc_id", "text", F.col("fold").cast("long").alias("fold"), "label").mapInArrow(released(run), schema)
     measured = materialize(measured, "differences")
     vectors = VectorAssembler(inputCols=FEATURES, outputCol="_features").transform(measured)
     known = vectors.where("fold = 4 and label in (0, 1)")
