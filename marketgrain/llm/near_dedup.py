@@ -32,8 +32,9 @@ from pyspark.sql import DataFrame, functions as F
 from marketgrain.llm.components import connected
 from marketgrain.llm.scratch import scratch, stored
 from marketgrain.llm.shipping import ship
-from marketgrain.llm.textkeys import BROADCAST_KEYS, text_key
+from marketgrain.llm.textkeys import BROADCAST_KEYS, text_key, unused
 from marketgrain.llm.texts import WHITESPACE_WORDS, mix, shingle_hashes, slices, utf8
+from marketgrain.llm.workers import released
 from marketgrain.session import materialize
 
 BINS, ROWS = 128, 4
@@ -110,7 +111,7 @@ def signatures(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return _plain(docs).mapInArrow(
-        run, f"doc_id {kind}, text_key binary, n_shingles long, node long, tail long, bands array<long>")
+        released(run), f"doc_id {kind}, text_key binary, n_shingles long, node long, tail long, bands array<long>")
 
 
 def _plain(docs: DataFrame) -> DataFrame:
@@ -144,20 +145,19 @@ def _components(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """doc_id, n_shingles, text_key and component (null without shingles) of every row, stored."""
     signed = stored(signatures(docs, width), "signatures")
     full = signed.where(F.col("n_shingles") > 0)
-    classes = full.groupBy("node", "tail").agg(
-        F.min(F.struct("doc_id", "text_key")).alias("holder"), F.first("bands").alias("bands"))
+    classes = full.groupBy("node", "tail").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"))
     members = stored(
-        classes.select("node", "holder", F.explode("bands").alias("bucket")), "buckets"
+        classes.select("node", "doc_id", F.explode("bands").alias("bucket")), "buckets"
     )
     size = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     members = stored(members.join(size, "bucket"), "shared-buckets")
     # a class near the middle of a group meets most of it, and is the best hub
-    weights = members.groupBy("node").agg(F.sum("n").alias("weight"), F.min("holder").alias("holder"))
+    weights = members.groupBy("node").agg(F.sum("n").alias("weight"), F.min("doc_id").alias("doc_id"))
     weights = stored(weights, "weights")
-    texts = stored(_texts(docs, weights.select("node", "holder.*"), width), "candidate-texts")
+    texts = stored(_texts(docs, weights.select("node", "doc_id"), width), "candidate-texts")
 
     rows = stored(
-        members.select("bucket", "node", F.col("node").alias("component")).join(weights.drop("holder"), "node"), "rows-0"
+        members.select("bucket", "node", F.col("node").alias("component")).join(weights.drop("doc_id"), "node"), "rows-0"
     )
     links, tied = None, connected(texts.sparkSession.createDataFrame([], "a long, b long"))
     for turn in range(1, ROUNDS + 1):
@@ -181,11 +181,10 @@ def _components(docs: DataFrame, width: int, percent: int) -> DataFrame:
 def _texts(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """One text for each wanted node."""
     few = wanted.count() <= BROADCAST_IDS
-    wanted = wanted.select("node", F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
+    wanted = wanted.select("node", F.col("doc_id").alias("_id"))
     if few:
         wanted = F.broadcast(wanted)
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key"))
-    found = _plain(docs).join(wanted, same).select("node", "text")
+    found = _plain(docs).join(wanted, F.col("doc_id").eqNullSafe(F.col("_id"))).select("node", "text")
 
     def run(batches):
         for batch in batches:
@@ -193,8 +192,8 @@ def _texts(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
                 names = [class_of(s)[0] for s in sets(part.column("text"), width)]
                 yield part.filter(pa.array(part.column("node").to_numpy() == np.array(names, np.int64)))
 
-    # an id and text may be repeated
-    return found.mapInArrow(run, "node long, text string").dropDuplicates(["node"])
+    # rows that repeat an id may hold other texts, or the same again
+    return found.mapInArrow(released(run), "node long, text string").dropDuplicates(["node"])
 
 
 def _verified(stars: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
@@ -213,7 +212,7 @@ def _verified(stars: DataFrame, texts: DataFrame, width: int, percent: int) -> D
                     keep.append(alike(known, shingle_set(text.as_py(), width), percent))
                 yield part.select(["node", "hub"]).filter(pa.array(keep, pa.bool_()))
 
-    found = pairs.select("node", "hub", "text", "hub_text").mapInArrow(run, "node long, hub long")
+    found = pairs.select("node", "hub", "text", "hub_text").mapInArrow(released(run), "node long, hub long")
     return found.select(F.col("node").alias("a"), F.col("hub").alias("b"))
 
 
