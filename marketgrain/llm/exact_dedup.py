@@ -5,8 +5,8 @@ by digest; its state lives on disk (RocksDB), is keyed by digest, never expires,
 of the row that stays and the number of rows seen. Partial aggregation before the state keeps a hot digest from
 reaching one task row by row. A later run on the same state folder goes on where the last one ended.
 
-A digest that was seen before is a hit, not yet a proof: the full bytes of the row are compared with those at the
-locator of the row that stays. Rows whose bytes differ are grouped among themselves by their full texts.
+A digest that was seen before is a hit, not yet a proof: the full bytes of the row are compared with those of the row that
+stays. Both are read again by identifier and digest; the locator tells rows of one identifier apart. Rows whose bytes differ are grouped among themselves by their full texts.
 
 Texts are equal when identical after replacing each run of white space (x20, x09-x0D) by one space.
 
