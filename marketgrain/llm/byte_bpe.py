@@ -38,10 +38,10 @@ from marketgrain.llm.texts import slices, utf8
 from marketgrain.llm.workers import released
 
 RANKS = "byte_bpe_50k.tiktoken"
-SLICE = 2 << 20
-#: entries of a worker's stores, which are emptied beyond them; together some 150 MB
-MAX_STATES = 80_000
-MAX_WORDS = 250_000
+SLICE = 4 << 20
+#: entries of a worker's stores, which are emptied beyond them; together some 200 MB
+MAX_STATES = 150_000
+MAX_WORDS = 400_000
 
 
 class Merges:

@@ -179,7 +179,8 @@ def scan(docs: DataFrame, ledger: str | None = None, rules: tuple[Rule, ...] = R
     with scratch(spark):
         versions = stored(docs.select("doc_id", blob(F.col("text")).alias("blob")), "blob-versions")
         path = ledger or discard(f"{checkpoint_root(spark)}/blob-ledger-{uuid.uuid4().hex}")
-        found = findings(update(docs, path, rules, versions), rules)
+        # stored apart, so that a blob of very many paths is split in the join
+        found = stored(findings(update(docs, path, rules, versions), rules), "blob-findings")
         empty = F.array().cast("array<struct<start:int,rank:int,stop:int,kind:string>>")
         return materialize(on_paths(versions, found).withColumn("findings", F.coalesce("findings", empty)), "secrets")
 
