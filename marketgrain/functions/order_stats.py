@@ -13,7 +13,10 @@ import math
 from bisect import bisect_right
 from collections.abc import Sequence
 from functools import reduce
+from itertools import accumulate
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from marketgrain.session import materialize
@@ -185,9 +188,9 @@ WIDE = 16
 def wide_quantiles(df: DataFrame, values: dict[str, Column], probs: Sequence[float], accuracy: int = ACCURACY) -> DataFrame:
     """Exact quantiles of columns of the schema: one row per column with ``name``, ``n`` and the array ``quantiles``.
 
-    The same three passes as ``exact_quantiles``, but the columns stay beside each other: the first two are one aggregation
-    without keys each, whose few numbers (columns x probabilities) come to the driver, and nothing is stored. Rows become
-    long in the third pass only, for values in the brackets that hold a wanted rank; where edges hold all, there is none.
+    The same three passes as ``exact_quantiles``, but the columns stay beside each other: the first two give a few numbers
+    (columns x probabilities) that come to the driver, and nothing is stored. Rows become long in the third pass only, for
+    values in the brackets that hold a wanted rank; where edges hold all, there is none.
     """
     names = list(values)
     parts = [
@@ -203,14 +206,12 @@ def _wide_quantiles(df: DataFrame, values: dict[str, Column], probs: Sequence[fl
     shares = F.expr("array(" + ", ".join(f"{g}D" for g in grid) + ")")
     cuts = base.agg(*[F.percentile_approx(f"v{i}", shares, accuracy).alias(f"v{i}") for i in range(len(names))]).first()
     edges = [sorted(set(cut or [])) for cut in cuts]
-    counted = base.agg(*[x for i, own in enumerate(edges) for x in (
-        F.count(f"v{i}"), *[F.count_if(F.col(f"v{i}") < e) for e in own], *[F.count_if(F.col(f"v{i}") <= e) for e in own])]).first()
-    counts, at = list(counted), 0
-    # by column: rows, values known from edges by rank, and brackets (low, high, rows up to low, ranks) of the others
+    counts = slot_counts(base, edges)
+    # by column: rows, values known from edges by rank, and brackets (slot, rows before it, ranks) of the others
     rows, brackets = [], []
     for i, own in enumerate(edges):
-        n, below, upto = counts[at], counts[at + 1:at + 1 + len(own)], counts[at + 1 + len(own):at + 1 + 2 * len(own)]
-        at += 1 + 2 * len(own)
+        ends = list(accumulate(counts[i]))
+        n, below, upto = ends[-1], ends[:-1:2], ends[1::2]
         ranks = sorted({r for p in probs for r in (math.floor(p * (n - 1)), math.ceil(p * (n - 1)))}) if n else []
         known, open_ = {}, {}
         for r in ranks:
@@ -220,10 +221,10 @@ def _wide_quantiles(df: DataFrame, values: dict[str, Column], probs: Sequence[fl
             else:
                 open_.setdefault(place, []).append(r)
         rows.append((i, n, known))
-        brackets += [(i, own[k - 1] if k else None, own[k] if k < len(own) else None, upto[k - 1] if k else 0, r) for k, r in open_.items()]
+        brackets += [(i, 2 * k, upto[k - 1] if k else 0, r) for k, r in open_.items()]
     table = spark.createDataFrame(rows, "column int, n long, known map<long, double>").where("n > 0")
     if brackets:
-        table = table.join(F.broadcast(_ranked_values(base, brackets)), "column", "left").withColumn(
+        table = table.join(F.broadcast(_ranked_values(base, edges, brackets)), "column", "left").withColumn(
             "known", F.when(F.col("found").isNull(), F.col("known")).otherwise(F.map_concat("known", "found")))
     position = F.array(*[F.lit(float(p)) * (F.col("n") - 1) for p in probs])
 
@@ -235,22 +236,53 @@ def _wide_quantiles(df: DataFrame, values: dict[str, Column], probs: Sequence[fl
     return table.select(name.alias("name"), "n", F.transform(position, interpolate).alias("quantiles"))
 
 
-def _ranked_values(base: DataFrame, brackets: list[tuple]) -> DataFrame:
-    """column and a map from wanted ranks to values; brackets are (column, low, high, rows up to low, ranks)."""
-    picked = []
-    for k, (i, low, high, _, _) in enumerate(brackets):
-        value = F.col(f"v{i}")
-        inside = value.isNotNull()
-        inside = inside if low is None else inside & (value > low)
-        inside = inside if high is None else inside & (value < high)
-        picked.append(F.when(inside, F.struct(F.lit(k).alias("k"), value.alias("v"))))
-    narrow = base.select(F.explode(F.array_compact(F.array(*picked))).alias("x"))
-    fine = narrow.groupBy("x.k", "x.v").agg(F.count(F.lit(1)).alias("_c"))
+def slot_counts(wide: DataFrame, edges: Sequence[Sequence[float]]) -> list[list[int]]:
+    """For each double column of ``wide`` its numbers of values below its first edge, on it, between it and the next, and so on.
+
+    ``edges`` has the sorted distinct edges of each column; NULL is in no slot. Tasks give one row per column and slot in use.
+    The function of a task names nothing of this package, so that workers need not have it.
+    """
+    cuts = [np.array(own, np.float64) for own in edges]
+
+    def run(batches):
+        total = [np.zeros(2 * len(own) + 1, np.int64) for own in cuts]
+        for batch in batches:
+            for own, column, count in zip(cuts, batch.columns, total, strict=True):
+                value = column.drop_null().to_numpy()
+                slot = np.searchsorted(own, value) + np.searchsorted(own, value, "right")
+                count += np.bincount(slot, minlength=len(count))
+        for i, count in enumerate(total):
+            slot = np.flatnonzero(count)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(slot), i), pa.int32()), pa.array(slot, pa.int32()), pa.array(count[slot])], ["column", "slot", "n"])
+
+    found = wide.mapInArrow(run, "column int, slot int, n long").groupBy("column", "slot").agg(F.sum("n").alias("n"))
+    out = [[0] * (2 * len(own) + 1) for own in edges]
+    for column, slot, n in found.collect():  # columns of the schema x edges
+        out[column][slot] = n
+    return out
+
+
+def _ranked_values(base: DataFrame, edges: list[list[float]], brackets: list[tuple]) -> DataFrame:
+    """column and a map from wanted ranks to values; brackets are (column, slot, rows before it, ranks)."""
+    cuts = {i: np.array(edges[i], np.float64) for i, *_ in brackets}
+    wanted_slots = {i: [slot for j, slot, *_ in brackets if j == i] for i in cuts}
+
+    def run(batches):
+        for batch in batches:
+            for i, own in cuts.items():
+                value = batch.column(i).drop_null().to_numpy()
+                slot = np.searchsorted(own, value) + np.searchsorted(own, value, "right")
+                inside = np.isin(slot, wanted_slots[i])
+                slot, value = slot[inside], value[inside]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(slot), i), pa.int32()), pa.array(slot, pa.int32()), pa.array(value)], ["k", "slot", "v"])
+
+    fine = base.mapInArrow(run, "k int, slot int, v double").groupBy("k", "slot", "v").agg(F.count(F.lit(1)).alias("_c"))
     # at most two a rank
-    wanted = base.sparkSession.createDataFrame(
-        [(k, i, start, ranks) for k, (i, _, _, start, ranks) in enumerate(brackets)], "_k int, column int, start long, ranks array<long>")
-    upto = F.sum("_c").over(Window.partitionBy("k").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
-    hits = fine.withColumn("_upto", upto).join(F.broadcast(wanted), F.col("k") == F.col("_k"))
+    wanted = base.sparkSession.createDataFrame(brackets, "column int, _slot int, start long, ranks array<long>")
+    upto = F.sum("_c").over(Window.partitionBy("k", "slot").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
+    hits = fine.withColumn("_upto", upto).join(F.broadcast(wanted), (F.col("k") == F.col("column")) & (F.col("slot") == F.col("_slot")))
     end = F.col("start") + F.col("_upto")
     hits = hits.withColumn("rank", F.explode(F.filter("ranks", lambda r: (r >= end - F.col("_c")) & (r < end))))
     return hits.groupBy("column").agg(F.map_from_entries(F.collect_list(F.struct("rank", "v"))).alias("found"))

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from marketgrain.functions.lattice import exact_tail
 from marketgrain.functions.naming import c
 from marketgrain.functions.numeric import count_where, is_numeric, ratio, to_number
-from marketgrain.functions.order_stats import running_total, slice_of, wide_quantiles
+from marketgrain.functions.order_stats import running_total, slot_counts, wide_quantiles
 from marketgrain.functions.pricing import drift_severity, ks_text, psi_text
 from marketgrain.session import materialize
 
@@ -29,10 +29,20 @@ EMPTY_BIN = 1e-4
 EXACT_ROWS = 10_000
 
 
-def numbers(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Long table (feature, value) of the columns as finite doubles, NULL where there is no number."""
+def wide_numbers(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The columns as finite doubles, NULL where there is no number."""
     kinds = {f.name: f.dataType for f in df.schema.fields}
-    return df.select(*[to_number(c(n), kinds[n]).alias(n) for n in names]).unpivot([], list(names), "feature", "value")
+    return df.select(*[to_number(c(n), kinds[n]).alias(n) for n in names])
+
+
+def numbers(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The same as a long table (feature, value)."""
+    return wide_numbers(df, names).unpivot([], list(names), "feature", "value")
+
+
+def stored_sides(reference: DataFrame, current: DataFrame, names: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """The compared columns of both tables, written once; several methods read each side some ten times."""
+    return tuple(materialize(df.select(*[c(n) for n in names]), "side") for df in (reference, current))
 
 
 def shared_features(reference: DataFrame, current: DataFrame) -> list[str]:
@@ -43,8 +53,7 @@ def shared_features(reference: DataFrame, current: DataFrame) -> list[str]:
 
 def profile(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """Moments, exact quartiles and missing rate per feature."""
-    kinds = {f.name: f.dataType for f in df.schema.fields}
-    wide = df.select(*[to_number(c(n), kinds[n]).alias(n) for n in names])
+    wide = wide_numbers(df, names)
 
     def moments(name: str) -> Column:
         value = c(name)
@@ -134,14 +143,25 @@ def _exact_tails(gap: pd.Series, n_ref: pd.Series, n_cur: pd.Series) -> pd.Serie
     return pd.Series([exact_tail(d, m, n) for d, m, n in zip(gap, n_ref, n_cur)])
 
 
+def distances(reference: DataFrame, current: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Largest gap and area between the distribution functions: one stored row per feature, for ``ks_drift`` and ``wasserstein_drift``."""
+    gap = F.abs(F.col("cdf_ref") - F.col("cdf_cur"))
+    return materialize(distributions(reference, current, names).groupBy("feature").agg(
+        F.max(gap).alias("gap"), F.coalesce(F.sum(gap * (F.col("next_value") - F.col("value"))), F.lit(0.0)).alias("area"),
+        F.first("n_ref").alias("n_ref"), F.first("n_cur").alias("n_cur"),
+    ), "distances")
+
+
 def ks_drift(
-    reference: DataFrame, current: DataFrame, names: Sequence[str], alpha: float = 0.05, exact_rows: int = EXACT_ROWS
+    reference: DataFrame, current: DataFrame, names: Sequence[str], alpha: float = 0.05, exact_rows: int = EXACT_ROWS,
+    found: DataFrame | None = None,
 ) -> DataFrame:
-    """Two-sample Kolmogorov-Smirnov test; the p-value is exact where both sides have at most ``exact_rows`` values, else asymptotic."""
-    gaps = distributions(reference, current, names).groupBy("feature").agg(
-        F.max(F.abs(F.col("cdf_ref") - F.col("cdf_cur"))).alias("drift_score"),
-        F.first("n_ref").alias("n_ref"), F.first("n_cur").alias("n_cur"),
-    )
+    """Two-sample Kolmogorov-Smirnov test; the p-value is exact where both sides have at most ``exact_rows`` values, else asymptotic.
+
+    ``found``: the ``distances`` of the two tables, if they are there already.
+    """
+    found = distances(reference, current, names) if found is None else found
+    gaps = found.select("feature", F.col("gap").alias("drift_score"), "n_ref", "n_cur")
     effective = F.sqrt(F.col("n_ref") * F.col("n_cur") / (F.col("n_ref") + F.col("n_cur")))
     asymptotic = kolmogorov_tail(effective * F.col("drift_score"))
     if exact_rows:
@@ -156,51 +176,51 @@ def ks_drift(
     })
 
 
-def wasserstein_drift(reference: DataFrame, current: DataFrame, names: Sequence[str], threshold: float = 0.1) -> DataFrame:
-    """Area between the distribution functions in reference deviations."""
-    table = distributions(reference, current, names)
-    area = F.sum(F.abs(F.col("cdf_ref") - F.col("cdf_cur")) * (F.col("next_value") - F.col("value")))
-    areas = table.groupBy("feature").agg(F.coalesce(area, F.lit(0.0)).alias("distance"))
-    spread = numbers(reference, names).groupBy("feature").agg(F.stddev_pop("value").alias("std"))
+def wasserstein_drift(
+    reference: DataFrame, current: DataFrame, names: Sequence[str], threshold: float = 0.1, found: DataFrame | None = None
+) -> DataFrame:
+    """Area between the distribution functions in reference deviations; ``found`` as in ``ks_drift``."""
+    found = distances(reference, current, names) if found is None else found
+    areas = found.select("feature", F.col("area").alias("distance"))
+    rows = [F.struct(F.lit(n).alias("feature"), F.stddev_pop(c(n)).alias("std")) for n in names]
+    spread = wide_numbers(reference, names).agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
     scored = areas.join(F.broadcast(spread), "feature").withColumn(
         "drift_score", F.col("distance") / F.greatest(F.col("std"), F.lit(1e-3))
     )
     return scored.withColumn("drift_detected", F.col("drift_score") >= threshold)
 
 
+def _binned(
+    reference: DataFrame, current: DataFrame, names: Sequence[str], bins: int
+) -> tuple[DataFrame, DataFrame]:
+    """Rows (feature, bin, ref_share, cur_share), and the features that have values on both sides.
+
+    Both sides are counted by slots of the edges, which the driver adds up to bins: one number per column of the schema and bin.
+    """
+    spark, names, sides = reference.sparkSession, list(names), [wide_numbers(df, names) for df in (reference, current)]
+    quantiles = wide_quantiles(sides[0], {n: c(n) for n in names}, [i / bins for i in range(bins + 1)]).select("name", "quantiles")
+    found = {name: sorted(set(values)) for name, values in quantiles.collect()}
+    edges = [found.get(n, []) for n in names]
+    shares, both = [], []
+    for name, own, *counts in zip(names, edges, *[slot_counts(side, edges) for side in sides], strict=True):
+        sizes = [sum(count) for count in counts]
+        if all(sizes):
+            both.append((name,))
+        for at in range(1, len(own)):
+            # from an edge on and below the next; the last bin has its upper edge too
+            slots = slice(2 * at - 1, 2 * at + 1 + (at == len(own) - 1))
+            shares.append((name, at, *[sum(count[slots]) / size if size else None for count, size in zip(counts, sizes, strict=True)]))
+    table = spark.createDataFrame(shares, "feature string, bin int, ref_share double, cur_share double")
+    return table, spark.createDataFrame(both, "feature string")
+
+
 def binned_shares(reference: DataFrame, current: DataFrame, names: Sequence[str], bins: int = 10) -> DataFrame:
     """Share of both tables in the reference's quantile bins, rows (feature, bin, ref_share, cur_share).
 
     Values outside the reference range are in no bin but count in the total. A feature with a single edge
     has no bins.
     """
-    kinds = {f.name: f.dataType for f in reference.schema.fields}
-    edges = wide_quantiles(reference, {n: to_number(c(n), kinds[n]) for n in names}, [i / bins for i in range(bins + 1)])
-    edges = edges.select(F.col("name").alias("feature"), F.array_distinct("quantiles").alias("edges"))
-    edges = edges.withColumn("last", F.size("edges") - 1)
-    value = F.col("value")
-    passed = slice_of(F.col("edges"), value, bins + 1)
-    inside = (value >= F.element_at("edges", 1)) & (value <= F.element_at("edges", -1))
-    counts = (
-        _pair(reference, current, names)
-        .join(F.broadcast(edges), "feature")
-        .withColumn("bin", F.when(inside, F.least(passed, F.col("last"))).otherwise(0))
-        .groupBy("feature", "bin")
-        .agg(F.sum("r").alias("r"), F.sum("c").alias("c"))
-    )
-    sizes = counts.groupBy("feature").agg(F.sum("r").alias("n_ref"), F.sum("c").alias("n_cur"))
-    frame = edges.where(F.col("last") >= 1).select("feature", F.explode(F.sequence(F.lit(1), F.col("last"))).alias("bin"))
-    return frame.join(counts, ["feature", "bin"], "left").join(sizes, "feature").select(
-        "feature", "bin",
-        ratio(F.coalesce("r", F.lit(0)), F.col("n_ref")).alias("ref_share"),
-        ratio(F.coalesce("c", F.lit(0)), F.col("n_cur")).alias("cur_share"),
-    )
-
-
-def _with_values(reference: DataFrame, current: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Features that have values on both sides."""
-    sides = _pair(reference, current, names).where(F.col("value").isNotNull()).groupBy("feature")
-    return sides.agg(F.sum("r").alias("_r"), F.sum("c").alias("_c")).where("_r > 0 and _c > 0").select("feature")
+    return _binned(reference, current, names, bins)[0]
 
 
 def psi_drift(
@@ -211,10 +231,9 @@ def psi_drift(
         return F.when(F.col(name) == 0, F.lit(EMPTY_BIN)).otherwise(F.col(name))
 
     r, n = filled("ref_share"), filled("cur_share")
-    scores = binned_shares(reference, current, names, bins).groupBy("feature").agg(
-        F.sum((n - r) * F.ln(n / r)).alias("drift_score")
-    )
-    scored = _with_values(reference, current, names).join(scores, "feature", "left").withColumn("drift_score", F.coalesce("drift_score", F.lit(0.0)))
+    table, both = _binned(reference, current, names, bins)
+    scores = table.groupBy("feature").agg(F.sum((n - r) * F.ln(n / r)).alias("drift_score"))
+    scored = both.join(scores, "feature", "left").withColumn("drift_score", F.coalesce("drift_score", F.lit(0.0)))
     return scored.withColumns({
         "drift_detected": F.col("drift_score") > threshold, "interpretation": psi_text(F.col("drift_score"))
     })
@@ -228,9 +247,10 @@ def jensen_shannon(reference: DataFrame, current: DataFrame, names: Sequence[str
     def part(share: Column) -> Column:
         return F.when(share > 0, share * F.ln(share / middle)).otherwise(0.0)
 
-    table = binned_shares(reference, current, names, bins).groupBy("feature")
-    scores = table.agg(F.sqrt(F.greatest(F.sum((part(p) + part(q)) / 2), F.lit(0.0))).alias("drift_score"))
-    return scores.join(_with_values(reference, current, names), "feature", "left_semi")
+    table, both = _binned(reference, current, names, bins)
+    scores = table.groupBy("feature").agg(
+        F.sqrt(F.greatest(F.sum((part(p) + part(q)) / 2), F.lit(0.0))).alias("drift_score"))
+    return scores.join(both, "feature", "left_semi")
 
 
 def chi_square(reference: DataFrame, current: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -266,19 +286,20 @@ METHODS = ("statistical", "evidently", "ks_test", "population_stability")
 
 def detect(
     reference: DataFrame, current: DataFrame, names: Sequence[str] | None = None, method: str = "statistical",
-    exact_rows: int = EXACT_ROWS,
+    exact_rows: int = EXACT_ROWS, found: DataFrame | None = None,
 ) -> DataFrame:
     """One of the four methods; ``evidently`` is the normalised Wasserstein distance over all rows.
 
-    Without ``names``, the numeric columns that both tables have are compared.
+    Without ``names``, the numeric columns that both tables have are compared. ``found``: the ``distances`` of the two
+    tables, which ``evidently`` and ``ks_test`` share.
     """
     names = shared_features(reference, current) if names is None else names
     if method == "statistical":
         return statistical_drift(profile(reference, names), profile(current, names))
     if method == "evidently":
-        return wasserstein_drift(reference, current, names)
+        return wasserstein_drift(reference, current, names, found=found)
     if method == "ks_test":
-        return ks_drift(reference, current, names, exact_rows=exact_rows)
+        return ks_drift(reference, current, names, exact_rows=exact_rows, found=found)
     if method == "population_stability":
         return psi_drift(reference, current, names)
     raise ValueError(f"unknown drift method {method!r}, expected one of {METHODS}")

@@ -217,9 +217,10 @@ def performance(t):
 @query("d9_all_methods", digits=6)
 def all_methods(t):
     """The four methods side by side."""
-    reference, current = pair(t)
+    reference, current = drift.stored_sides(*pair(t), NAMES)
+    found = drift.distances(reference, current, NAMES)
     parts = [
-        drift.detect(reference, current, NAMES, m, exact_rows=0).select(F.lit(m).alias("method"), "feature", "drift_score", "drift_detected")
+        drift.detect(reference, current, NAMES, m, exact_rows=0, found=found).select(F.lit(m).alias("method"), "feature", "drift_score", "drift_detected")
         for m in drift.METHODS
     ]
     return reduce(DataFrame.unionByName, parts)

@@ -89,3 +89,30 @@ def test_chi_square_leaves_out_features_without_values_on_a_side(spark):
         got = {r["feature"]: r["drift_score"] for r in drift.chi_square(reference, current, ["x", "y"]).collect()}
         assert got == {"x": pytest.approx(0.0)}
     assert drift.chi_square(full, full.where("false"), ["x", "y"]).count() == 0
+
+
+def test_methods_share_the_distributions(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    a, b = frame(spark, [*rng.normal(0, 1, 200), None]), frame(spark, rng.normal(0.3, 1, 150))
+    alone = {m: one(drift.detect(a, b, ["x"], m))["drift_score"] for m in drift.METHODS}
+    found = drift.distances(a, b, ["x"])
+
+    def again(*_):
+        raise AssertionError("the distribution functions were built again")
+
+    monkeypatch.setattr(drift, "distributions", again)
+    sides = drift.stored_sides(a, b, ["x"])
+    assert all(f.endswith(".parquet") for side in sides for f in side.inputFiles())
+    shared = {m: one(drift.detect(*sides, ["x"], m, found=found))["drift_score"] for m in drift.METHODS}
+    assert shared == pytest.approx(alone)
+
+
+def test_bins_of_odd_columns(spark):
+    schema = "a double, b double, d double"
+    reference = spark.createDataFrame([(float(i % 7), None, 2.0) for i in range(70)], schema)
+    current = spark.createDataFrame([(float(i), 1.0, None) for i in (-1, 0, 6, 6, 9)], schema)
+    rows = drift.binned_shares(reference, current, ["a", "b", "d"], 3).orderBy("feature", "bin").collect()
+    # edges 0, 2, 4, 6: the last bin has both ends, values outside count in the total
+    assert [(r["feature"], r["bin"], round(r["ref_share"] * 7), r["cur_share"]) for r in rows] == [
+        ("a", 1, 2, 0.2), ("a", 2, 2, 0.0), ("a", 3, 3, 0.4)]
+    assert [r["feature"] for r in drift.psi_drift(reference, current, ["a", "b", "d"], 3).collect()] == ["a"]

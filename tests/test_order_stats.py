@@ -85,3 +85,10 @@ def test_wide_quantiles_equal_sorted_values(spark):
         for k, n in enumerate(columns):
             x = np.array([r[k] for r in rows if r[k] is not None])
             assert got[n][0] == len(x) and got[n][1] == pytest.approx(list(np.quantile(x, probs)))
+
+
+def test_slots_count_values_between_and_on_edges(spark):
+    rows = [(1.0, None), (2.0, None), (2.0, 5.0), (2.5, float("nan")), (None, -1.0), (float("inf"), 0.0)]
+    df = spark.createDataFrame(rows, "a double, b double").repartition(3)
+    assert O.slot_counts(df, [[2.0, 3.0], [0.0]]) == [[1, 2, 1, 0, 1], [1, 1, 2]]
+    assert O.slot_counts(df.where("false"), [[2.0], []]) == [[0, 0, 0], [0]]
