@@ -16,7 +16,8 @@ from marketgrain.sources import readers, writers
 def validate(spark: SparkSession, folder: str, target: str | None = None) -> dict[str, DataFrame]:
     """Manifest, schema findings, quality scores, rules and the summary of a raw folder, stored in ``target`` if there is one."""
     manifest = readers.source_manifest(spark, folder)
-    tables = readers.read_raw(spark, folder)
+    # the checks read each table some ten times; its text is parsed once
+    tables = {name: materialize(df, f"raw-{name}") for name, df in readers.read_raw(spark, folder).items()}
     out = {"manifest": manifest}
     if not tables:
         return out

@@ -46,6 +46,13 @@ def test_validation_job(spark, tmp_path):
     assert out["rules"].count() == 4
 
 
+def test_validation_parses_text_once(spark, tmp_path, monkeypatch):
+    read, score = [], quality.quality_score
+    monkeypatch.setattr(quality, "quality_score", lambda df, name: read.extend(df.inputFiles()) or score(df, name))
+    out = jobs.validate(spark, write_raw(tmp_path))
+    assert read and all(f.endswith(".parquet") for f in [*read, *out["rules"].inputFiles()])
+
+
 def test_features_job_and_reports(spark, tmp_path):
     paths = jobs.build_features(spark, write_raw(tmp_path / "raw"), str(tmp_path / "out"))
     parts = readers.read_splits(spark, str(tmp_path / "out"))
