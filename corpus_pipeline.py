@@ -46,6 +46,10 @@ STAGES = [
     ("decontamination", without_benchmark), ("byte BPE", encoded),
 ]
 
+#: rows of whole texts that go to a Python worker at once: both the JVM, outside its heap, and the worker hold such a batch
+BATCH_ROWS = 1000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 #: perplexity under a model fitted on the data can't be written in SQL
 ORACLE_SQL = None
 
@@ -53,6 +57,11 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    before = spark.conf.get(_BATCH)
+    spark.conf.set(_BATCH, str(BATCH_ROWS))
+    try:
+        for name, stage in STAGES:
+            docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    finally:
+        spark.conf.set(_BATCH, before)
     return docs

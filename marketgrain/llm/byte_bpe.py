@@ -38,9 +38,9 @@ from marketgrain.llm.texts import slices, utf8
 from marketgrain.llm.workers import released
 
 RANKS = "byte_bpe_50k.tiktoken"
-SLICE = 4 << 20
-#: entries of a worker's stores, which are emptied beyond them; together some 200 MB
-MAX_STATES = 150_000
+SLICE = 1 << 19
+#: entries of a worker's stores, which are emptied beyond them; together some 100 MB
+MAX_STATES = 30_000
 MAX_WORDS = 400_000
 
 

@@ -52,6 +52,7 @@ def measured(docs: DataFrame, labels: DataFrame) -> DataFrame:
                      pa.array(sums[offsets[1:]] - sums[offsets[:-1]]), part.column("sets_threshold")],
                     ["doc_id", "lang", "text_key", "n_bytes", "log_loss", "sets_threshold"],
                 )
+        model.kept.clear()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     sets = F.coalesce((F.col("label") == 1) & F.col("held_out"), F.lit(False)).alias("sets_threshold")

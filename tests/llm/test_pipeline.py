@@ -3,6 +3,7 @@ import hashlib
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import tiktoken
 from llm_helpers import documents
 from test_dedup import edited, near_brute
@@ -58,3 +59,18 @@ def test_stages_keep_the_columns_and_all_queries_are_registered(spark, tmp_path)
         ["pipeline", "op1_token_counts", "op2_toxicity", "op3_exact_dedup", "op4_byte_bpe", "op5_decontamination",
          "op6_near_dedup", "op7_url_filters", "op8_quality", "op9_license_scan", "op10_sharding", "op11_secret_scan",
          "op12_merkle_manifest", "op13_prefix_trie"])
+
+
+def test_python_workers_get_small_batches(spark, tmp_path, monkeypatch):
+    documents(spark, [(i, "a b") for i in range(2500)]).coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], ["n"])
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("sizes", lambda spark, docs, folder: docs.mapInArrow(sizes, "n long"))])
+    found = [r.n for r in corpus_pipeline.run(spark, str(tmp_path)).collect()]
+    assert sum(found) == 2500 and max(found) <= corpus_pipeline.BATCH_ROWS
+    assert spark.conf.get(setting) == before
