@@ -68,6 +68,35 @@ def test_transducer_on_random_bytes(tik):
     assert list(machine.stream(b"hello")) == machine.merges.merge(b"hello", 1 << 30)
 
 
+def test_invented_words_are_not_determinised(tik, monkeypatch):
+    codec = byte_bpe.codec(P.path(byte_bpe.RANKS))
+    moves, move = [], byte_bpe.Transducer._move
+    monkeypatch.setattr(byte_bpe.Transducer, "_move", lambda *args: moves.append(1) or move(*args))
+    draw = random.Random(6)
+    parts = ["tion", "er", "an", "th", "ß", "日", "ou", "q", "x'", "0"]
+    texts = [" ".join("".join(draw.choices(parts, k=draw.randrange(1, 12))) for _ in range(40)) for _ in range(50)]
+    ids, ends = codec.encode(pa.array([*texts, None, ""]))
+    assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:])] == [*map(tik.encode_ordinary, texts), [], []]
+    assert not moves
+
+
+def test_short_and_long_matches_together(tik):
+    codec = byte_bpe.codec(P.path(byte_bpe.RANKS))
+    texts = ["a" * 300 + " tiny", "abcdefgh" * 31 + "abcdefg zz", "é" * 128 + " " + "é" * 129, "xyz" * 500, "", "hello"]
+    ids, ends = codec.encode(pa.array(texts))
+    assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:])] == [tik.encode_ordinary(t) for t in texts]
+
+
+def test_many_pairs_share_places_of_the_store(tik, monkeypatch):
+    monkeypatch.setattr(byte_bpe, "CACHE", 4)
+    monkeypatch.setattr(byte_bpe, "BLOCK", 16)
+    wide = byte_bpe.WideTransducer(byte_bpe.codec(P.path(byte_bpe.RANKS)).merges)
+    draw = random.Random(8)
+    words = [bytes(draw.choice(b"aeinorst") for _ in range(draw.randrange(1, 40))) for _ in range(200)]
+    ids, ends = wide.encode(np.frombuffer(b"".join(words), np.uint8), np.cumsum([0, *map(len, words)]))
+    assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:])] == [tik._encode_single_piece(w) for w in words]
+
+
 def test_tokens_are_emitted_before_the_end():
     machine = byte_bpe.codec(P.path(byte_bpe.RANKS)).machine
     text, seen = b"thequickbrownfoxjumpsoverthelazydog" * 3, []
