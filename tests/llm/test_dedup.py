@@ -154,6 +154,27 @@ def test_open_buckets_in_several_blocks(spark, monkeypatch):
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == near_brute(rows, 3, 85)
 
 
+def test_pairs_are_compared_in_their_first_common_bucket(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "LEAST_LINKED", 2)  # all but the first hubs' links are found in blocks
+    rows = edited(6)
+    for block in (4, 256):
+        monkeypatch.setattr(near_dedup, "BLOCK", block)
+        got = near_dedup.near_components(documents(spark, rows)).collect()
+        assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == near_brute(rows, 3, 85)
+
+
+def test_hubs_end_when_they_link_nothing(spark, monkeypatch):
+    rounds, verified = [], near_dedup._verified
+    monkeypatch.setattr(near_dedup, "_verified", lambda *args: rounds.append(1) or verified(*args))
+    draw = random.Random(9)
+    common = [f"c{i}" for i in range(75)]
+    rows = [(i, " ".join(common + [f"w{draw.randrange(10**6)}" for _ in range(25)])) for i in range(14)]
+    rows += [(20, rows[3][1] + " more"), (21, rows[5][1] + " more")]
+    got = near_dedup.near_components(documents(spark, rows)).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == near_brute(rows, 3, 85)
+    assert len(rounds) < near_dedup.ROUNDS
+
+
 def test_sketch_is_full_and_estimates_similarity():
     draw = np.random.default_rng(3)
     for size in (1, 2, 5, 50, 400, 5000):
@@ -184,3 +205,11 @@ def test_components(spark):
             head[hi] = lo
     assert sorted((r.node, r.component) for r in found) == sorted((x, root(x)) for x in head)
     assert components.connected(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_stars_are_components_already(spark, monkeypatch):
+    steps, stored = [], components.stored
+    monkeypatch.setattr(components, "stored", lambda *args: steps.append(1) or stored(*args))
+    edges = spark.createDataFrame([(1, 2), (3, 1), (1, 9), (7, 8), (8, 7)], "a long, b long")
+    found = components.connected(edges).collect()
+    assert sorted(map(tuple, found)) == [(1, 1), (2, 1), (3, 1), (7, 7), (8, 7), (9, 1)] and len(steps) == 1
